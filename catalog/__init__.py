@@ -6,7 +6,7 @@ from importlib import import_module
 
 from catalog.registry import REGISTRY, Query
 
-MODULES = ("repair",)
+MODULES = ("repair", "population")
 
 
 def load() -> dict[str, Query]:
