@@ -1,15 +1,21 @@
 """Quantiles per group, over any number of columns at once.
 
 ``approx_quantiles`` is one pass with a bounded summary per group and column. ``exact_quantiles`` finds the exact
-order statistics without ever holding a group in one task:
+order statistics without ever holding a group in one task. A distinct-count sketch sorts the columns into two kinds.
 
-1. the same bounded summary gives each group's size and an interval around the wanted rank;
+Columns with few distinct values, as measurements have, are counted by group and value in one pass. The counts are
+combined before the shuffle, so the shuffle carries distinct values, not rows, and a running sum over them picks the
+ranks.
+
+Columns with many distinct values are searched:
+
+1. a bounded summary gives each group's size and an interval around the wanted rank;
 2. one pass counts the values below the interval, one counts the distinct values inside it (pre-aggregated before
    the shuffle, and spread over tasks by value);
 3. where an interval still holds too many distinct values, it is cut into equal bins until it does not;
 4. a running sum over the few values that are left picks the ranks.
 
-The summary only steers the search. The counts decide, and intervals that miss are widened to the full range.
+The sketches only steer. The counts decide, and intervals that miss are widened to the full range.
 """
 
 from __future__ import annotations
@@ -26,6 +32,7 @@ from pulseframe.session import pin
 ACCURACY = 10_000
 MAX_VALUES = 1_000_000
 BINS = 1024
+FEW_VALUES = 20_000
 
 
 def approx_quantiles(
@@ -58,16 +65,15 @@ def _ranks(n: Column, prob: float, interpolate: bool) -> tuple[Column, Column]:
     return rank, rank
 
 
-def _summary(df: DataFrame, keys: list[str], cols: list[str], probs: list[float], accuracy: int) -> DataFrame:
+def _summary(df: DataFrame, keys: list[str], columns: int, probs: list[float], accuracy: int) -> DataFrame:
     """Per group: count of each column, and per slot [min, low, element, high, max]."""
     margin = 3.0 / accuracy
     aggregates = []
-    for i, c in enumerate(cols):
-        value = ref(c).cast("double")
+    for i in range(columns):
         points = [p for q in probs for p in (0.0, max(q - margin, 0.0), q, min(q + margin, 1.0), 1.0)]
-        aggregates.append(F.count(ref(c)).alias(f"n{i}"))
+        aggregates.append(F.count(f"v{i}").alias(f"n{i}"))
         aggregates.append(
-            F.percentile_approx(value, F.array(*[F.lit(float(p)) for p in points]), F.lit(accuracy)).alias(f"g{i}")
+            F.percentile_approx(f"v{i}", F.array(*[F.lit(float(p)) for p in points]), F.lit(accuracy)).alias(f"g{i}")
         )
     return df.groupBy(*map(ref, keys)).agg(*aggregates)
 
@@ -88,15 +94,78 @@ def exact_quantiles(
     interpolate: bool = False,
     accuracy: int = ACCURACY,
     max_values: int = MAX_VALUES,
+    few_values: int = FEW_VALUES,
 ) -> DataFrame:
     """Keys plus an array column per input: its exact quantiles at ``probs`` (doubles).
 
     ``interpolate=False`` returns elements, the lower one of a middle pair; ``True`` interpolates linearly between
     neighbours. Integers are exact up to 2**53.
     """
-    search = _Search(keys, cols, probs, interpolate, accuracy)
     values = df.select(*map(ref, keys), *[ref(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
-    summary = pin(_summary(df, keys, cols, probs, accuracy))
+    # A coarse sketch is enough to tell few from many, and keeps the aggregation buffer narrow.
+    seen = values.agg(*[F.approx_count_distinct(f"v{i}", 0.2).alias(f"d{i}") for i in range(len(cols))]).first()
+    few = [i for i in range(len(cols)) if seen[f"d{i}"] <= few_values]
+    many = [i for i in range(len(cols)) if i not in few]
+    found: DataFrame | None = None
+    if few:
+        found = _by_counting(values, keys, [f"v{i}" for i in few], probs, interpolate)
+    if many:
+        searched = _by_search(values, keys, [f"v{i}" for i in many], probs, interpolate, accuracy, max_values)
+        if found is None:
+            found = searched
+        elif keys:
+            found = lookup(found, pin(searched), keys)
+        else:
+            found = _attach(found, searched, keys, 1)
+    return found.select(*map(ref, keys), *[F.col(f"v{i}").alias(c) for i, c in enumerate(cols)])
+
+
+def _by_counting(df: DataFrame, keys: list[str], cols: list[str], probs: list[float], interpolate: bool) -> DataFrame:
+    """One pass over the rows; from the shuffle on, one row per group, column and distinct value."""
+    by_group = [ref(k) for k in keys]
+    counts = (
+        df.unpivot(by_group, [F.col(c) for c in cols], "slot", "v")
+        .groupBy(*by_group, "slot", "v")
+        .agg(F.count(F.lit(1)).alias("c"))
+    )
+    slot = Window.partitionBy(*by_group, "slot")
+    known = F.when(F.col("v").isNotNull(), F.col("c")).otherwise(F.lit(0))
+    ranked = counts.select(
+        *by_group, "slot", "v",
+        F.sum(known).over(slot.orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
+        F.sum(known).over(slot).alias("n"),
+    )
+    answers = {}
+    for c in cols:
+        answers[c] = []
+        for prob in probs:
+            low_rank, high_rank = _ranks(F.col("n"), prob, interpolate)
+            mine = F.col("slot") == c
+            low = F.min(F.when(mine & (F.col("upto") >= low_rank), F.col("v")))
+            if interpolate:
+                high = F.min(F.when(mine & (F.col("upto") >= high_rank), F.col("v")))
+                low = _between(low, high, F.max(F.when(mine, F.col("n"))), prob)
+            answers[c].append(low)
+    return ranked.groupBy(*by_group).agg(*[F.array(*found).alias(c) for c, found in answers.items()])
+
+
+def _between(low: Column, high: Column, n: Column, prob: float) -> Column:
+    position = (n - 1).cast("double") * F.lit(float(prob))
+    return low + (high - low) * (position - F.floor(position))
+
+
+def _by_search(
+    values: DataFrame,
+    keys: list[str],
+    cols: list[str],
+    probs: list[float],
+    interpolate: bool,
+    accuracy: int,
+    max_values: int,
+) -> DataFrame:
+    search = _Search(keys, cols, probs, interpolate, accuracy)
+    values = values.select(*map(ref, keys), *[ref(c).alias(f"v{i}") for i, c in enumerate(cols)])
+    summary = pin(_summary(values, keys, len(cols), probs, accuracy))
     size = summary.agg(
         F.count(F.lit(1)).alias("groups"),
         F.max(F.greatest(*[F.col(f"n{i}") for i in range(len(cols))], F.lit(0))).alias("largest"),
@@ -190,8 +259,7 @@ class _Search:
             low = F.min(F.when(mine & (F.col("upto") >= F.col("r1")), F.col("v")))
             if self.interpolate:
                 high = F.min(F.when(mine & (F.col("upto") >= F.col("r2")), F.col("v")))
-                position = (F.max(F.when(mine, F.col("n"))) - 1).cast("double") * F.lit(s.prob)
-                low = low + (high - low) * (position - F.floor(position))
+                low = _between(low, high, F.max(F.when(mine, F.col("n"))), s.prob)
             answers.append(low)
         k = len(self.probs)
         return ranked.groupBy(*self.by_group).agg(
