@@ -6,7 +6,7 @@ from importlib import import_module
 
 from catalog.registry import REGISTRY, Query
 
-MODULES = ("repair", "population")
+MODULES = ("repair", "population", "files", "gold", "models")
 
 
 def load() -> dict[str, Query]:

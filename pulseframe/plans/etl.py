@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe.functions.quantiles import ACCURACY
@@ -12,7 +12,7 @@ from pulseframe.functions.scalar import band
 from pulseframe.operators.impute import TierFill, fit_tiers
 from pulseframe.operators.mapping import apply_mapping, raw_mapping, silver_mapping, split_pair
 from pulseframe.operators.quality import (
-    SILVER_RULES, Rule, failed_rows, outcome_rows, passed_rows, row_outcomes, rule_metrics,
+    SILVER_RULES, Rule, failed_rows, passed_rows, row_outcomes, rule_outcomes,
 )
 from pulseframe.schema import AGE_BAND, IMPUTED
 from pulseframe.session import scratch
@@ -85,8 +85,8 @@ def run_batch(
     """The whole job: silver, rejected, outcomes, and the medians that were used.
 
     The text files are parsed once into a typed copy in the shared folder; the median passes then read only the
-    columns they need from it. Filling and checking are narrow, so both sinks read the typed copy without a shuffle,
-    and the rule counts are taken while the rejects are written instead of in a pass of their own.
+    columns they need from it. Filling and checking are narrow, so the sinks and the rule counts read the typed copy
+    without a shuffle of rows.
     """
     rules = SILVER_RULES if rules is None else rules
     typed_path = scratch(spark, "typed")
@@ -99,16 +99,13 @@ def run_batch(
     repaired = fill.apply(typed)
     checked = row_outcomes(repaired, rules)
 
-    seen = Observation(f"rules-{run_id}")
-    watched = checked.observe(seen, *rule_metrics(rules))
-    write_parquet(failed_rows(watched), f"{out_dir}/rejected")
+    write_parquet(failed_rows(checked), f"{out_dir}/rejected")
     silver = route(checked)["silver"]
     if table is None:
         write_parquet(silver, f"{out_dir}/silver")
     else:
         write_table(silver, table, f"{out_dir}/silver")
-    metrics = spark.createDataFrame([tuple(seen.get.values())], ", ".join(f"{k} bigint" for k in seen.get))
-    publish_outcomes(outcome_rows(repaired, rules, metrics), f"{out_dir}/outcomes", run_id)
+    publish_outcomes(rule_outcomes(repaired, rules), f"{out_dir}/outcomes", run_id)
     return {
         "silver": spark.read.parquet(f"{out_dir}/silver"),
         "rejected": spark.read.parquet(f"{out_dir}/rejected"),
