@@ -167,11 +167,11 @@ def _fit_levels(ready: DataFrame, labels: list[str], settings: Settings) -> list
         return [forest.fit(ready)]
 
     def fit(i: int) -> Transformer:
-        return GBTClassifier(
-            featuresCol=INPUTS, labelCol=f"is_{i}", predictionCol=f"level_{i}", rawPredictionCol=f"margin_{i}",
-            probabilityCol=f"probability_{i}", maxIter=settings.rounds, stepSize=settings.step,
-            maxBins=settings.bins, maxDepth=settings.depth, seed=settings.seed,
-        ).fit(ready)
+        boosted = GBTClassifier(
+            featuresCol=INPUTS, labelCol=f"is_{i}", predictionCol=f"level_{i}", maxIter=settings.rounds,
+            stepSize=settings.step, maxBins=settings.bins, maxDepth=settings.depth, seed=settings.seed,
+        )
+        return boosted.setRawPredictionCol(f"margin_{i}").setProbabilityCol(f"probability_{i}").fit(ready)
 
     session = ready.sparkSession
     with ThreadPool(len(labels)) as pool:
