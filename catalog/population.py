@@ -15,7 +15,10 @@ from pulseframe.operators.stats import box_stats, moments, regression_metrics, w
 from pulseframe.plans.etl import repair
 
 NUMBERS = ["age", "bmi", "systolic", "diastolic", "total_cholesterol", "hdl", "fbs", "score"]
-FACTORS = P.risk_factors("smk", "dbt", "fam", "bpc")
+
+
+def factors() -> dict:
+    return P.risk_factors("smk", "dbt", "fam", "bpc")
 
 
 def rounded(df: DataFrame, *cols: str) -> DataFrame:
@@ -154,22 +157,22 @@ FACTOR_SHARES = " UNION ALL ".join(
 
 @query("a14_factor_distribution", with_patients(f"SELECT {FACTOR_SUM} AS factors, count(*) AS n FROM p GROUP BY 1"))
 def a14(spark: SparkSession, sf: str) -> DataFrame:
-    return P.factor_distribution(patients(spark, sf), FACTORS)
+    return P.factor_distribution(patients(spark, sf), factors())
 
 
 @query("a14_factor_count_per_patient", with_patients(f"SELECT k, {FACTOR_SUM} AS factors FROM p"))
 def a14_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return patients(spark, sf).select("k", P.factor_count(FACTORS).alias("factors"))
+    return patients(spark, sf).select("k", P.factor_count(factors()).alias("factors"))
 
 
 @query("a15_factor_prevalence", with_patients(FACTOR_SHARES))
 def a15(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(P.factor_prevalence(patients(spark, sf), FACTORS), "prevalence_pct")
+    return rounded(P.factor_prevalence(patients(spark, sf), factors()), "prevalence_pct")
 
 
 @query("l2_top_factors", with_patients(f"SELECT * FROM ({FACTOR_SHARES}) ORDER BY prevalence_pct DESC, factor LIMIT 2"))
 def l2(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(P.factor_prevalence(patients(spark, sf), FACTORS, top=2), "prevalence_pct")
+    return rounded(P.factor_prevalence(patients(spark, sf), factors(), top=2), "prevalence_pct")
 
 
 PROFILED = ["age", "weight_kg", "height_m", "bmi", "total_cholesterol", "hdl", "fbs", "systolic", "diastolic", "score"]
