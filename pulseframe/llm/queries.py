@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm import chat, line_quality, url_rules
+from pulseframe.llm import chat, line_quality, mixing, token_files, url_rules
 from pulseframe.llm.exprs import table
+from pulseframe.session import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def register(name: str, sql: str | None = None):
     def put(run):
         QUERIES[name] = run
@@ -44,3 +51,17 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select(
         "page_id", "host", "path", "rule", "verdict"
     )
+
+
+@register("op4_token_files")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, tokenizer_file())
+    return token_files.read_token_files(spark, path, digest=True)
+
+
+@register("op9_mix_sources")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planned = mixing.plan_mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    taken = F.aggregate("draws", F.lit(0).cast("long"), lambda a, x: a + x["words"])
+    return planned.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
