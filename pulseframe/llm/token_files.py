@@ -13,8 +13,6 @@ text, each keeps its own row; an empty table writes no file and reads back as no
 from __future__ import annotations
 
 import os
-import sys
-import types
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -27,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe.llm import rans
+from pulseframe.llm.bytewords import Texts, byte_values, process_cache, running, runs, span_hash
 from pulseframe.llm.exprs import partitions
 
 CHUNKS = "part int, seq int, local_first long, n_tokens long, doc_ids array<long>, lengths array<int>, tokens binary"
@@ -43,18 +42,13 @@ class Layout(NamedTuple):
     cached_pieces: int = 400_000
 
 
-def process_cache(name: str) -> dict:
-    """A dictionary that lives as long as the Python process, so that tasks of one worker share it."""
-    holder = sys.modules.setdefault("_pulseframe_process_cache", types.ModuleType("_pulseframe_process_cache"))
-    return holder.__dict__.setdefault(name, {})
-
-
 class TextEncoder:
     """Ids of whole texts by a ``tokenizers`` file.
 
     A byte-level pre-tokenizer always cuts before a blank that stands between two characters that are not white space. So
     the ids of a text are those of its pieces ``" word"`` in order, where no piece has white space at its ends. Each
-    distinct piece goes through the library once while it stays in the cache; other texts go through it whole.
+    distinct piece goes through the library once while it stays in the cache, which knows it by hash; texts with other
+    white space go through it whole.
     """
 
     def __init__(self, path: str, cached: int):
@@ -64,53 +58,67 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.by_piece = str(self.tokenizer.pre_tokenizer).startswith("ByteLevel(") and self.tokenizer.normalizer is None
-        self.cached, self.pieces = cached, process_cache(path)
+        self.cached, self.known = cached, process_cache(f"pieces {path}")
         self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.batch(texts, add_special_tokens=False)]
 
-    def learn(self, pieces: list[str]) -> None:
-        """Encode pieces in runs; the library says which piece each id came from."""
+    def learn(self, keys: list[int], pieces: list[str]) -> None:
+        """Encode pieces in runs; the library says which piece each id came from. A piece with white space at an end, or
+        none, has no ids of its own."""
         for at in range(0, len(pieces), 20_000):
-            part = [p for p in pieces[at : at + 20_000] if p and not p[0].isspace() and not p[-1].isspace()]
+            part = list(zip(keys[at : at + 20_000], pieces[at : at + 20_000], strict=True))
+            odd = [k for k, p in part if not p.strip() or p[-1].isspace() or p[p[0] == " "].isspace()]
+            self.known.update(dict.fromkeys(odd))
+            skip = set(odd)
+            part = [(k, p) for k, p in part if k not in skip]
             if not part:
                 continue
-            run = self.tokenizer.encode_batch([[f" {p}" for p in part]], is_pretokenized=True, add_special_tokens=False)[0]
+            run = self.tokenizer.encode_batch([[p for _, p in part]], is_pretokenized=True, add_special_tokens=False)[0]
             ids = np.array(run.ids, dtype="<u4").tobytes()
-            ends = np.searchsorted(np.array(run.word_ids), np.arange(len(part)), side="right") * 4
-            starts = [0, *ends.tolist()]
-            self.pieces.update((p, ids[a:b]) for p, a, b in zip(part, starts, starts[1:], strict=False))
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [x.split(" ") for x in texts]
-        if len(self.pieces) > self.cached:
-            self.pieces.clear()
-        if self.by_piece:
-            self.learn(list(set().union(*(p[1:] for p in split)) - self.pieces.keys()))
-        heads = list({p[0] for p in split})
-        head = dict(zip(heads, self.whole(heads), strict=True))
-        out, take, odd = [], self.pieces.__getitem__, []
-        for i, p in enumerate(split):
-            ids = None
-            if self.by_piece and (len(p) == 1 or p[0] and not p[0][-1].isspace()):
-                try:
-                    ids = head[p[0]] + b"".join(map(take, p[1:]))
-                except KeyError:  # a piece with white space at an end
-                    odd.append(i)
-            else:
-                odd.append(i)
-            out.append(ids)
-        for i, ids in zip(odd, self.whole([texts[i] for i in odd]), strict=True):
-            out[i] = ids
-        return out
-
-
-def slices(batch: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
-    """The rows of ``batch`` a few at a time, so that a slice holds about ``most`` bytes."""
-    step = max(1, int(batch.num_rows * most / max(1, batch.nbytes)))
-    for at in range(0, batch.num_rows, step):
-        yield batch.slice(at, step)
+            ends = (np.searchsorted(np.array(run.word_ids), np.arange(len(part)), side="right") * 4).tolist()
+            self.known.update((k, ids[a:b]) for (k, _), a, b in zip(part, [0, *ends], ends, strict=False))
+
+    def encode(self, t: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows, one after another, and how many each row has."""
+        rows, n = len(t.bounds) - 1, len(t.data)
+        cut = t.data == 0x20
+        inner = np.flatnonzero(cut)
+        start = np.union1d(inner, t.bounds[:-1][np.diff(t.bounds) > 0])
+        if not self.by_piece or not n:
+            return self.joined(self.whole([t.text(i).decode("utf-8", "replace") for i in range(rows)]))
+        end = np.append(start[1:], n)
+        row = np.searchsorted(t.bounds, start, side="right") - 1
+        key = span_hash(running(t.data, byte_values(False)), start, end)
+        distinct, at, back = np.unique(key, return_index=True, return_inverse=True)
+        if len(self.known) > self.cached:
+            self.known.clear()
+        keys = distinct.tolist()
+        new = [i for i, k in enumerate(keys) if k not in self.known]
+        data, spans = t.data.tobytes(), zip(start[at[new]].tolist(), end[at[new]].tolist(), strict=True)
+        self.learn([keys[i] for i in new], [data[a:b].decode("utf-8", "replace") for a, b in spans])
+        found = list(map(self.known.__getitem__, keys))
+        odd = np.array([x is None for x in found])
+        pool = np.frombuffer(b"".join(x or b"" for x in found), "<u4")
+        size = np.array([len(x or b"") // 4 for x in found], dtype=np.int64)
+        begin = np.cumsum(size) - size
+        lengths = size[back]
+        ends = np.cumsum(lengths)
+        ids = pool[np.repeat(begin[back] - (ends - lengths), lengths) + np.arange(ends[-1])]
+        per_row = np.bincount(row, weights=lengths, minlength=rows).astype(np.int64)
+        whole = np.unique(row[odd[back]])
+        if not len(whole):
+            return ids, per_row
+        stops = np.cumsum(per_row)
+        parts = [ids[b - k : b].tobytes() for b, k in zip(stops.tolist(), per_row.tolist(), strict=True)]
+        for i, x in zip(whole.tolist(), self.whole([t.text(i).decode("utf-8", "replace") for i in whole.tolist()]), strict=True):
+            parts[i] = x
+        return self.joined(parts)
+
+    @staticmethod
+    def joined(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        return np.frombuffer(b"".join(parts), "<u4"), np.array([len(p) // 4 for p in parts], dtype=np.int64)
 
 
 def encoder(path: str, end_id: int, layout: Layout):
@@ -118,30 +126,30 @@ def encoder(path: str, end_id: int, layout: Layout):
         from pyspark import TaskContext
 
         part, seq, first = TaskContext.get().partitionId(), 0, 0
-        encode, end = TextEncoder(path, layout.cached_pieces), np.array([end_id], dtype="<u4").tobytes()
+        encode = TextEncoder(path, layout.cached_pieces)
+        width = np.dtype("<u2" if encode.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         doc_ids, lengths, parts, n = [], [], [], 0
 
         def flush() -> pa.RecordBatch:
-            tokens = b"".join(parts)
-            wide = np.frombuffer(tokens, "<u4")
-            row = [[part], [seq], [first], [n], [doc_ids], [lengths], [wide.astype("<u2" if narrow else "<u4").tobytes()]]
+            row = [[part], [seq], [first], [n], [np.concatenate(doc_ids)], [np.concatenate(lengths)], [b"".join(parts)]]
             types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
             names = ["part", "seq", "local_first", "n_tokens", "doc_ids", "lengths", "tokens"]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, types, strict=True)], names)
 
-        narrow = encode.tokenizer.get_vocab_size() <= 1 << 16
         for batch in batches:
-            for rows in slices(batch, 4 << 20):
-                texts = [x or "" for x in rows.column(1).to_pylist()]
-                for doc_id, ids in zip(rows.column(0).to_pylist(), encode(texts), strict=True):
-                    doc_ids.append(doc_id)
-                    lengths.append(len(ids) // 4 + 1)
-                    parts += [ids, end]
-                    n += lengths[-1]
-                    if n >= layout.row_tokens:
-                        yield flush()
-                        seq, first = seq + 1, first + n
-                        doc_ids, lengths, parts, n = [], [], [], 0
+            for t in runs(batch.column(1)):
+                ids, sizes = encode.encode(t)
+                with_end = sizes + 1
+                out = np.full(len(ids) + len(sizes), end_id, dtype=width)
+                out[np.arange(len(ids)) + np.repeat(np.arange(len(sizes)), sizes)] = ids
+                doc_ids.append(batch.column(0).slice(t.first, len(sizes)).to_pandas().to_numpy(object))
+                lengths.append(with_end)
+                parts.append(out.tobytes())
+                n += len(out)
+                if n >= layout.row_tokens:
+                    yield flush()
+                    seq, first = seq + 1, first + n
+                    doc_ids, lengths, parts, n = [], [], [], 0
         if doc_ids:
             yield flush()
 
