@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm import chat, line_quality, mixing, token_files, url_rules
+from pulseframe.llm import chat, line_quality, mixing, substrings, token_files, url_rules
 from pulseframe.llm.exprs import table
 from pulseframe.session import scratch
 
@@ -65,3 +65,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan_mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     taken = F.aggregate("draws", F.lit(0).cast("long"), lambda a, x: a + x["words"])
     return planned.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+
+
+@register("op8_substring_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
