@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm import chat, line_quality, mixing, substrings, token_files, url_rules
+from pulseframe.llm import chat, jaccard_join, line_quality, mixing, substrings, token_files, url_rules
 from pulseframe.llm.exprs import table
 from pulseframe.session import scratch
 
@@ -70,3 +70,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_substring_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@register("op7_jaccard_join")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
