@@ -94,10 +94,10 @@ class Spans(NamedTuple):
         return np.searchsorted(self.row, np.arange(rows + 1))
 
 
-def word_spans(t: Texts) -> Spans:
-    """Words split at ASCII white space; no word crosses a row."""
+def word_spans(t: Texts, spaces: tuple[int, ...] = SPACES) -> Spans:
+    """Words split at the bytes ``spaces``, ASCII white space by default; no word crosses a row."""
     inside = np.ones(256, bool)
-    inside[list(SPACES)] = False
+    inside[list(spaces)] = False
     w = inside[t.data]
     n = len(w)
     before = np.zeros(n, bool)

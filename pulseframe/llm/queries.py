@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm import chat, jaccard_join, line_quality, mixing, substrings, token_files, url_rules
+from pulseframe.llm import chat, jaccard_join, line_quality, line_runs, mixing, substrings, token_files, toxicity, url_rules
 from pulseframe.llm.exprs import table
 from pulseframe.session import scratch
 
@@ -75,3 +75,23 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op7_jaccard_join")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@register("op5_line_runs", line_runs.ORACLE_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_runs.delete_repeats(table(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id", "n_lines", "n_removed", "n_runs", F.char_length("kept").cast("long").alias("kept_chars"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+@register("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    fitted = toxicity.train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    scored = toxicity.score(docs, fitted)
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "threshold", "flagged",
+    )
