@@ -39,7 +39,7 @@ class Layout(NamedTuple):
     row_tokens: int = 1 << 20
     block_tokens: int = 1 << 18
     lanes: int = 1024
-    cached_pieces: int = 400_000
+    cached_pieces: int = 1_000_000
 
 
 class TextEncoder:
@@ -58,27 +58,52 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.by_piece = str(self.tokenizer.pre_tokenizer).startswith("ByteLevel(") and self.tokenizer.normalizer is None
-        self.cached, self.known = cached, process_cache(f"pieces {path}")
+        self.cached, self.known, self.old = cached, process_cache(f"new pieces {path}"), process_cache(f"old pieces {path}")
+        self.line_feed = self.tokenizer.token_to_id("\u010a")
         self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.batch(texts, add_special_tokens=False)]
 
     def learn(self, keys: list[int], pieces: list[str]) -> None:
-        """Encode pieces in runs; the library says which piece each id came from. A piece with white space at an end, or
-        none, has no ids of its own."""
-        for at in range(0, len(pieces), 20_000):
-            part = list(zip(keys[at : at + 20_000], pieces[at : at + 20_000], strict=True))
-            odd = [k for k, p in part if not p.strip() or p[-1].isspace() or p[p[0] == " "].isspace()]
-            self.known.update(dict.fromkeys(odd))
-            skip = set(odd)
-            part = [(k, p) for k, p in part if k not in skip]
-            if not part:
+        """Encode pieces. A piece with white space at an end, or none, has no ids of its own.
+
+        Pieces without a line feed go through the library in runs with line feeds between them: a line feed is then a
+        token of its own and marks where a piece ends.
+        """
+        plain, other = [], []
+        for k, p in zip(keys, pieces, strict=True):
+            if not p.strip() or p[-1].isspace() or p[p[0] == " "].isspace():
+                self.known[k] = None
+            else:
+                (other if "\n" in p else plain).append((k, p))
+        for at in range(0, len(plain), 20_000):
+            part = plain[at : at + 20_000]
+            ids = np.array(self.batch(["\n".join(p for _, p in part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            cuts = np.flatnonzero(ids == self.line_feed)
+            if self.line_feed is None or len(cuts) != len(part) - 1:
+                other += part
                 continue
-            run = self.tokenizer.encode_batch([[p for _, p in part]], is_pretokenized=True, add_special_tokens=False)[0]
-            ids = np.array(run.ids, dtype="<u4").tobytes()
-            ends = (np.searchsorted(np.array(run.word_ids), np.arange(len(part)), side="right") * 4).tolist()
-            self.known.update((k, ids[a:b]) for (k, _), a, b in zip(part, [0, *ends], ends, strict=False))
+            raw, starts = ids.tobytes(), [0, *((cuts + 1) * 4).tolist()]
+            self.known.update((k, raw[a:b]) for (k, _), a, b in zip(part, starts, [*(cuts * 4).tolist(), len(raw)], strict=True))
+        self.known.update(zip((k for k, _ in other), self.whole([p for _, p in other]), strict=True))
+
+    def look_up(self, keys: list[int], piece) -> list[bytes | None]:
+        """Ids of pieces by key; ``piece`` gives the text of the ones at given places. Of the cache's two generations the
+        older goes when the newer is full."""
+        if len(self.known) > self.cached // 2:
+            self.old.clear()
+            self.old.update(self.known)
+            self.known.clear()
+        missing = [i for i, k in enumerate(keys) if k not in self.known]
+        new = []
+        for i in missing:
+            if keys[i] in self.old:
+                self.known[keys[i]] = self.old[keys[i]]
+            else:
+                new.append(i)
+        self.learn([keys[i] for i in new], piece(new))
+        return list(map(self.known.__getitem__, keys))
 
     def encode(self, t: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows, one after another, and how many each row has."""
@@ -92,13 +117,13 @@ class TextEncoder:
         row = np.searchsorted(t.bounds, start, side="right") - 1
         key = span_hash(running(t.data, byte_values(False)), start, end)
         distinct, at, back = np.unique(key, return_index=True, return_inverse=True)
-        if len(self.known) > self.cached:
-            self.known.clear()
-        keys = distinct.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.known]
-        data, spans = t.data.tobytes(), zip(start[at[new]].tolist(), end[at[new]].tolist(), strict=True)
-        self.learn([keys[i] for i in new], [data[a:b].decode("utf-8", "replace") for a, b in spans])
-        found = list(map(self.known.__getitem__, keys))
+        data = t.data.tobytes()
+
+        def piece(places: list[int]) -> list[str]:
+            at_ = at[places]
+            return [data[a:b].decode("utf-8", "replace") for a, b in zip(start[at_].tolist(), end[at_].tolist(), strict=True)]
+
+        found = self.look_up(distinct.tolist(), piece)
         odd = np.array([x is None for x in found])
         pool = np.frombuffer(b"".join(x or b"" for x in found), "<u4")
         size = np.array([len(x or b"") // 4 for x in found], dtype=np.int64)
