@@ -48,11 +48,17 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return held["up"], held["down"]
 
 
-def byte_values(lower: bool) -> np.ndarray:
-    """A fixed random value per byte; with ``lower`` A-Z have those of a-z."""
+def byte_values(lower: bool, accents: bool = False) -> np.ndarray:
+    """A fixed random value per byte; with ``lower`` A-Z have those of a-z.
+
+    ``accents`` also gives the second bytes of Latin capitals with accents those of their small letters (other scripts' letters
+    32 apart meet too), so it is for searches that are verified or need no exact spelling.
+    """
     values = np.random.default_rng(20240229).integers(1, MASK, 256, dtype=np.uint64)
     if lower:
         values[65:91] = values[97:123]
+    if accents:
+        values[0x80:0x9F] = values[0xA0:0xBF]
     return values
 
 

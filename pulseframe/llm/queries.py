@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm import chat, jaccard_join, line_quality, line_runs, mixing, substrings, token_files, toxicity, url_rules
+from pulseframe.llm import chat, decontaminate, jaccard_join, line_quality, line_runs, mixing, substrings, token_files, toxicity, url_rules
 from pulseframe.llm.exprs import table
 from pulseframe.session import scratch
 
@@ -95,3 +95,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"), "threshold", "flagged",
     )
+
+
+@register("op6_decontaminate")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -56,7 +56,7 @@ class Words(NamedTuple):
 
 
 def words_of(column: pa.Array, bits: int, prefix_bytes: int):
-    values = byte_values(True)
+    values = byte_values(True, accents=True)
     for t in runs(column):
         spans = word_spans(t, PUNCTUATION)
         sums = running(t.data, values)
