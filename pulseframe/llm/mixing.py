@@ -168,11 +168,12 @@ def plan_mix(
         F.count("*").alias("blocks"), (F.first("whole") * F.count("*") + F.sum(extra)).cast("long").alias("quota"))
     counted = pin(counted)
     runs = split_tree(counted.select("sid", "quota"), shards, seed)
+    # Spark takes the exploded runs for as small as the runs are and would broadcast them; they are as many as the draws.
     slots = runs.select("sid", "shard", F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("at"))
     draws = blocks.join(counted.select("sid", "blocks"), "sid").where(F.col("whole") + extra > 0)
     draws = draws.select("sid", "key", "block", "rank", "blocks", "whole", F.explode(F.sequence(F.lit(0).cast("long"), F.col("whole") + extra - 1)).alias("copy"),
                          (F.col("rest") - F.col("words_before")).alias("room"))
-    draws = draws.withColumn("at", F.col("copy") * F.col("blocks") + F.col("rank")).join(slots, ["sid", "at"])
+    draws = draws.withColumn("at", F.col("copy") * F.col("blocks") + F.col("rank")).join(slots.hint("merge"), ["sid", "at"])
     limit = F.when(F.col("copy") < F.col("whole"), F.lit((1 << 62))).otherwise(F.col("room"))
     drawn = draws.groupBy("key", "block").agg(F.sort_array(F.collect_list(F.struct("copy", "shard", limit.alias("room")))).alias("drawn"))
 
