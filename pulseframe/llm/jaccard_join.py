@@ -8,9 +8,14 @@ the candidate's own sorted set (its lists hold it exactly when its set holds the
 1. Documents with one set are one class. A pass over the texts sends each shingle, packed by range, to be counted; what comes
    back per document is how many of its shingles occur in another. Sets where that is below T have no partner.
 2. The sets that are left come back with the length of each shingle's list among them; each gives its short lists.
-3. Links are wanted up to components. Each member of a list is first held against the list's head, which is linear in the
-   list; then members of different components in a list are held against each other, pair by pair. Pairs inside a component
-   need no check. Lists are never collected.
+3. Links are wanted up to components. Each member of a list is first held against the list's head, the one with the fewest
+   shingles of its own, which is linear in the list. Then members of different components in a list are held against each
+   other; pairs inside a component need no check. Lists are never collected.
+4. Of a long list (over ``LONG`` sets) only some members are held against the others. Call a set's shingles with long
+   lists its common ones. Say A and B link and share no other shingles, and B' is the set with B's common shingles and the
+   fewest besides. Then A shares with B' as much at least, and B' is no larger than B, so A and B' link, for the same reason
+   B and A', and A' and B'. So of all sets with the same common shingles the one with the fewest besides stands for the others.
+   A pair that shares other shingles meets in a list that is not long, as the rarest common shingle is in both short parts.
 
 ``jaccard_components`` is this; ``jaccard_pairs`` gives all links between classes instead.
 
@@ -33,6 +38,7 @@ from pulseframe.llm.keycount import bucket_of
 from pulseframe.session import pin
 
 CHUNK_KEYS = 1 << 20
+LONG = 64
 LOW48 = np.uint64((1 << 48) - 1)
 PARTS = "bucket int, chunk long, kind int, counts binary, keys binary, ids array<long>, marks array<long>, sets array<binary>"
 NAMES = ["bucket", "chunk", "kind", "counts", "keys", "ids", "marks", "sets"]
@@ -184,7 +190,7 @@ def short_lists(percent: int):
                 doc.append(np.repeat(np.arange(len(counts)), counts))
                 key.append(np.frombuffer(r["keys"], np.uint64, n))
                 length.append(np.frombuffer(r["keys"], np.uint32, n, 8 * n))
-        out = {"set_id": [], "n": [], "shingle": []}
+        out = {"set_id": [], "n": [], "own": [], "common": [], "shingle": [], "long": []}
         if doc:
             doc, key, length = map(np.concatenate, (doc, key, length))
             order = np.lexsort((key, length, doc))
@@ -194,12 +200,20 @@ def short_lists(percent: int):
                 n = int(b - a)
                 least = -(-percent * n // 100)
                 short = slice(a, b - (least - 1))
-                mine = key[short][length[short] > 1]
+                shared = length[short] > 1
+                mine = key[short][shared]
+                common = np.sort(key[a:b][length[a:b] > LONG])
                 out["set_id"] += [s] * len(mine)
                 out["n"] += [n] * len(mine)
+                out["own"] += [n - len(common)] * len(mine)
+                out["common"] += [set_ids(common, np.array([0, len(common)]))[0] or b""] * len(mine)
                 out["shingle"].append(mine.view(np.int64))
-        shingle = np.concatenate(out["shingle"]) if out["shingle"] else np.empty(0, np.int64)
-        return pa.table({"set_id": pa.array(out["set_id"], pa.binary()), "n": pa.array(out["n"], pa.int64()), "shingle": shingle})
+                out["long"].append(length[short][shared] > LONG)
+        columns = [np.concatenate(out[k]) if out[k] else np.empty(0, t) for k, t in (("shingle", np.int64), ("long", bool))]
+        return pa.table({
+            "set_id": pa.array(out["set_id"], pa.binary()), "n": pa.array(out["n"], pa.int64()), "own": pa.array(out["own"], pa.int64()),
+            "common": pa.array(out["common"], pa.binary()), "shingle": columns[0], "long": columns[1],
+        })
 
     return run
 
@@ -253,7 +267,8 @@ class SetJoin:
         free_shuffles(self.spark)
 
     def candidates(self) -> tuple[DataFrame, DataFrame]:
-        """Sets that may have a partner, with their hashes; and their short lists (shingle, set_id, n)."""
+        """Sets that may have a partner, with their hashes; and their short lists: (shingle, long, set_id, n), with the number
+        of shingles whose lists are not long and the name of the set of the others."""
         enough = F.expr(f"100 * shared >= {self.percent} * n")
         first = F.struct("doc_id", "mark")
         classes = self.docs.where(F.col("set_id").isNotNull() & enough).groupBy("set_id").agg(F.min(first).alias("at"))
@@ -263,7 +278,7 @@ class SetJoin:
         free_shuffles(self.spark)
         parts = sets.mapInArrow(sender(2 * partitions(self.spark), True, of_sets), PARTS)
         counted = parts.groupBy("bucket").applyInArrow(count_lists(True), PARTS)
-        lists = pin(counted.groupBy("chunk").applyInArrow(short_lists(self.percent), "set_id binary, n long, shingle long"))
+        lists = pin(counted.groupBy("chunk").applyInArrow(short_lists(self.percent), "set_id binary, n long, own long, common binary, shingle long, long boolean"))
         free_shuffles(self.spark)
         return sets, lists
 
@@ -276,22 +291,36 @@ class SetJoin:
     def near(self, n: str, m: str):
         return F.expr(f"100 * least({n}, {m}) >= {self.percent} * greatest({n}, {m})")
 
-    def head_pairs(self, lists: DataFrame, last: bool) -> DataFrame:
-        """Each set with the head it shares most short lists with; the head of a list is its least set (or its last)."""
-        entry = F.struct("set_id", "n")
-        heads = lists.groupBy("shingle").agg((F.max(entry) if last else F.min(entry)).alias("head"), F.count("*").alias("size")).where("size > 1")
+    def head_pairs(self, lists: DataFrame, by: list[str]) -> DataFrame:
+        """Each set with the head it shares most short lists with; the head of a list is the least of its sets by ``by``."""
+        entry = F.struct(*by, "n", "set_id")
+        heads = lists.groupBy("shingle").agg(F.min(entry).alias("head"), F.count("*").alias("size")).where("size > 1")
         met = lists.join(heads, "shingle").where(F.col("set_id") != F.col("head.set_id")).where(self.near("n", "head.n"))
         shared = met.groupBy("set_id", F.col("head.set_id").alias("b")).agg(F.count("*").alias("hits"))
         best = shared.groupBy(F.col("set_id").alias("a")).agg(F.max(F.struct("hits", "b")).alias("best"))
         return best.select("a", F.col("best.b").alias("b"))
 
-    def cross_pairs(self, lists: DataFrame) -> DataFrame:
-        """Pairs of sets in one short list that are of different labels."""
-        mixed = lists.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("shingle")
-        left = pin(lists.join(mixed, "shingle", "left_semi"))
-        right = left.select("shingle", F.col("set_id").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"))
-        met = left.withColumnRenamed("set_id", "a").join(right, "shingle").where("label < other").where(self.near("n", "m"))
-        return met.select("a", "b").distinct()
+    def mixed(self, lists: DataFrame) -> DataFrame:
+        """The lists with sets of more than one label."""
+        some = lists.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("shingle")
+        return pin(lists.join(some, "shingle", "left_semi"))
+
+    def cross_pairs(self, lists: DataFrame, every: bool = False) -> DataFrame:
+        """Pairs of sets in one short list that are of different labels; of a long list those with a set that stands for
+        others, unless ``every`` one is wanted."""
+        left = lists.withColumnRenamed("set_id", "a")
+        right = lists.select("shingle", F.col("set_id").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"), "long", "common", "own")
+        if every:
+            met = left.join(right.drop("long", "common", "own"), "shingle").where("label < other")
+        else:
+            first = lists.where("long").groupBy("common").agg(F.min(F.struct("own", "set_id")).alias("first"))
+            stands = first.select(F.col("first.set_id").alias("b"))
+            few = right.where("NOT long").drop("long", "common", "own")
+            many = right.where("long").join(stands, "b", "left_semi").drop("long", "common", "own")
+            short = left.where("NOT long").join(few, "shingle").where("label < other")
+            met = short.unionByName(left.where("long").join(many, "shingle").where("label <> other"))
+        met = met.where(self.near("n", "m"))
+        return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def labelled(self, lists: DataFrame, links: DataFrame | None) -> DataFrame:
         if links is None:
@@ -304,20 +333,18 @@ def jaccard_pairs(docs: DataFrame, percent: int = 80, size: int = 5, doc_id: str
     """All links (a, b) between different sets, and the membership (doc_id, set_id, n) of documents."""
     join = SetJoin(docs, percent, size, doc_id, text)
     sets, lists = join.candidates()
-    return join.links(join.cross_pairs(join.labelled(lists, None)), sets), join.docs.select("doc_id", "set_id", "n")
+    return join.links(join.cross_pairs(join.labelled(lists, None), every=True), sets), join.docs.select("doc_id", "set_id", "n")
 
 
 def jaccard_components(docs: DataFrame, percent: int = 80, size: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document ``n_shingles`` and ``component_id``, the least document id that links reach."""
     join = SetJoin(docs, percent, size, doc_id, text)
     sets, lists = join.candidates()
-    links = pin(join.links(join.head_pairs(lists, False), sets))
-    known = join.labelled(lists, links)
-    mixed = known.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("shingle")
-    more = pin(join.links(join.head_pairs(pin(known.join(mixed, "shingle", "left_semi")), True), sets))
+    links = pin(join.links(join.head_pairs(lists, ["own"]), sets))
+    known = join.mixed(join.labelled(lists, links))
+    links = pin(links.union(join.links(join.head_pairs(known, []), sets)))
     free_shuffles(join.spark)
-    links = pin(links.union(more))
-    known = pin(join.labelled(lists, links))
+    known = join.mixed(join.labelled(known, links))
     links = pin(links.union(join.links(join.cross_pairs(known), sets)))
     free_shuffles(join.spark)
     labels = components(links).select(F.col("node").alias("set_id"), "label")
