@@ -18,6 +18,10 @@ from pyspark.sql import functions as F
 from pulseframe.llm.exprs import partitions
 
 
+#: Keys of a range, about: fewer ranges would leave tasks large, more would leave answers tiny.
+BUCKET_KEYS = 1 << 17
+
+
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     """The range a key falls in; sorted keys have sorted buckets."""
     return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
@@ -54,19 +58,22 @@ def add_up(rows: pa.Table) -> pa.Table:
     many, owner = np.empty(len(key), np.uint32), np.zeros(len(key), np.uint8)
     many[order] = np.minimum(total, 0xFFFFFFFF)[group]
     owner[order[first]] = 1
-    ends, hits = np.cumsum(sizes), []
-    for a, b in zip(ends - sizes, ends, strict=True):
+    ends, chunks, hits = np.cumsum(sizes), [], []
+    for chunk, a, b in zip(rows.column("chunk").to_pylist(), ends - sizes, ends, strict=True):
         k = np.flatnonzero(many[a:b] > 1) + a
-        hits.append(key[k].tobytes() + many[k].tobytes() + owner[k].tobytes())
-    return pa.table({"chunk": rows.column("chunk"), "hits": pa.array(hits, pa.binary())})
+        if len(k):
+            chunks.append(chunk)
+            hits.append(key[k].tobytes() + many[k].tobytes() + owner[k].tobytes())
+    return pa.table({"chunk": pa.array(chunks, pa.int64()), "hits": pa.array(hits, pa.binary())})
 
 
 def with_repeats(chunks: DataFrame) -> DataFrame:
     """``chunks`` (chunk, keys, ...; written, as it is read twice) with ``hits``, to be read by ``repeats``."""
-    buckets = 2 * partitions(chunks.sparkSession)
+    total = chunks.agg(F.sum(F.octet_length("keys"))).first()[0] or 0
+    buckets = min(2 * partitions(chunks.sparkSession), total // (8 * BUCKET_KEYS) + 1)
     parts = chunks.select("chunk", "keys").mapInArrow(split(buckets), "bucket int, chunk long, part binary")
     hits = parts.groupBy("bucket").applyInArrow(add_up, "chunk long, hits binary")
-    listed = hits.where(F.octet_length("hits") > 0).groupBy("chunk").agg(F.collect_list("hits").alias("hits"))
+    listed = hits.groupBy("chunk").agg(F.collect_list("hits").alias("hits"))
     return chunks.join(listed, "chunk", "left")
 
 
