@@ -36,7 +36,7 @@ def bronze_schema():
 
 @query("s1_bronze_csv", f"SELECT * FROM ({BRONZE_SQL})")
 def s1(spark: SparkSession, sf: str) -> DataFrame:
-    return files.read_bronze(spark, bronze_csv(spark, sf), bronze_schema()).drop(files.CORRUPT)
+    return files.read_bronze(spark, bronze_csv(spark, sf), bronze_schema()).drop(Q.CORRUPT)
 
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
@@ -150,12 +150,105 @@ def s9_bad(spark: SparkSession, sf: str) -> DataFrame:
     return bad.select("k", "reason")
 
 
+MALFORMED_SQL = f"SELECT * FROM ({BRONZE_SQL}) WHERE CAST(k AS BIGINT) % 5 <> 0"
+
+
+def malformed_csv(spark: SparkSession, sf: str) -> str:
+    """The raw records as lines of text, of which every fifth has fields too few or two too many."""
+    path = scratch(spark, "malformed")
+    raw = bronze(spark, sf)
+    names = [f.name for f in raw_schema()]
+    cells = [F.coalesce(F.concat(F.lit('"'), ref(c), F.lit('"')), F.lit("")) for c in names]
+    line = F.concat_ws(",", *cells)
+    key = F.col("k").cast("bigint")
+    text = F.when(key % 10 == 0, F.concat(F.lit("M,40,garbage-"), F.col("k"))).when(key % 5 == 0, F.concat(line, F.lit(",x,y"))).otherwise(line)
+    header = ",".join(f'"{c}"' for c in names)
+    files_ = raw.select(text.alias("line"), F.pmod(key, F.lit(4)).alias("part"))
+    for part in range(4):
+        one = files_.filter(F.col("part") == part).select("line").coalesce(1)
+        first = spark.range(1).select(F.lit(header).alias("line"))
+        first.unionByName(one).coalesce(1).write.mode("append").text(path)
+    return path
+
+
+@query("s1_malformed_lines", f"SELECT * EXCLUDE (k), FALSE AS malformed FROM ({MALFORMED_SQL}) UNION ALL"
+       f" SELECT {', '.join('NULL' for _ in raw_schema())}, TRUE FROM ({BRONZE_SQL}) WHERE CAST(k AS BIGINT) % 5 = 0")
+def s1_malformed(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines with too many or too few fields are told apart, also where few columns are read."""
+    read = files.read_bronze(spark, malformed_csv(spark, sf))
+    bad = ref(Q.CORRUPT).isNotNull()
+    return read.select(*[F.when(~bad, ref(f.name)).alias(f.name) for f in raw_schema()], bad.alias("malformed"))
+
+
+MALFORMED_FILL = (
+    f"WITH bronze AS ({MALFORMED_SQL}), typed AS ({S.TYPED_SELECT} FROM bronze), {S.clinical_fill('typed')} "
+)
+MALFORMED_PARTS = MALFORMED_FILL + (
+    f"SELECT 'passed' AS part, count(*) AS n, round(sum(\"BMI\"), 6) AS bmi FROM filled WHERE {S.SILVER_PASS} UNION ALL"
+    f" SELECT 'rejected', (SELECT count(*) FROM orders) - (SELECT count(*) FROM filled WHERE {S.SILVER_PASS}), NULL"
+)
+
+
+def parts_of(silver: DataFrame, rejected: DataFrame) -> DataFrame:
+    passed = silver.agg(F.lit("passed").alias("part"), F.count(F.lit(1)).alias("n"), F.round(F.sum("BMI"), 6).alias("bmi"))
+    return passed.unionByName(rejected.agg(F.lit("rejected").alias("part"), F.count(F.lit(1)).alias("n"), F.lit(None).cast("double").alias("bmi")))
+
+
+@query("q7_batch_run_malformed", MALFORMED_PARTS)
+def batch_malformed(spark: SparkSession, sf: str) -> DataFrame:
+    """Passed and rejected rows are all lines; the medians come from well-formed ones."""
+    out = run_batch(spark, malformed_csv(spark, sf), scratch(spark, "batch"), exact=True)
+    return parts_of(out["silver"], out["rejected"])
+
+
+@query("a4_a7_non_finite_parquet", "SELECT count(x) AS n, round(avg(x), 6) AS mean, round(corr(x, y), 6) AS r FROM (SELECT"
+       " CASE WHEN o_orderkey % 7 > 2 THEN CAST(o_totalprice AS DOUBLE) END AS x, CAST(o_custkey AS DOUBLE) AS y FROM orders)")
+def non_finite(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch(spark, "non-finite")
+    price, odd = F.col("o_totalprice").cast("double"), F.col("o_orderkey") % 7
+    spoilt = F.when(odd == 0, F.lit(float("nan"))).when(odd == 1, F.lit(float("inf"))).when(odd == 2, F.lit(float("-inf"))).otherwise(price)
+    table(spark, sf, "orders").select(spoilt.alias("x"), F.col("o_custkey").cast("double").alias("y")).write.parquet(path)
+    return files.read_parts(spark, path).agg(
+        F.count("x").alias("n"), F.round(F.avg("x"), 6).alias("mean"), F.round(F.corr("x", "y"), 6).alias("r")
+    )
+
+
+BODIES = {
+    0: ("oops{", "body is no JSON object or array"), 1: ("[null]", "an element is null"), 2: ('{"Age":"abc"}', "Age is no number"),
+    3: ("{}", "Sex is missing"), 4: ("[]", "the array is empty"), 5: ('{"Age":1.0} trailing', "body is no JSON object or array"),
+}
+
+
+def odd_bodies(spark: SparkSession, sf: str) -> DataFrame:
+    """A request per patient; those with k % 11 below six have one of the bodies that cannot be used."""
+    good = clinical(spark, sf).select("k", F.to_json(F.struct(*map(ref, NUMERIC_FEATURES + CATEGORY_FEATURES))).alias("body"))
+    body = F.col("body")
+    for k, (text, _) in BODIES.items():
+        body = F.when(F.col("k") % 11 == k, F.lit(text)).otherwise(body)
+    return good.select("k", body.alias("body"))
+
+
+BAD_REASON_SQL = "CASE " + " ".join(f"WHEN k % 11 = {k} THEN '{reason}'" for k, (_, reason) in BODIES.items()) + " END"
+
+
+@query("s9_bad_files", with_patients(
+    f"SELECT {BAD_REASON_SQL} AS reason, count(*) AS n FROM p WHERE k % 11 < 6 GROUP BY ALL"
+    " UNION ALL SELECT 'good', count(*) FROM p WHERE k % 11 >= 6"))
+def s9_bad_files(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch(spark, "bodies")
+    odd_bodies(spark, sf).select("body").write.text(path)
+    good, bad = files.read_requests(spark, path, multiline=False)
+    return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).unionByName(
+        good.agg(F.lit("good").alias("reason"), F.count(F.lit(1)).alias("n"))
+    )
+
+
 @query("s9_json_files", with_patients(f"SELECT {REQUEST_SQL} FROM p"))
 def s9_files(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "requests")
     sinks.write_json(clinical(spark, sf).select("k", *map(ref, NUMERIC_FEATURES + CATEGORY_FEATURES)), path)
     schema = request_schema().add("k", "long")
-    return files.read_requests(spark, path, schema, multiline=False).select(
+    return files.read_requests(spark, path, schema, multiline=False)[0].select(
         "k", "Age", "BMI", "`HDL (mg/dL)`", "Sex"
     )
 
@@ -186,7 +279,7 @@ def s2(spark: SparkSession, sf: str) -> DataFrame:
     schema = raw.schema
 
     def run() -> None:
-        stream = files.stream_bronze(spark, landing, schema)
+        stream = files.stream_bronze(spark, landing, schema).drop(Q.CORRUPT)
         stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", log).trigger(
             availableNow=True
         ).start().awaitTermination()
@@ -207,7 +300,8 @@ def batch_silver(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("q6_batch_run_outcomes", S.bronze_filled(
-    f"SELECT *, 'night' AS run_id FROM ({S.outcomes_sql('filled', Q.SILVER_RULES, 35)})"))
+    f"SELECT *, 'night' AS run_id FROM ({S.outcomes_sql('filled', Q.SILVER_RULES, 35)} UNION ALL"
+    " SELECT 'WellFormedLine', 'Passed', CAST(0 AS BIGINT), count(*) FROM filled)"))
 def batch_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     path = bronze_csv(spark, sf, keep_id=False)
     out = run_batch(

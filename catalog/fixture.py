@@ -113,6 +113,11 @@ def _dirty(short: str) -> str:
             f" WHEN {h(479923)} % 53 = 2 THEN '/79' WHEN {h(479923)} % 53 = 3 THEN 'abc'"
             f" WHEN {h(479923)} % 53 = 4 THEN NULL ELSE bp_text END"
         )
+    if short in ("bmi", "score"):
+        return (
+            f"CASE WHEN {h(287131)} % 97 = 0 THEN 'NaN' WHEN {h(287131)} % 97 = 1 THEN 'Infinity'"
+            f" WHEN {h(287131)} % 97 = 2 THEN '-Infinity' ELSE {text} END"
+        )
     return text
 
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import sqltext as S
-from catalog.files import bronze_csv, bronze_schema
+from catalog.files import MALFORMED_PARTS, bronze_csv, bronze_schema, malformed_csv, odd_bodies, parts_of
 from catalog.fixture import bronze_from, clinical, patients, table, with_patients
 from catalog.population import COHORT_SHORT
 from catalog.registry import query
@@ -16,13 +17,16 @@ from pulseframe.functions.names import ref
 from pulseframe.operators import cohorts as C
 from pulseframe.operators import encode as E
 from pulseframe.operators.mapping import apply_mapping, raw_mapping
-from pulseframe.operators.quality import SILVER_RULES, row_outcomes
+from pulseframe.operators.quality import CORRUPT, SILVER_RULES, row_outcomes
 from pulseframe.operators.risk import LEVEL_OUT, SCORE_OUT, RiskModel, Settings
+from pulseframe.operators.stats import regression_metrics
 from pulseframe.plans.etl import ClinicalFill, repair, route
+from pulseframe.plans.report import model_tiles, write_report
+from pulseframe.plans.requests import score_requests, what_if
 from pulseframe.plans.training import ablation, hold_out_report, load_or_train, split_rows
-from pulseframe.schema import CATEGORY_FEATURES, LEVEL, NUMERIC_FEATURES
+from pulseframe.schema import CATEGORY_FEATURES, IMPUTED, LEVEL, NUMERIC_FEATURES, SCORE
 from pulseframe.session import scratch
-from pulseframe.sources.files import stream_bronze
+from pulseframe.sources.files import read_bronze, stream_bronze
 from pulseframe.streaming.ingest import stream_to_silver, total_outcomes
 from pulseframe.streaming.scoring import score_stream
 
@@ -156,41 +160,67 @@ def a18(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame([(value,)], "silhouette double").select(F.round("silhouette", 6).alias("silhouette"))
 
 
-@query("m10_kmeans_assignment")
+def centres_of(fitted: C.Cohorts) -> list[list[float]]:
+    return [list(map(float, c)) for c in fitted.model.stages[-1].clusterCenters()]
+
+
+@query("m10_kmeans_assignment", with_patients("SELECT k, TRUE AS nearest FROM p"))
 def m10(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row has the cluster of the centre it is nearest to."""
     df = clinical(spark, sf)
-    return C.fit_cohorts(df).assign(df).select("k", C.CLUSTER, "cohort")
+    fitted = C.fit_cohorts(df)
+    vector = vector_to_array(F.col(C.FEATURES))
+    values = [F.get(vector, F.lit(i)) for i in range(6)]
+    return fitted.model.transform(df).select("k", (F.col(C.CLUSTER) == C.nearest_centre(values, centres_of(fitted))).alias("nearest"))
+
+
+def summary_of(spark: SparkSession, df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Clusters in use, rows in all of them, and whether the ten restarts' best beats a single cluster and each restart."""
+    fitted = C.fit_cohorts(df, columns)
+    scaler = C.PipelineModel(fitted.model.stages[:-1])
+    scaled = scaler.transform(df).select(C.FEATURES).persist()
+    others = [C.best_kmeans(scaled, C.CLUSTERS, 1, C.SEED + i).summary.trainingCost for i in range(C.RESTARTS)]
+    scaled.unpersist()
+    sizes = fitted.assign(df).groupBy(C.CLUSTER).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(
+        F.count(F.lit(1)).cast("int").alias("clusters"), F.sum("n").alias("assigned"),
+        (F.lit(fitted.cost) <= F.lit(min(others) * (1 + 1e-6))).alias("least_of_ten"),
+        (F.lit(fitted.cost) < F.sum("n") * len(columns or C.COHORT_FEATURES)).alias("tighter_than_one"),
+    )
+
+
+WHOLE = "SELECT 4 AS clusters, count(*) AS assigned, TRUE AS least_of_ten, TRUE AS tighter_than_one FROM "
 
 
-@query("m10_kmeans_whole", with_patients("SELECT 4 AS clusters, count(*) AS assigned, TRUE AS tighter_than_one FROM p"))
+@query("m10_kmeans_whole", with_patients(f"{WHOLE} p"))
 def m10_whole(spark: SparkSession, sf: str) -> DataFrame:
-    """Every row is assigned, all clusters are used, and they beat a single one (whose cost is rows x features)."""
-    df = clinical(spark, sf)
-    fitted = C.fit_cohorts(df, restarts=2)
-    return fitted.assign(df).agg(
-        F.count_distinct(C.CLUSTER).cast("int").alias("clusters"),
-        F.count(F.lit(1)).alias("assigned"),
-        (F.lit(fitted.cost) < F.count(F.lit(1)) * 6).alias("tighter_than_one"),
-    )
+    return summary_of(spark, clinical(spark, sf))
 
 
-@query("m10_kmeans_lineitem", "SELECT 4 AS clusters, count(*) AS assigned FROM lineitem")
+@query("m10_kmeans_lineitem", f"{WHOLE} lineitem")
 def m10_lineitem(spark: SparkSession, sf: str) -> DataFrame:
     df = table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice", "l_discount")
-    fitted = C.fit_cohorts(df, df.columns, restarts=2)
-    return fitted.assign(df).agg(
-        F.count_distinct(C.CLUSTER).cast("int").alias("clusters"), F.count(F.lit(1)).alias("assigned")
-    )
+    return summary_of(spark, df, df.columns)
 
 
-@query("m12_cluster_sweep")
+@query("m12_cluster_sweep", "SELECT CAST(k AS INTEGER) AS k, TRUE AS cost_is_of_its_centres, TRUE AS silhouette_in_bounds FROM range(2, 9) AS t(k)")
 def m12(spark: SparkSession, sf: str) -> DataFrame:
-    return C.sweep(clinical(spark, sf), restarts=2)
+    """Each k's cost is at least what its final centres cost: it was taken before their last update."""
+    df = clinical(spark, sf)
+    scaled = C.fit_scaler(df, C.COHORT_FEATURES).transform(df).select(C.FEATURES).persist()
+    rows = []
+    for k, cost, silhouette in map(tuple, C.sweep(df).collect()):
+        best = C.best_kmeans(scaled, k)
+        at = F.array(*[F.array(*map(F.lit, map(float, c))) for c in best.clusterCenters()])
+        apart = F.zip_with(vector_to_array(F.col(C.FEATURES)), F.get(at, F.col(C.CLUSTER)), lambda x, y: (x - y) * (x - y))
+        final = best.transform(scaled).agg(F.sum(F.aggregate(apart, F.lit(0.0), lambda a, x: a + x))).first()[0]
+        rows.append((k, final <= cost * (1 + 1e-6) and final > 0.5 * cost, -1.0 <= silhouette <= 1.0))
+    scaled.unpersist()
+    return spark.createDataFrame(rows, "k int, cost_is_of_its_centres boolean, silhouette_in_bounds boolean")
 
 
 # ---- risk model --------------------------------------------------------------------------------------------------
 
-SETTINGS = Settings(rounds=8)
 _BUNDLES: dict[tuple[str, str], str] = {}
 
 
@@ -208,13 +238,20 @@ def bundle(spark: SparkSession, sf: str) -> RiskModel:
     """One stored model per session and data set; later queries load what the first one trained."""
     where = (spark.sparkContext.applicationId, sf)
     path = _BUNDLES.setdefault(where, scratch(spark, "risk-model"))
-    model, _ = load_or_train(spark, table(spark, sf, "orders"), path, training_rows, SETTINGS)
+    model, _ = load_or_train(spark, table(spark, sf, "orders"), path, training_rows)
     return model
 
 
-@query("m5_m6_m7_scored_rows")
-def m7(spark: SparkSession, sf: str) -> DataFrame:
-    return bundle(spark, sf).score(silver_from(table(spark, sf, "orders"))).select("k", LEVEL, LEVEL_OUT, SCORE_OUT)
+@query("m5_m6_m7_held_out_quality", S.bronze_filled(
+    f"SELECT TRUE AS level_beats_majority, TRUE AS score_beats_mean, count(*) > 0 AS some FROM filled WHERE {S.SILVER_PASS}"))
+def m5_m6(spark: SparkSession, sf: str) -> DataFrame:
+    """On rows that the training did not see, levels are right more often than the commonest one and R2 is above zero."""
+    _, test = split_rows(silver_from(table(spark, sf, "orders")), F.col("k"))
+    majority = F.greatest(*[F.avg((ref(LEVEL) == v).cast("int")) for v in ("LOW", "INTERMEDIARY", "HIGH")]).alias("majority")
+    right = F.avg((ref(LEVEL) == ref(LEVEL_OUT)).cast("int")).alias("right")
+    found = regression_metrics(bundle(spark, sf).score(test), SCORE, SCORE_OUT, right, majority)
+    return found.select(
+        (F.col("right") > F.col("majority")).alias("level_beats_majority"), (F.col("r2") > 0).alias("score_beats_mean"), (F.col("n") > 0).alias("some"))
 
 
 @query("m7_every_row_scored", S.bronze_filled(
@@ -232,19 +269,24 @@ def m7_whole(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("m8_level_signal_ablation")
+@query("m8_level_signal_ablation", "SELECT use_signal, TRUE AS all_held_out, TRUE AS beats_mean FROM (VALUES (TRUE), (FALSE)) AS t(use_signal)")
 def m8(spark: SparkSession, sf: str) -> DataFrame:
     rest, test = split_rows(silver_from(table(spark, sf, "orders")), F.col("k"))
     rest, test = rest.persist(), test.persist()
-    report = ablation(rest, test, Settings(rounds=4))
-    return report.select("use_signal", "n", "r2", "mae", "rmse", "accuracy")
+    try:
+        n = test.filter(ref(SCORE).isNotNull()).count()
+        rows = [(r["use_signal"], r["n"] == n, r["r2"] > 0) for r in ablation(rest, test).collect()]
+    finally:
+        rest.unpersist()
+        test.unpersist()
+    return spark.createDataFrame(rows, "use_signal boolean, all_held_out boolean, beats_mean boolean")
 
 
 @query("m14_m15_load_train_refresh",
        "SELECT 1 AS step, 'trained' AS how UNION ALL SELECT 2, 'loaded' UNION ALL SELECT 3, 'refreshed'")
 def m14(spark: SparkSession, sf: str) -> DataFrame:
     """First run trains, the second loads, and after a new delivery the third trains again."""
-    landing, path, settings = scratch(spark, "landing"), scratch(spark, "risk-model"), Settings(rounds=2, kind="forest")
+    landing, path, settings = scratch(spark, "landing"), scratch(spark, "risk-model"), Settings()
     orders = table(spark, sf, "orders")
     orders.filter("o_orderkey % 4 > 0").write.parquet(landing)
     steps = []
@@ -256,10 +298,67 @@ def m14(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(steps, "step int, how string")
 
 
-@query("m16_hold_out_report")
+@query("m16_hold_out_report", "SELECT TRUE AS n_same, TRUE AS r2_same, TRUE AS mae_same, TRUE AS rmse_same, TRUE AS accuracy_same")
 def m16(spark: SparkSession, sf: str) -> DataFrame:
+    """The one-pass report equals its figures worked out one by one on the stored scores."""
     _, test = split_rows(silver_from(table(spark, sf, "orders")), F.col("k"))
-    return hold_out_report(bundle(spark, sf), test)
+    model, path = bundle(spark, sf), scratch(spark, "held-out")
+    model.score(test).write.parquet(path)
+    told = hold_out_report(model, test).first()
+    rows = spark.read.parquet(path)
+    known = rows.filter(ref(SCORE).isNotNull())
+    mean = known.agg(F.avg(ref(SCORE))).first()[0]
+    error, apart = ref(SCORE) - ref(SCORE_OUT), ref(SCORE) - F.lit(mean)
+    found = known.agg(
+        F.count(F.lit(1)).alias("n"), (1 - F.sum(error * error) / F.sum(apart * apart)).alias("r2"),
+        F.avg(F.abs(error)).alias("mae"), F.sqrt(F.avg(error * error)).alias("rmse"))
+    right = rows.agg(F.avg((ref(LEVEL) == ref(LEVEL_OUT)).cast("int")).alias("accuracy"))
+    return found.crossJoin(F.broadcast(right)).select(*[
+        (F.abs(F.col(c) - F.lit(told[c])) < 1e-6).alias(f"{c}_same") for c in ("n", "r2", "mae", "rmse", "accuracy")])
+
+
+# ---- requests, what-if and report --------------------------------------------------------------------------------
+
+@query("g3_request_job", with_patients(
+    "SELECT 'bad' AS part, count(*) AS n, TRUE AS complete FROM p WHERE k % 11 < 6 UNION ALL SELECT 'good', count(*), TRUE FROM p WHERE k % 11 >= 6"))
+def g3(spark: SparkSession, sf: str) -> DataFrame:
+    """Good and bad requests are all requests; each result has a level and a score."""
+    results, bad = score_requests(odd_bodies(spark, sf), bundle(spark, sf), keep=("k",))
+    level, score = F.get_json_object("result", f"$.{LEVEL_OUT}"), F.get_json_object("result", f"$.{SCORE_OUT}").cast("double")
+    whole = level.isin("LOW", "INTERMEDIARY", "HIGH") & score.isNotNull()
+    return results.agg(F.lit("good").alias("part"), F.count(F.lit(1)).alias("n"), F.bool_and(whole).alias("complete")).unionByName(
+        bad.agg(F.lit("bad").alias("part"), F.count(F.lit(1)).alias("n"), F.bool_and(F.col("reason").isNotNull()).alias("complete")))
+
+
+@query("g4_what_if", with_patients("SELECT count(*) AS n, TRUE AS levels, TRUE AS scores, TRUE AS cohorts FROM p"))
+def g4_what_if(spark: SparkSession, sf: str) -> DataFrame:
+    df = clinical(spark, sf)
+    rows = what_if(df, bundle(spark, sf), C.fit_cohorts(df))
+    return rows.agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(ref(LEVEL_OUT).isin("LOW", "INTERMEDIARY", "HIGH")).alias("levels"),
+        F.bool_and(ref(SCORE_OUT).isNotNull()).alias("scores"),
+        F.bool_and(F.col("cohort") == F.concat(F.lit("Cluster "), F.col(C.CLUSTER).cast("string"))).alias("cohorts"))
+
+
+# Rows of each tile: fixed by the silver columns and categories.
+TILE_ROWS = {
+    "headline": 1, "imputation_audit": 13, "correlation": 64, "bp_categories": 4, "hypertension": 1, "factor_distribution": 5,
+    "factor_prevalence": 4, "smoking_box": 2, "smoking_welch": 1, "cluster_sweep": 7, "hold_out": 1,
+}
+
+
+@query("g4_report_tiles", "SELECT * FROM (VALUES " + ", ".join(f"('{t}', CAST({n} AS BIGINT))" for t, n in TILE_ROWS.items()) + ") AS t(tile, n)"
+       + S.bronze_filled(f" SELECT count(*) FROM (SELECT DISTINCT age_band, \"CVD Risk Level\" FROM filled WHERE {S.SILVER_PASS})").join(
+           [" UNION ALL SELECT 'level_by_band', (", ")"]))
+def g4_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole dashboard report, written and counted."""
+    silver = silver_from(table(spark, sf, "orders")).persist()
+    out = scratch(spark, "report")
+    _, held_out = split_rows(silver, F.col("k"))
+    names = write_report(silver.drop("k"), out, model_tiles(silver, bundle(spark, sf), held_out))
+    silver.unpersist()
+    counts = [(name, spark.read.parquet(f"{out}/{name}").count()) for name in names]
+    return spark.createDataFrame(counts, "tile string, n long")
 
 
 # ---- streams -----------------------------------------------------------------------------------------------------
@@ -278,8 +377,48 @@ def st1(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{streamed(spark, sf)}/silver").drop("batch_id")
 
 
+@query("w4_stored_medians_new_groups", S.bronze_filled("SELECT count(*) AS n, CAST(0 AS BIGINT) AS empty_cells FROM filled"))
+def w4_new_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Medians of some groups, stored, read back and applied to all: no cell that the fitted rows have values for stays empty."""
+    typed, path = typed_bronze(spark, sf), scratch(spark, "medians")
+    young_men = typed.filter((F.col("Sex") == "M") & (F.col("Age") < 40))
+    ClinicalFill.fit(young_men, exact=True).save(path)
+    filled = ClinicalFill.load(spark, path).apply(typed)
+    empty = sum((ref(c).isNull().cast("int") for c in IMPUTED), F.lit(0))
+    return filled.agg(F.count(F.lit(1)).alias("n"), F.sum(empty).alias("empty_cells"))
+
+
+@query("st1_stream_new_groups", S.bronze_filled("SELECT count(*) AS n, CAST(0 AS BIGINT) AS differ FROM filled"))
+def st1_new_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream with medians of some groups gives the rows that one batch with them gives."""
+    typed, out = typed_bronze(spark, sf), scratch(spark, "stream")
+    fill = ClinicalFill.fit(typed.filter((F.col("Sex") == "M") & (F.col("Age") < 40)), exact=True)
+    source = stream_bronze(spark, bronze_csv(spark, sf, pieces=3), bronze_schema(), maxFilesPerTrigger=1)
+    stream_to_silver(source, fill, out, f"{out}/progress", keep=("k",)).awaitTermination()
+    both = route(row_outcomes(fill.apply(typed), SILVER_RULES), keep=["k"])
+    columns = [*S.SILVER_COLUMNS, "k"]
+    batch = both["silver"].select(*map(ref, columns))
+    online = spark.read.parquet(f"{out}/silver").select(*map(ref, columns))
+    n = F.count(F.lit(1))
+    rejected = spark.read.parquet(f"{out}/rejected").agg(n.alias("rejected"))
+    differ = batch.exceptAll(online).unionByName(online.exceptAll(batch)).agg(n.alias("differ"))
+    return online.agg(n.alias("kept")).crossJoin(F.broadcast(rejected)).crossJoin(F.broadcast(differ)).select(
+        (F.col("kept") + F.col("rejected")).alias("n"), "differ")
+
+
+@query("st1_stream_malformed", MALFORMED_PARTS)
+def st1_malformed(spark: SparkSession, sf: str) -> DataFrame:
+    out, path = scratch(spark, "stream"), malformed_csv(spark, sf)
+    read = read_bronze(spark, path)
+    whole = apply_mapping(read.filter(ref(CORRUPT).isNull()), raw_mapping())
+    source = stream_bronze(spark, path, maxFilesPerTrigger=2)
+    stream_to_silver(source, ClinicalFill.fit(whole, exact=True), out, f"{out}/progress").awaitTermination()
+    return parts_of(spark.read.parquet(f"{out}/silver"), spark.read.parquet(f"{out}/rejected"))
+
+
 @query("st1_stream_outcomes", S.bronze_filled(S.outcomes_sql("filled", SILVER_RULES, 35).replace(
-    "CAST(CASE WHEN 35 == 35 THEN 0 ELSE 1 END AS BIGINT)", "CAST(0 AS BIGINT)")))
+    "CAST(CASE WHEN 35 == 35 THEN 0 ELSE 1 END AS BIGINT)", "CAST(0 AS BIGINT)")
+    + " UNION ALL SELECT 'WellFormedLine', 'Passed', CAST(0 AS BIGINT), count(*) FROM filled"))
 def st1_outcomes(spark: SparkSession, sf: str) -> DataFrame:
     return total_outcomes(spark.read.parquet(f"{streamed(spark, sf)}/outcomes").drop("run_id"))
 

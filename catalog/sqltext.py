@@ -23,7 +23,7 @@ def typed_cell(name: str, kind: str) -> str:
     if kind == "string":
         return f"{q(name)} AS {q(name)}"
     if kind == "double":
-        return f"TRY_CAST({q(name)} AS DOUBLE) AS {q(name)}"
+        return f"CASE WHEN isfinite(TRY_CAST({q(name)} AS DOUBLE)) THEN TRY_CAST({q(name)} AS DOUBLE) END AS {q(name)}"
     target = {"int": "INTEGER", "bigint": "BIGINT"}[kind]
     return f"TRY_CAST(trunc(TRY_CAST({q(name)} AS DOUBLE)) AS {target}) AS {q(name)}"
 

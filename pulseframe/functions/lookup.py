@@ -45,7 +45,9 @@ def lookup(
     if fits_broadcast(table, rows, limit):
         joined = df.join(F.broadcast(right), reduce(lambda a, b: a & b, same), "left")
         return joined.drop(*renamed.values())
-    left = df.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    # The salt depends on the row alone: a retried task deals its rows as the lost one did.
+    hashed = [ref(c) for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    left = df.withColumn("__salt", F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))
     right = right.withColumn("__salt_of", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     same.append(F.col("__salt") == F.col("__salt_of"))
     joined = left.join(right, reduce(lambda a, b: a & b, same), "left")

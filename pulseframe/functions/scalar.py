@@ -12,7 +12,7 @@ def to_type(col: Column, kind: str, from_text: bool = True) -> Column:
     """Cast that gives NULL where the field does not parse. Whole numbers accept ``12.0`` through a double."""
     if kind in WHOLE_TYPES and from_text:
         return col.try_cast("double").try_cast(kind)
-    return col.try_cast(kind)
+    return finite(col.try_cast(kind)) if kind in ("double", "float") else col.try_cast(kind)
 
 
 def pair_part(text: Column, index: int, kind: str = "int", sep: str = "/") -> Column:
@@ -54,8 +54,9 @@ def as_category(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit("None"))
 
 
-def nan_to_null(col: Column) -> Column:
-    return F.nanvl(col, F.lit(None).cast("double"))
+def finite(col: Column) -> Column:
+    """NULL for NaN and the infinities: they compare above every bound and would spoil every sum they enter."""
+    return F.when(F.abs(col) < F.lit(float("inf")), col)
 
 
 def body_mass_index(weight: Column, height: Column) -> Column:

@@ -25,7 +25,6 @@ class FillStep:
     columns: list[str]
     medians: DataFrame
     rows: int
-    unfilled: list[str] = field(default_factory=list)
 
     def apply(self, df: DataFrame) -> DataFrame:
         if not self.columns:
@@ -49,10 +48,7 @@ def fit_step(
     else:
         table = approx_quantiles(df, keys, columns, accuracy=accuracy)
     table = pin(table)
-    state = table.agg(
-        F.count(F.lit(1)).alias("rows"), *[F.bool_or(ref(c).isNull()).alias(f"m{i}") for i, c in enumerate(columns)]
-    ).first()
-    return FillStep(keys, columns, table, state["rows"], [c for i, c in enumerate(columns) if state[f"m{i}"]])
+    return FillStep(keys, columns, table, table.count())
 
 
 @dataclass
@@ -79,11 +75,11 @@ class TierFill:
         return F.lit(False) if column in self.protect else ref(column).isNull()
 
     def save(self, path: str) -> None:
-        """Store the medians as one table per tier, plus a small description."""
-        spark = self.steps[0].medians.sparkSession
+        """Store the medians as one table per tier, plus a small description (its first row is that of the whole fill)."""
+        spark = SparkSession.active()
         for i, step in enumerate(self.steps):
             step.medians.write.mode("overwrite").parquet(f"{path}/tier-{i}")
-        about = [
+        about = [(-1, [], [], 0, self.columns, self.flags, self.protect)] + [
             (i, step.keys, step.columns, step.rows, self.columns, self.flags, self.protect)
             for i, step in enumerate(self.steps)
         ]
@@ -99,11 +95,11 @@ class TierFill:
             "tier int, keys array<string>, filled array<string>, rows bigint, columns array<string>, flags boolean, "
             "protect array<string>"
         )
-        about = spark.read.schema(schema).json(f"{path}/about").orderBy("tier").collect()
+        whole, *tiers = spark.read.schema(schema).json(f"{path}/about").orderBy("tier").collect()
         steps = [
-            FillStep(list(a.keys), list(a.filled), spark.read.parquet(f"{path}/tier-{a.tier}"), a.rows) for a in about
+            FillStep(list(a.keys), list(a.filled), spark.read.parquet(f"{path}/tier-{a.tier}"), a.rows) for a in tiers
         ]
-        return TierFill(list(about[0].columns), steps, about[0].flags, list(about[0].protect))
+        return TierFill(list(whole.columns), steps, whole.flags, list(whole.protect))
 
 
 def fit_tiers(
@@ -117,8 +113,8 @@ def fit_tiers(
 ) -> TierFill:
     """Fit one tier after the other, each on the values the tiers before it have filled.
 
-    A tier only covers the columns that the tier before it may have left empty: where every group has a median,
-    nothing is left and the later tier needs no pass over the data.
+    Every tier covers every column that is not protected: the fill may be applied to rows of groups that the fitted
+    rows did not have.
     """
     open_columns = [c for c in columns if c not in protect]
     steps: list[FillStep] = []
@@ -129,7 +125,6 @@ def fit_tiers(
         step = fit_step(current, open_columns, keys, exact, accuracy)
         steps.append(step)
         current = step.apply(current)
-        open_columns = step.unfilled
     return TierFill(columns, steps, flags, list(protect))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.functions.names import ref
-from pulseframe.functions.scalar import body_mass_index, first_digits, nan_to_null, pair_part, to_type
+from pulseframe.functions.scalar import body_mass_index, finite, first_digits, pair_part, to_type
 from pulseframe.schema import BP_TEXT, RAW_TYPES, silver_types
 
 Mapping = list[tuple[str, str, str]]
@@ -17,7 +17,10 @@ def apply_mapping(df: DataFrame, mapping: Mapping) -> DataFrame:
     kinds = dict(df.dtypes)
     return df.select(
         *[
-            (ref(source) if kinds[source] == kind else to_type(ref(source), kind, kinds[source] == "string")).alias(to)
+            (
+                ref(source) if kinds[source] == kind and kind not in ("double", "float")
+                else to_type(ref(source), kind, kinds[source] == "string")
+            ).alias(to)
             for source, to, kind in mapping
         ]
     )
@@ -71,10 +74,10 @@ def with_bmi(
     return df.withColumn(bmi, F.lit(default))
 
 
-def clear_nan(df: DataFrame) -> DataFrame:
-    """Turn NaN into NULL in every double column, as files written by other tools may carry it."""
+def finite_numbers(df: DataFrame) -> DataFrame:
+    """Turn NaN and the infinities into NULL in every double column, as files written by other tools may carry them."""
     doubles = [c for c, kind in df.dtypes if kind in ("double", "float")]
-    return df.withColumns({c: nan_to_null(ref(c)) for c in doubles}) if doubles else df
+    return df.withColumns({c: finite(ref(c)) for c in doubles}) if doubles else df
 
 
 def present_groups(df: DataFrame, groups: dict[str, list[str]]) -> dict[str, list[str]]:

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulseframe.functions.names import ref
 from pulseframe.functions.scalar import half_even, is_one_of, is_value, share_of
 from pulseframe.schema import HYPERTENSION
 
+PAIRS_COMPILED = 14
+
 
 def headline(df: DataFrame, score: str = "CVD Risk Score", level: str = "CVD Risk Level", high: str = "HIGH") -> DataFrame:
     """Row count, mean score and share of high-risk rows in percent."""
@@ -37,20 +40,24 @@ def imputation_audit(df: DataFrame, flags: list[str]) -> DataFrame:
 def correlation(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson matrix in long form (a, b, r), each pair over the rows where both values are known.
 
-    One aggregation computes each pair once; the mirror and the diagonal are filled in from it.
+    Pairs are computed once, in aggregates of few enough buffer fields (six a pair) that each is compiled; the mirror is
+    filled in. A column with itself gives 1 where its values differ.
     """
-    pairs = list(combinations(range(len(cols)), 2))
     values = df.select(*[ref(c).cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
-    one = values.agg(
-        *[F.corr(f"c{i}", f"c{j}").alias(f"r{i}_{j}") for i, j in pairs],
-        *[F.corr(f"c{i}", f"c{i}").alias(f"r{i}_{i}") for i in range(len(cols))],
-    )
-    cells = [
-        F.struct(F.lit(cols[i]).alias("a"), F.lit(cols[j]).alias("b"), F.col(f"r{min(i, j)}_{max(i, j)}").alias("r"))
-        for i in range(len(cols))
-        for j in range(len(cols))
-    ]
-    return one.select(F.inline(F.array(*cells)))
+    pairs, parts = list(combinations(range(len(cols)), 2)), []
+    for at in range(0, len(pairs), PAIRS_COMPILED):
+        some = pairs[at : at + PAIRS_COMPILED]
+        one = values.agg(*[F.corr(f"c{i}", f"c{j}").alias(f"r{i}_{j}") for i, j in some])
+        parts.append(one.select(F.inline(F.array(*[
+            _cell(cols[x], cols[y], F.col(f"r{i}_{j}")) for i, j in some for x, y in ((i, j), (j, i))
+        ]))))
+    spread = values.agg(*[F.when(F.min(f"c{i}") < F.max(f"c{i}"), F.lit(1.0)).alias(f"r{i}") for i in range(len(cols))])
+    parts.append(spread.select(F.inline(F.array(*[_cell(c, c, F.col(f"r{i}")) for i, c in enumerate(cols)]))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _cell(a: str, b: str, r: Column) -> Column:
+    return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r"))
 
 
 def null_profile(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
@@ -100,9 +107,7 @@ def level_by_band(
 def category_shares(df: DataFrame, column: str) -> DataFrame:
     """Count and share of each value."""
     counts = df.groupBy(ref(column)).agg(F.count(F.lit(1)).alias("n"))
-    # One row per category reaches the window.
-    total = F.sum("n").over(Window.partitionBy(F.lit(1)))
-    return counts.withColumn("share_pct", F.col("n").cast("double") / total * 100)
+    return counts.withColumn("share_pct", F.col("n").cast("double") / F.lit(df.count()) * 100)
 
 
 def hypertension_prevalence(df: DataFrame, column: str = "Blood Pressure Category") -> DataFrame:

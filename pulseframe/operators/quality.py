@@ -17,7 +17,7 @@ COMPARE = {
 
 
 class Rule(NamedTuple):
-    """``kind`` is complete, values or column_count."""
+    """``kind`` is complete, values, absent or column_count."""
 
     id: str
     kind: str
@@ -33,11 +33,13 @@ class Rule(NamedTuple):
         """Row predicate that is never NULL: a missing value does not meet a value rule."""
         if self.kind == "complete":
             return ref(self.column).isNotNull()
+        if self.kind == "absent":
+            return ref(self.column).isNull()
         return F.coalesce(COMPARE[self.op](ref(self.column), F.lit(self.value)), F.lit(False))
 
     def holds_for(self, df: DataFrame) -> bool:
         """Dataset rule, answered from the schema alone."""
-        return COMPARE[self.op](len(df.columns), self.value)
+        return COMPARE[self.op](len([c for c in df.columns if c != CORRUPT]), self.value)
 
 
 def complete(*columns: str) -> list[Rule]:
@@ -71,6 +73,9 @@ SILVER_RULES = [
     values("Systolic BP", ">=", 70),
     values("Diastolic BP", ">=", 40),
 ]
+# A line of a text file that has more or fewer fields than the header.
+CORRUPT = "_corrupt_record"
+WELL_FORMED = Rule("WellFormedLine", "absent", CORRUPT)
 SINK_RULES = [column_count(">", 0)]
 
 

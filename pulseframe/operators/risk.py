@@ -6,7 +6,7 @@ of scoring is JVM work on executors, for tables and for streams.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -130,6 +130,11 @@ def train(df: DataFrame, settings: Settings | None = None) -> RiskModel:
     Rows without a known level or score carry no target and cannot be learned from.
     """
     settings = settings or Settings()
+    return train_variants(df, settings, (settings.use_signal,))[0]
+
+
+def train_variants(df: DataFrame, settings: Settings, signals: tuple[bool, ...] = (True, False)) -> list[RiskModel]:
+    """A model for each choice of ``use_signal``; they share the first stage, which does not depend on it."""
     shared_dir(df.sparkSession)
     require_columns(df, [*NUMERIC_FEATURES, *CATEGORY_FEATURES, LEVEL, SCORE])
     inputs = fit_inputs(df, settings.unseen)
@@ -145,16 +150,20 @@ def train(df: DataFrame, settings: Settings | None = None) -> RiskModel:
     ready = ready.persist()
     try:
         stage1 = PipelineModel([*inputs.stages, *_fit_levels(ready, labels, settings)])
-        columns = [INPUTS, SIGNAL] if settings.use_signal else [INPUTS]
-        vector = VectorAssembler(inputCols=columns, outputCol=INPUTS_WITH_LEVEL)
-        scorer = GBTRegressor(
-            featuresCol=INPUTS_WITH_LEVEL, labelCol="score", predictionCol="stage2_prediction",
-            maxIter=settings.rounds, stepSize=settings.step, maxBins=settings.bins, maxDepth=settings.depth,
-            seed=settings.seed,
-        ).fit(vector.transform(ready.withColumnRenamed("level_code", SIGNAL)))
+        models = []
+        for use_signal in signals:
+            columns = [INPUTS, SIGNAL] if use_signal else [INPUTS]
+            vector = VectorAssembler(inputCols=columns, outputCol=INPUTS_WITH_LEVEL)
+            scorer = GBTRegressor(
+                featuresCol=INPUTS_WITH_LEVEL, labelCol="score", predictionCol="stage2_prediction",
+                maxIter=settings.rounds, stepSize=settings.step, maxBins=settings.bins, maxDepth=settings.depth,
+                seed=settings.seed,
+            ).fit(vector.transform(ready.withColumnRenamed("level_code", SIGNAL)))
+            stage2 = PipelineModel([vector, scorer])
+            models.append(RiskModel(stage1, stage2, labels, replace(settings, use_signal=use_signal)))
     finally:
         ready.unpersist()
-    return RiskModel(stage1, PipelineModel([vector, scorer]), labels, settings)
+    return models
 
 
 def _fit_levels(ready: DataFrame, labels: list[str], settings: Settings) -> list[Transformer]:

@@ -36,7 +36,7 @@ def natural_key(columns: list[str]) -> Column:
 def row_key(df: DataFrame, *more: Column) -> Column:
     """Key of a table without an id: a 128-bit digest of the whole row, missing cells included.
 
-    64 bits would collide somewhere in some billions of rows. Identical rows share a key.
+    64 bits would collide somewhere in some billions of rows. Identical rows share a key and one row of ``dim_patient``.
     """
     return F.md5(F.to_json(F.struct(*map(ref, df.columns), *more), {"ignoreNullFields": "false"}))
 
@@ -64,7 +64,7 @@ def build_star(silver: DataFrame, patient_key: str | None = None) -> dict[str, D
     )
     tables = {
         "fact_patient_risk": fact,
-        "dim_patient": keyed.select("patient_key", *map(ref, PATIENT_COLUMNS)),
+        "dim_patient": keyed.select("patient_key", *map(ref, PATIENT_COLUMNS)).dropDuplicates(["patient_key"]),
     }
     return tables | {f"dim_{name}": dimension(silver, name) for name in DIMENSIONS}
 
@@ -82,8 +82,8 @@ def write_star(tables: dict[str, DataFrame], database: str | None, path: str) ->
 def join_star(tables: dict[str, DataFrame], *names: str) -> DataFrame:
     """The fact joined to the named dimensions.
 
-    The category dimensions are broadcast behind a check of their size. ``dim_patient`` has a row per fact row and is
-    joined by shuffle on its key, which no hot key can dominate.
+    The category dimensions are broadcast behind a check of their size. ``dim_patient`` has a row per distinct patient and
+    is joined by a sort-merge on its key, whose skewed partitions (many identical fact rows) adaptive execution splits.
     """
     joined = tables["fact_patient_risk"]
     for name in names or ("patient", *DIMENSIONS):

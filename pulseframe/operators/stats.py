@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,40 +64,40 @@ def welch(df: DataFrame, group: str, value: str, first: object, second: object)
     return stat.withColumn("p", two_sided_p("t", "df"))
 
 
-def _beta_fraction(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta function, evaluated from the front."""
-    tiny = 1e-300
-    c, d = 1.0, 1.0 - (a + b) * x / (a + 1.0)
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    total = d
-    for m in range(1, 10_000):
-        even = m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
-        odd = -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
-        for term in (even, odd):
-            d = 1.0 + term * d
-            d = 1.0 / (d if abs(d) > tiny else tiny)
-            c = 1.0 + term / c
-            c = c if abs(c) > tiny else tiny
-            total *= c * d
-        if abs(c * d - 1.0) < 1e-15:
-            break
-    return total
+NODES, NODE_WEIGHTS = np.polynomial.legendre.leggauss(400)
+GAMMA_SHIFT = 30
+
+
+def log_gamma_step(a: float) -> float:
+    """log(gamma(a + 1/2) / gamma(a)): its asymptotic series at ``a + 30``, brought back by the recurrence."""
+    up = a + GAMMA_SHIFT
+    series = 0.5 * math.log(up) - 1 / (8 * up) + 1 / (192 * up**3) - 1 / (640 * up**5)
+    return series - sum(math.log1p(0.5 / (a + k)) for k in range(GAMMA_SHIFT))
 
 
 def student_p(t: float, df: float) -> float:
-    """Two-sided tail probability of Student's t."""
+    """Two-sided tail probability of Student's t, by one formula for all degrees of freedom.
+
+    With w = df/2 * log((1 + u^2/df) / (1 + t^2/df)) the tail of the density is a constant times the integral of
+    exp(-w) * sqrt(q) / u, where q = 1 + u^2/df; w = t^2/2 * sinh(z)^2 makes that smooth down to t = 0.
+    """
     if t is None or df is None or math.isnan(t) or math.isnan(df):
         return float("nan")
-    if df > 1e7:
-        return math.erfc(abs(t) / math.sqrt(2.0))
-    x = df / (df + t * t)
-    if x >= 1.0:
+    t = abs(t)
+    if t == 0:
         return 1.0
-    a, b = df / 2.0, 0.5
-    log_front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return math.exp(log_front) * _beta_fraction(a, b, x) / a
-    return 1.0 - math.exp(log_front) * _beta_fraction(b, a, 1.0 - x) / b
+    if math.isinf(t):
+        return 0.0
+    end = math.asinh(7 * math.sqrt(2) / t)
+    z = (NODES + 1) * end / 2
+    s = t / math.sqrt(2) * np.sinh(z)
+    start = t * t / df
+    grown = np.expm1(np.minimum(2 * s * s / df, 700))
+    above = start + (1 + start) * grown
+    inside = np.exp(-s * s) * np.sqrt((1 + above) / (df * above)) * 2 * s * t / math.sqrt(2) * np.cosh(z)
+    area = float((inside * NODE_WEIGHTS).sum()) * end / 2
+    front = log_gamma_step(df / 2) - 0.5 * math.log(df * math.pi) - df / 2 * math.log1p(start)
+    return min(1.0, 2 * math.exp(front) * area)
 
 
 def two_sided_p(t: str, df: str) -> Column:
@@ -109,14 +110,18 @@ def two_sided_p(t: str, df: str) -> Column:
     return p_value(F.col(t), F.col(df))
 
 
-def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """R2, mean absolute error and root mean squared error over the rows where both are known, in one pass."""
+def regression_metrics(df: DataFrame, actual: str, predicted: str, *more: Column) -> DataFrame:
+    """R2, mean absolute error and root mean squared error over the rows where both are known, in one pass.
+
+    ``more`` are further aggregates, over all rows.
+    """
     y, p = ref(actual).cast("double"), ref(predicted).cast("double")
-    known = df.filter(y.isNotNull() & p.isNotNull())
-    error = y - p
-    return known.agg(
-        F.count(F.lit(1)).alias("n"),
-        (F.lit(1.0) - F.try_divide(F.sum(error * error), F.var_pop(y) * F.count(F.lit(1)))).alias("r2"),
+    both = y.isNotNull() & p.isNotNull()
+    y, error = F.when(both, y), y - p
+    return df.agg(
+        F.count(y).alias("n"),
+        (F.lit(1.0) - F.try_divide(F.sum(error * error), F.var_pop(y) * F.count(y))).alias("r2"),
         F.avg(F.abs(error)).alias("mae"),
         F.sqrt(F.avg(error * error)).alias("rmse"),
+        *more,
     )

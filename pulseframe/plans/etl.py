@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from pulseframe.functions.names import ref
 from pulseframe.functions.quantiles import ACCURACY
 from pulseframe.functions.scalar import band
 from pulseframe.operators.impute import TierFill, fit_tiers
 from pulseframe.operators.mapping import apply_mapping, raw_mapping, silver_mapping, split_pair
 from pulseframe.operators.quality import (
-    SILVER_RULES, Rule, failed_rows, passed_rows, row_outcomes, rule_outcomes,
+    CORRUPT, SILVER_RULES, WELL_FORMED, Rule, failed_rows, outcome_rows, passed_rows, row_outcomes, rule_metrics,
 )
 from pulseframe.schema import AGE_BAND, IMPUTED
-from pulseframe.session import scratch
-from pulseframe.sources.files import CORRUPT, read_bronze
+from pulseframe.session import discard, scratch
+from pulseframe.sources.files import read_bronze
 from pulseframe.sources.sinks import publish_outcomes, write_parquet, write_table
 
 
@@ -76,7 +79,7 @@ def run_batch(
     bronze_path: str,
     out_dir: str,
     table: str | None = None,
-    run_id: str = "batch",
+    run_id: str | None = None,
     rules: list[Rule] | None = None,
     protect: list[str] | tuple[str, ...] = (),
     exact: bool = False,
@@ -85,27 +88,34 @@ def run_batch(
     """The whole job: silver, rejected, outcomes, and the medians that were used.
 
     The text files are parsed once into a typed copy in the shared folder; the median passes then read only the
-    columns they need from it. Filling and checking are narrow, so the sinks and the rule counts read the typed copy
-    without a shuffle of rows.
+    columns they need from it. Filling and checking are narrow, so both sinks read the typed copy without a shuffle of
+    rows, and the rules are counted while the first one is written. Lines with too many or too few fields are rejected
+    with their text and take no part in the medians. Each run publishes its outcomes under an id of its own.
     """
-    rules = SILVER_RULES if rules is None else rules
+    rules = [*(SILVER_RULES if rules is None else rules), WELL_FORMED]
+    run_id = run_id or f"{datetime.now(UTC):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     typed_path = scratch(spark, "typed")
-    bronze = read_bronze(spark, bronze_path).drop(CORRUPT)
-    apply_mapping(bronze, raw_mapping()).write.parquet(typed_path)
-    typed = spark.read.parquet(typed_path)
-
-    fill = ClinicalFill.fit(typed, protect=protect, exact=exact, accuracy=accuracy)
-    fill.save(f"{out_dir}/medians")
-    repaired = fill.apply(typed)
-    checked = row_outcomes(repaired, rules)
-
-    write_parquet(failed_rows(checked), f"{out_dir}/rejected")
-    silver = route(checked)["silver"]
-    if table is None:
-        write_parquet(silver, f"{out_dir}/silver")
-    else:
-        write_table(silver, table, f"{out_dir}/silver")
-    publish_outcomes(rule_outcomes(repaired, rules), f"{out_dir}/outcomes", run_id)
+    bronze = read_bronze(spark, bronze_path)
+    apply_mapping(bronze, raw_mapping(keep=[CORRUPT])).write.parquet(typed_path)
+    try:
+        typed = spark.read.parquet(typed_path)
+        whole = typed.filter(ref(CORRUPT).isNull()).drop(CORRUPT)
+        fill = ClinicalFill.fit(whole, protect=protect, exact=exact, accuracy=accuracy)
+        fill.save(f"{out_dir}/medians")
+        repaired = fill.apply(typed)
+        counts = Observation(f"rules-{uuid.uuid4().hex}")
+        checked = row_outcomes(repaired, rules)
+        write_parquet(failed_rows(checked.observe(counts, *rule_metrics(rules))), f"{out_dir}/rejected")
+        silver = route(checked)["silver"]
+        if table is None:
+            write_parquet(silver, f"{out_dir}/silver")
+        else:
+            write_table(silver, table, f"{out_dir}/silver")
+        found = counts.get
+        totals = spark.createDataFrame([tuple(found.values())], ", ".join(f"{name} long" for name in found))
+        publish_outcomes(outcome_rows(repaired, rules, totals), f"{out_dir}/outcomes", run_id)
+    finally:
+        discard(spark, typed_path)
     return {
         "silver": spark.read.parquet(f"{out_dir}/silver"),
         "rejected": spark.read.parquet(f"{out_dir}/rejected"),

@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame
 
 from pulseframe.functions.names import with_suffix
 from pulseframe.operators import profile as P
+from pulseframe.operators.cohorts import sweep
+from pulseframe.operators.risk import RiskModel
 from pulseframe.operators.stats import box_stats, welch
+from pulseframe.plans.training import hold_out_report
 from pulseframe.schema import NUMERIC_FEATURES, SCORE
 from pulseframe.sources.sinks import write_parquet
 
@@ -26,9 +29,14 @@ def tiles(silver: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def write_report(silver: DataFrame, out_dir: str) -> list[str]:
+def model_tiles(silver: DataFrame, model: RiskModel, held_out: DataFrame) -> dict[str, DataFrame]:
+    """The tiles that rest on fitted models: the cluster sweep and the hold-out figures."""
+    return {"cluster_sweep": sweep(silver), "hold_out": hold_out_report(model, held_out)}
+
+
+def write_report(silver: DataFrame, out_dir: str, more: dict[str, DataFrame] | None = None) -> list[str]:
     """Write every tile as a table of its own; returns their names."""
-    made = tiles(silver)
+    made = tiles(silver) | (more or {})
     for name, df in made.items():
         write_parquet(df, f"{out_dir}/{name}")
     return list(made)

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import logging
-from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe.functions.names import ref
 from pulseframe.operators.encode import hash_bucket, hold_out
-from pulseframe.operators.risk import LEVEL_OUT, SCORE_OUT, RiskModel, Settings, train
+from pulseframe.operators.risk import LEVEL_OUT, SCORE_OUT, RiskModel, Settings, train, train_variants
 from pulseframe.operators.stats import regression_metrics
 from pulseframe.schema import LEVEL, SCORE
 
@@ -71,16 +70,14 @@ def split_rows(df: DataFrame, key: Column, percent: int = 20, seed: int = 42) ->
 
 def hold_out_report(model: RiskModel, test: DataFrame) -> DataFrame:
     """R2, MAE, RMSE of the score and the share of right levels on held-out rows."""
-    scored = model.score(test)
-    right = scored.agg(F.avg((ref(LEVEL) == ref(LEVEL_OUT)).cast("int")).alias("accuracy")).first()[0]
-    return regression_metrics(scored, SCORE, SCORE_OUT).withColumn("accuracy", F.lit(right).cast("double"))
+    right = F.avg((ref(LEVEL) == ref(LEVEL_OUT)).cast("int")).alias("accuracy")
+    return regression_metrics(model.score(test), SCORE, SCORE_OUT, right)
 
 
 def ablation(train_rows: DataFrame, test_rows: DataFrame, settings: Settings | None = None) -> DataFrame:
     """Hold-out figures with and without the level as an input to the score."""
-    settings = settings or Settings()
-    reports = []
-    for use_signal in (True, False):
-        model = train(train_rows, replace(settings, use_signal=use_signal))
-        reports.append(hold_out_report(model, test_rows).withColumn("use_signal", F.lit(use_signal)))
+    reports = [
+        hold_out_report(model, test_rows).withColumn("use_signal", F.lit(model.settings.use_signal))
+        for model in train_variants(train_rows, settings or Settings())
+    ]
     return reports[0].unionByName(reports[1])

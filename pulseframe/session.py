@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -25,14 +26,16 @@ def local_session(app: str = "pulseframe", cores: str = "*", shuffle_partitions:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where nothing is set, as in a local test, is a
-    temporary folder made and set.
+    The cluster names it in ``spark.checkpoint.dir``. Only where nothing is set and all runs in one process, as in a local
+    test, is a temporary folder made and set.
     """
     sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named is None and sc.getCheckpointDir() is None and not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if sc.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="pulseframe-"))
-    return spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    return named or sc.getCheckpointDir()
 
 
 def scratch(spark: SparkSession, label: str) -> str:
@@ -40,6 +43,12 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete what a step wrote below the shared folder, in whatever store that is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def pin(df: DataFrame) -> DataFrame:
     """Write a small derived table once, so that later steps and task retries all see the same rows."""
     shared_dir(df.sparkSession)

@@ -4,30 +4,37 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamReader
 
 from pulseframe.functions.names import ref
-from pulseframe.schema import raw_schema, request_schema
-
-# Dialect of the bronze files.
-CSV_OPTIONS = {"header": "true", "quote": '"', "sep": ",", "mode": "PERMISSIVE"}
-CORRUPT = "_corrupt_record"
+from pulseframe.operators.mapping import finite_numbers
+from pulseframe.operators.quality import CORRUPT
+from pulseframe.schema import CATEGORY_FEATURES, raw_schema, request_schema
+
+# Dialect of the bronze files. Whole lines are parsed whatever columns are read, or a line's flaws would
+# depend on the columns.
+CSV_OPTIONS = {
+    "header": "true", "quote": '"', "sep": ",", "mode": "PERMISSIVE", "columnPruning": "false",
+    "columnNameOfCorruptRecord": CORRUPT,
+}
 JSON_TYPE = "application/json"
 
 
 def read_bronze(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A directory of CSV files as text columns, never inferred; short or long lines keep their text aside."""
-    fields = (schema or raw_schema()).add(CORRUPT, T.StringType())
-    reader = spark.read.schema(fields).options(**CSV_OPTIONS)
-    return reader.option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    return spark.read.schema(_with_corrupt(schema)).options(**CSV_OPTIONS).csv(path)
+
+
+def _with_corrupt(schema: T.StructType | None) -> T.StructType:
+    return T.StructType([*(schema or raw_schema()).fields, T.StructField(CORRUPT, T.StringType())])
 
 
 def stream_bronze(spark: SparkSession, path: str, schema: T.StructType | None = None, **options) -> DataFrame:
     """The same directory as a stream of files; each run takes up only files not seen before."""
-    reader: DataStreamReader = spark.readStream.schema(schema or raw_schema()).options(**CSV_OPTIONS, **options)
+    reader: DataStreamReader = spark.readStream.schema(_with_corrupt(schema)).options(**CSV_OPTIONS, **options)
     return reader.csv(path)
 
 
@@ -41,7 +48,7 @@ def read_parts(spark: SparkSession, *paths: str, merge: bool = True) -> DataFram
         if "UNABLE_TO_INFER_SCHEMA" in str(problem) or "PATH_NOT_FOUND" in str(problem):
             raise FileNotFoundError(f"no .parquet files below {', '.join(paths)}") from problem
         raise
-    return found
+    return finite_numbers(found)
 
 
 def union_by_name(*frames: DataFrame) -> DataFrame:
@@ -49,10 +56,26 @@ def union_by_name(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def read_requests(spark: SparkSession, path: str, schema: T.StructType | None = None, multiline: bool = True) -> DataFrame:
-    """JSON files of scoring requests: an object is one row, an array one row per element."""
-    reader = spark.read.schema(schema or request_schema()).option("multiLine", str(multiline).lower())
-    return reader.json(path)
+def read_requests(spark: SparkSession, path: str, schema: T.StructType | None = None, multiline: bool = True) -> tuple[DataFrame, DataFrame]:
+    """JSON files of scoring requests: (one row per request, unreadable ones with file and reason).
+
+    An object is one request, an array one per element; with ``multiline`` a file is one body, else each line is.
+    """
+    bodies = spark.read.option("wholetext", str(multiline).lower()).text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("value").alias("body")
+    )
+    good, bad = parse_requests(bodies.filter(F.trim("body") != ""), "body", schema=schema)
+    return good.drop("file"), bad
+
+
+def _problem(element: Column, fields: T.StructType, required: list[str]) -> Column:
+    """What is wrong with one request, given as a map of texts; NULL if nothing is."""
+    numbers = [f.name for f in fields if isinstance(f.dataType, T.NumericType)]
+    no_number = [
+        F.when(element[c].isNotNull() & element[c].try_cast("double").isNull(), F.lit(f"{c} is no number")) for c in numbers
+    ]
+    absent = [F.when(element[c].isNull(), F.lit(f"{c} is missing")) for c in required if c in fields.names]
+    return F.when(element.isNull(), F.lit("an element is null")).otherwise(F.coalesce(*no_number, *absent, F.lit(None)))
 
 
 def parse_requests(
@@ -60,14 +83,28 @@ def parse_requests(
     body: str = "body",
     content_type: str | None = None,
     schema: T.StructType | None = None,
+    required: list[str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Request bodies in a column: (one row per request element, bodies that cannot be read with the reason)."""
+    """Request bodies in a column: (one row per request element, bodies that cannot be used with the reason).
+
+    Missing numbers are left to the model, which fills them; the ``required`` fields, by default the categories, must be
+    there. One bad element makes the body bad.
+    """
     fields = schema or request_schema()
-    parsed = df.withColumn(
-        "__rows",
-        F.from_json(ref(body), T.ArrayType(fields), {"mode": "PERMISSIVE"}),
+    required = CATEGORY_FEATURES if required is None else required
+    text = F.trim(ref(body))
+    listed = F.when(text.startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text)
+    texts = F.from_json(listed, T.ArrayType(T.MapType(T.StringType(), T.StringType())), {"mode": "PERMISSIVE"})
+    parsed = df.withColumns({
+        "__texts": F.when(F.try_parse_json(ref(body)).isNotNull(), texts),
+        "__rows": F.from_json(ref(body), T.ArrayType(fields), {"mode": "PERMISSIVE"}),
+    })
+    problems = F.array_compact(F.transform("__texts", lambda e: _problem(e, fields, required)))
+    reason = (
+        F.when(F.col("__texts").isNull(), F.lit("body is no JSON object or array"))
+        .when(F.size("__texts") == 0, F.lit("the array is empty"))
+        .otherwise(F.get(problems, F.lit(0)))
     )
-    reason = F.when(ref(body).isNull() | F.col("__rows").isNull(), F.lit("body is no JSON object or array"))
     if content_type is not None:
         known = F.coalesce(ref(content_type) == JSON_TYPE, F.lit(False))
         reason = F.when(~known, F.concat(F.lit("unsupported content type: "), F.coalesce(ref(content_type), F.lit("")))).otherwise(reason)

@@ -64,9 +64,9 @@ def publish_outcomes(outcomes: DataFrame, path: str, run_id: str) -> None:
     outcomes.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
 
 
-def to_json_results(df: DataFrame, columns: list[str], out: str = "result") -> DataFrame:
-    """One JSON text per row."""
-    return df.select(F.to_json(F.struct(*map(ref, columns))).alias(out))
+def to_json_results(df: DataFrame, columns: list[str], out: str = "result", keep: list[str] | None = None) -> DataFrame:
+    """One JSON text per row, next to the columns to ``keep``."""
+    return df.select(*map(ref, keep or []), F.to_json(F.struct(*map(ref, columns))).alias(out))
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pulseframe.operators.mapping import apply_mapping, raw_mapping
-from pulseframe.operators.quality import SILVER_RULES, Rule, row_outcomes, rule_outcomes
+from pulseframe.operators.quality import CORRUPT, SILVER_RULES, WELL_FORMED, Rule, row_outcomes, rule_outcomes
 from pulseframe.plans.etl import ClinicalFill, route
 from pulseframe.sources.sinks import publish_outcomes, write_parquet
 
@@ -27,9 +27,11 @@ def stream_to_silver(
     batches. Every batch owns a folder per sink and overwrites it, so a batch that runs twice is written once.
     """
     rules = SILVER_RULES if rules is None else rules
+    text = [CORRUPT] if CORRUPT in bronze.columns else []
+    rules = [*rules, WELL_FORMED] if text else rules
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        filled = fill.apply(apply_mapping(batch, raw_mapping(keep=list(keep))))
+        filled = fill.apply(apply_mapping(batch, raw_mapping(keep=[*keep, *text])))
         checked = row_outcomes(filled, rules).persist()
         try:
             routed = route(checked, keep)
