@@ -1,7 +1,7 @@
 """Headline timings on ``local[$BENCH_CPUS]`` over ``$BENCH_SF_DIR``; prints one JSON line.
 
 The derived patients are written once as Parquet files, as the batch job stages its typed rows; each query then reads
-them. ``w4_window_form`` is the same fill written with whole-partition windows, for comparison.
+them.
 """
 
 from __future__ import annotations
@@ -12,34 +12,18 @@ import sys
 import time
 from pathlib import Path
 
-from pyspark.sql import Window
-from pyspark.sql import functions as F
-
 from catalog.fixture import HEADER, bronze, patients
-from pulseframe.functions.names import ref
 from pulseframe.operators import profile as P
 from pulseframe.operators.cohorts import fit_cohorts
-from pulseframe.operators.mapping import apply_mapping, raw_mapping, split_pair
+from pulseframe.operators.mapping import apply_mapping, raw_mapping
 from pulseframe.operators.quality import SILVER_RULES, row_outcomes
-from pulseframe.operators.risk import Settings, train
+from pulseframe.operators.risk import train
 from pulseframe.operators.stats import box_stats, welch
-from pulseframe.plans.etl import repair, with_band
-from pulseframe.schema import IMPUTED, NUMERIC_FEATURES, SCORE
+from pulseframe.plans.etl import repair
+from pulseframe.schema import NUMERIC_FEATURES, SCORE
 from pulseframe.session import local_session, scratch
 
 
-def window_form(typed):
-    def median(c, *keys):
-        return F.percentile_approx(ref(c), 0.5).over(Window.partitionBy(*map(ref, keys)))
-
-    df = split_pair(typed)
-    df = with_band(df.withColumn("Age", F.coalesce("Age", median("Age", "Sex"))))
-    for c in IMPUTED:
-        df = df.withColumn(c, F.coalesce(ref(c), median(c, "Sex", "age_band")))
-        df = df.withColumn(c, F.coalesce(ref(c), median(c)))
-    return df
-
-
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -56,15 +40,14 @@ def main() -> None:
     work = {
         "w4_tiered_fill": lambda: repair(typed),
         "w4_tiered_fill_exact": lambda: repair(typed, exact=True),
-        "w4_window_form": lambda: window_form(typed),
         "q5_row_outcomes": lambda: row_outcomes(silver, SILVER_RULES),
         "a7_correlation": lambda: P.correlation(silver, numbers),
         "a9_box_stats": lambda: box_stats(silver, "Smoking Status", SCORE),
         "a12_level_by_band": lambda: P.level_by_band(silver),
         "a16_null_profile": lambda: P.null_profile(patients(spark, sf_dir).withColumnsRenamed(HEADER)),
         "m13_welch": lambda: welch(silver, "Smoking Status", SCORE, "Y", "N"),
-        "m10_kmeans": lambda: fit_cohorts(silver, restarts=1).assign(silver),
-        "m5_m6_m7_risk_model": lambda: train(silver, Settings(rounds=2)).score(silver),
+        "m10_kmeans": lambda: fit_cohorts(silver).assign(silver),
+        "m5_m6_m7_risk_model": lambda: train(silver).score(silver),
     }
     wanted = sys.argv[1:]
     times = {}
@@ -75,7 +58,7 @@ def main() -> None:
         make().write.format("noop").mode("overwrite").save()
         times[name] = round(time.time() - start, 3)
         print(name, times[name], file=sys.stderr, flush=True)
-    total = round(sum(v for k, v in times.items() if k != "w4_window_form"), 3)
+    total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "total_query_time", "value": total, "unit": "sec", "queries": times,
                       "sf": Path(sf_dir).name.removeprefix("sf")}))
     spark.stop()

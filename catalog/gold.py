@@ -79,3 +79,37 @@ def gold_bands(spark: SparkSession, sf: str) -> DataFrame:
     f" FROM {PASSED} GROUP BY 1"))
 def gold_factors(spark: SparkSession, sf: str) -> DataFrame:
     return P.factor_distribution(join_star(star(spark, sf), "lifestyle", "bp_category"), P.risk_factors())
+
+
+@query("j1_bp_categories_from_gold", S.bronze_filled(
+    'SELECT "Blood Pressure Category", count(*) AS n, round(CAST(count(*) AS DOUBLE) / sum(count(*)) OVER () * 100, 6)'
+    f" AS share_pct FROM {PASSED} GROUP BY 1"))
+def gold_pressure(spark: SparkSession, sf: str) -> DataFrame:
+    shares = P.category_shares(join_star(star(spark, sf), "bp_category"), "Blood Pressure Category")
+    return shares.withColumn("share_pct", F.round("share_pct", 6))
+
+
+@query("j1_factor_prevalence_from_gold", S.bronze_filled(" UNION ALL ".join(
+    f"SELECT '{name}' AS factor, round(avg(CASE WHEN {test} THEN 1 ELSE 0 END) * 100, 6) AS prevalence_pct FROM {PASSED}"
+    for name, test in {
+        "smoking": "\"Smoking Status\" = 'Y'", "diabetes": "\"Diabetes Status\" = 'Y'", "family_history": "\"Family History of CVD\" = 'Y'",
+        "hypertension": "\"Blood Pressure Category\" IN ('Hypertension Stage 1', 'Hypertension Stage 2')",
+    }.items())))
+def gold_prevalence(spark: SparkSession, sf: str) -> DataFrame:
+    shares = P.factor_prevalence(join_star(star(spark, sf), "lifestyle", "bp_category"), P.risk_factors())
+    return shares.withColumn("prevalence_pct", F.round("prevalence_pct", 6))
+
+
+@query("j1_star_default_key", S.bronze_filled(
+    'SELECT CAST(sum(c) AS BIGINT) AS n, round(sum(c * "CVD Risk Score"), 4) AS score, round(sum(c * "BMI"), 4) AS bmi FROM'
+    f" (SELECT *, CAST(k AS BIGINT) % 3 + 1 AS c FROM {PASSED})"))
+def default_key(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver without an id, in which rows occur once to three times: the joined star has as many rows as silver."""
+    copies = F.explode(F.sequence(F.lit(0), (F.col("k").cast("bigint") % 3).cast("int")))
+    rows = silver(spark, sf).withColumn("copy", copies).drop("copy", "k")
+    path = scratch(spark, "gold")
+    made = build_star(rows)
+    write_star(made, None, path)
+    joined = join_star({name: spark.read.parquet(f"{path}/{name}") for name in made})
+    return joined.agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("`CVD Risk Score`"), 4).alias("score"), F.round(F.sum("BMI"), 4).alias("bmi"))
