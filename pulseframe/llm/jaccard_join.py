@@ -16,6 +16,8 @@ the candidate's own sorted set (its lists hold it exactly when its set holds the
    fewest besides. Then A shares with B' as much at least, and B' is no larger than B, so A and B' link, for the same reason
    B and A', and A' and B'. So of all sets with the same common shingles the one with the fewest besides stands for the others.
    A pair that shares other shingles meets in a list that is not long, as the rarest common shingle is in both short parts.
+5. A pair is held against each other only where its first shingle in common could be: with ``pos`` shingles before it in one
+   set and ``pos`` in the other, no more than the rest of either can be in common, and that must reach the bound.
 
 ``jaccard_components`` is this; ``jaccard_pairs`` gives all links between classes instead.
 
@@ -28,7 +30,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.llm.bytewords import mix, runs, shingle_sets
@@ -190,7 +192,7 @@ def short_lists(percent: int):
                 doc.append(np.repeat(np.arange(len(counts)), counts))
                 key.append(np.frombuffer(r["keys"], np.uint64, n))
                 length.append(np.frombuffer(r["keys"], np.uint32, n, 8 * n))
-        out = {"set_id": [], "n": [], "own": [], "common": [], "shingle": [], "long": []}
+        out = {"set_id": [], "n": [], "own": [], "common": [], "shingle": [], "long": [], "pos": []}
         if doc:
             doc, key, length = map(np.concatenate, (doc, key, length))
             order = np.lexsort((key, length, doc))
@@ -209,10 +211,11 @@ def short_lists(percent: int):
                 out["common"] += [set_ids(common, np.array([0, len(common)]))[0] or b""] * len(mine)
                 out["shingle"].append(mine.view(np.int64))
                 out["long"].append(length[short][shared] > LONG)
-        columns = [np.concatenate(out[k]) if out[k] else np.empty(0, t) for k, t in (("shingle", np.int64), ("long", bool))]
+                out["pos"].append(np.flatnonzero(shared))
+        columns = [np.concatenate(out[k]) if out[k] else np.empty(0, t) for k, t in (("shingle", np.int64), ("long", bool), ("pos", np.int64))]
         return pa.table({
             "set_id": pa.array(out["set_id"], pa.binary()), "n": pa.array(out["n"], pa.int64()), "own": pa.array(out["own"], pa.int64()),
-            "common": pa.array(out["common"], pa.binary()), "shingle": columns[0], "long": columns[1],
+            "common": pa.array(out["common"], pa.binary()), "shingle": columns[0], "long": columns[1], "pos": columns[2],
         })
 
     return run
@@ -278,7 +281,7 @@ class SetJoin:
         free_shuffles(self.spark)
         parts = sets.mapInArrow(sender(2 * partitions(self.spark), True, of_sets), PARTS)
         counted = parts.groupBy("bucket").applyInArrow(count_lists(True), PARTS)
-        lists = pin(counted.groupBy("chunk").applyInArrow(short_lists(self.percent), "set_id binary, n long, own long, common binary, shingle long, long boolean"))
+        lists = pin(counted.groupBy("chunk").applyInArrow(short_lists(self.percent), "set_id binary, n long, own long, common binary, shingle long, long boolean, pos long"))
         free_shuffles(self.spark)
         return sets, lists
 
@@ -291,7 +294,7 @@ class SetJoin:
     def near(self, n: str, m: str):
         return F.expr(f"100 * least({n}, {m}) >= {self.percent} * greatest({n}, {m})")
 
-    def head_pairs(self, lists: DataFrame, by: list[str]) -> DataFrame:
+    def head_pairs(self, lists: DataFrame, *by: Column) -> DataFrame:
         """Each set with the head it shares most short lists with; the head of a list is the least of its sets by ``by``."""
         entry = F.struct(*by, "n", "set_id")
         heads = lists.groupBy("shingle").agg(F.min(entry).alias("head"), F.count("*").alias("size")).where("size > 1")
@@ -309,7 +312,7 @@ class SetJoin:
         """Pairs of sets in one short list that are of different labels; of a long list those with a set that stands for
         others, unless ``every`` one is wanted."""
         left = lists.withColumnRenamed("set_id", "a")
-        right = lists.select("shingle", F.col("set_id").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"), "long", "common", "own")
+        right = lists.select("shingle", F.col("set_id").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"), F.col("pos").alias("at"), "long", "common", "own")
         if every:
             met = left.join(right.drop("long", "common", "own"), "shingle").where("label < other")
         else:
@@ -319,7 +322,8 @@ class SetJoin:
             many = right.where("long").join(stands, "b", "left_semi").drop("long", "common", "own")
             short = left.where("NOT long").join(few, "shingle").where("label < other")
             met = short.unionByName(left.where("long").join(many, "shingle").where("label <> other"))
-        met = met.where(self.near("n", "m"))
+        reach = F.expr(f"{100 + self.percent} * least(n - pos, m - at) >= {self.percent} * (n + m)")
+        met = met.where(self.near("n", "m") & reach)
         return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def labelled(self, lists: DataFrame, links: DataFrame | None) -> DataFrame:
@@ -340,9 +344,9 @@ def jaccard_components(docs: DataFrame, percent: int = 80, size: int = 5, doc_id
     """Per document ``n_shingles`` and ``component_id``, the least document id that links reach."""
     join = SetJoin(docs, percent, size, doc_id, text)
     sets, lists = join.candidates()
-    links = pin(join.links(join.head_pairs(lists, ["own"]), sets))
+    links = pin(join.links(join.head_pairs(lists, F.col("own"), (-F.col("n")).alias("size")), sets))
     known = join.mixed(join.labelled(lists, links))
-    links = pin(links.union(join.links(join.head_pairs(known, []), sets)))
+    links = pin(links.union(join.links(join.head_pairs(known), sets)))
     free_shuffles(join.spark)
     known = join.mixed(join.labelled(known, links))
     links = pin(links.union(join.links(join.cross_pairs(known), sets)))
