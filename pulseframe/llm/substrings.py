@@ -104,6 +104,8 @@ def pairs(a: np.ndarray, b: np.ndarray) -> bytes:
 
 def by_row(row: np.ndarray, *columns: np.ndarray):
     """The values of each row that has some."""
+    if not len(row):
+        return
     order = np.argsort(row, kind="stable")
     row = row[order]
     first = np.flatnonzero(np.diff(row, prepend=-1))
