@@ -7,6 +7,8 @@ share a hash with a chance of about 2**-64.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import sys
 import types
 from collections.abc import Iterator
@@ -40,7 +42,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, at least ``n`` of each."""
     held = process_cache("powers")
     if len(held.get("up", ())) < n:
-        size = max(n, 1 << 20)
+        size = max(n, (1 << 19) + (1 << 16))
         for name, b in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
             row = np.full(size, b, dtype=np.uint64)
             row[0] = 1
@@ -62,6 +64,13 @@ def byte_values(lower: bool, accents: bool = False) -> np.ndarray:
     return values
 
 
+def trim() -> None:
+    """Give memory that is free back to the system: workers live on between tasks and would hold their largest need."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class Texts(NamedTuple):
     """UTF-8 ``data`` of a run of rows; row ``i`` is ``data[bounds[i]:bounds[i + 1]]``; null rows are empty."""
 
@@ -73,7 +82,7 @@ class Texts(NamedTuple):
         return self.data[self.bounds[i] : self.bounds[i + 1]].tobytes()
 
 
-def runs(column: pa.Array, most: int = 2 << 20) -> Iterator[Texts]:
+def runs(column: pa.Array, most: int = 1 << 19) -> Iterator[Texts]:
     """The rows of a string or binary column in runs of about ``most`` bytes; a longer row is a run of its own."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -88,6 +97,7 @@ def runs(column: pa.Array, most: int = 2 << 20) -> Iterator[Texts]:
         end = max(at + 1, int(np.searchsorted(bounds, bounds[at] + most, side="right")) - 1)
         yield Texts(at, raw[bounds[at] : bounds[end]], bounds[at : end + 1] - bounds[at])
         at = end
+    trim()
 
 
 class Spans(NamedTuple):

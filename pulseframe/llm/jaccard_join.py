@@ -33,13 +33,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.llm.bytewords import mix, runs, shingle_sets
+from pulseframe.llm.bytewords import mix, runs, shingle_sets, trim
 from pulseframe.llm.components import components
 from pulseframe.llm.exprs import free_shuffles, partitions
 from pulseframe.llm.keycount import bucket_of
 from pulseframe.session import pin
 
-CHUNK_KEYS = 1 << 20
+CHUNK_KEYS = 1 << 18
 LONG = 64
 LOW48 = np.uint64((1 << 48) - 1)
 PARTS = "bucket int, chunk long, kind int, counts binary, keys binary, ids array<long>, marks array<long>, sets array<binary>"
@@ -158,6 +158,7 @@ def count_lists(full: bool):
                     doc = np.repeat(np.arange(len(counts)), counts)
                     shared = np.bincount(doc[mine > 1], minlength=len(counts)).astype(np.uint32)
                     out.append([r["bucket"], r["chunk"], 0, shared.tobytes(), None, None, None, None])
+        trim()
         batch = table_of(out) if out else pa.RecordBatch.from_arrays([pa.array([], t) for t in TYPES], NAMES)
         return pa.Table.from_batches([batch])
 
@@ -212,6 +213,7 @@ def short_lists(percent: int):
                 out["shingle"].append(mine.view(np.int64))
                 out["long"].append(length[short][shared] > LONG)
                 out["pos"].append(np.flatnonzero(shared))
+        trim()
         columns = [np.concatenate(out[k]) if out[k] else np.empty(0, t) for k, t in (("shingle", np.int64), ("long", bool), ("pos", np.int64))]
         return pa.table({
             "set_id": pa.array(out["set_id"], pa.binary()), "n": pa.array(out["n"], pa.int64()), "own": pa.array(out["own"], pa.int64()),
@@ -242,6 +244,7 @@ def probe(percent: int):
 
     def run(batches):
         for batch in batches:
+            trim()
             keep = []
             for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
                 a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)

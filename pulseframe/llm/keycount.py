@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulseframe.llm.bytewords import trim
 from pulseframe.llm.exprs import partitions
 
 
@@ -64,6 +65,7 @@ def add_up(rows: pa.Table) -> pa.Table:
         if len(k):
             chunks.append(chunk)
             hits.append(key[k].tobytes() + many[k].tobytes() + owner[k].tobytes())
+    trim()
     return pa.table({"chunk": pa.array(chunks, pa.int64()), "hits": pa.array(hits, pa.binary())})
 
 
