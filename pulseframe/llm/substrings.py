@@ -181,7 +181,7 @@ def open_chunks(size: int):
         seq, held, n = 0, [], 0
         for batch in batches:
             for doc_id, mark, text, rest in zip(*(batch.column(k) for k in range(4)), strict=True):
-                seg = np.frombuffer(rest.as_py(), "<u4").reshape(-1, 4).astype(np.int64)
+                seg = np.unique(np.frombuffer(b"".join(rest.as_py()), "<u4").reshape(-1, 4), axis=0).astype(np.int64)
                 data = text.as_py().encode("utf-8", "surrogatepass")
                 contexts = [data[a : b + size] for a, b in zip(seg[:, 1].tolist(), seg[:, 2].tolist(), strict=True)]
                 held.append((doc_id.as_py(), mark.as_py(), seg, contexts))
@@ -282,10 +282,12 @@ def remove_repeats(docs: DataFrame, size: int = 200, doc_id: str = "doc_id", tex
     spark = docs.sparkSession
     slim = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.xxhash64(f"`{text}`").alias("mark"), F.col(f"`{text}`").alias("text"))
     chunks = pin(slim.mapInArrow(first_round(size), CHUNKS))
-    first = pin(with_repeats(chunks).select("keys", "body", "hits").mapInArrow(after_first, FOUND).dropDuplicates(["doc_id", "mark"]))
+    # Of equal rows only the one that owns a segment's key holds it open.
+    rows = with_repeats(chunks).select("keys", "body", "hits").mapInArrow(after_first, FOUND).groupBy("doc_id", "mark")
+    first = pin(rows.agg(F.max("found").alias("found"), F.collect_set("open").alias("open")))
     del chunks
     free_shuffles(spark)
-    asked = first.where("open IS NOT NULL").select(F.col("doc_id").alias("id_"), F.col("mark").alias("mark_"), "open")
+    asked = first.where(F.size("open") > 0).select(F.col("doc_id").alias("id_"), F.col("mark").alias("mark_"), "open")
     texts = slim.where("text IS NOT NULL").join(asked, F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("mark") == F.col("mark_")))
     level = pin(texts.select("doc_id", "mark", "text", "open").mapInArrow(open_chunks(size), CHUNKS))
     free_shuffles(spark)

@@ -73,6 +73,23 @@ def test_remaining_bytes_and_spans(spark):
     assert bytes(got[2]["kept"]) == b""
 
 
+def test_equal_rows_of_different_partitions_stand_for_others(spark):
+    rng = random.Random(9)
+    twins = [(7 if k % 2 else None, words(rng, 150)) for k in range(12)]
+    rows = twins + [(100 + k, words(rng, 40) + t[130:470] + words(rng, 40)) for k, (_, t) in enumerate(twins)] + twins
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 12), "doc_id long, text string")
+    plain = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in plain}
+    try:
+        for k, v in plain.items():
+            spark.conf.set(k, v)
+        got = remove_repeats(docs).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted((tuple(r) for r in got), key=str) == brute.repeated_bytes(rows, 200)
+
+
 @pytest.mark.parametrize("lines", [1, 2, 3])
 def test_line_runs(spark, lines):
     rng = random.Random(3)
