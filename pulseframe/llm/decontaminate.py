@@ -5,7 +5,8 @@ BM25 score is at least ``share`` of the score the item gives itself. Scores are
 items. The search is a block-max WAND in numpy: the weakest terms, which together cannot reach half the threshold, are set
 apart; only passages whose other terms can make up the rest are looked at (one running sum over all words of a run tells
 that); for those, the greatest weights per block of items rule out blocks, and what is left is scored in full. A pair is a leak
-if enough of the item's question and of its answer (its last sentence) stands in the passage as five-word shingles.
+if enough of the item's question and of its answer (its last sentence) stands in the passage, or enough of the whole item, as
+shingles: of five words, of fewer in short parts, so that one changed word leaves half of them.
 
 Windows are at least twice as long as the longest item and advance by half, so an item that stands in a document stands in one
 window. Items are indexed in blocks of bounded size, each a pass over the documents; term statistics cover all items. All
@@ -34,6 +35,7 @@ class Bounds(NamedTuple):
     share: float = 0.5
     question: float = 0.5
     answer: float = 0.5
+    whole: float = 0.7
     least_window: int = 64
     k1: float = 1.2
     b: float = 0.75
@@ -55,6 +57,7 @@ class Index(NamedTuple):
     weak_sum: float
     question: list[tuple[int, np.ndarray]]
     answer: list[tuple[int, np.ndarray]]
+    whole: list[tuple[int, np.ndarray]]
 
 
 def hashed_words(t: Texts):
@@ -63,8 +66,8 @@ def hashed_words(t: Texts):
 
 
 def shingles(words: np.ndarray) -> tuple[int, np.ndarray]:
-    """Distinct shingles of five words, or of all words where there are fewer, and of how many words they are."""
-    n = min(5, len(words))
+    """Distinct shingles, and of how many words they are: five, or a third of fewer than 14 words."""
+    n = min(5, max(1, (len(words) + 1) // 3), len(words))
     return n, np.unique(shingle_hash(words, n)) if n else np.empty(0, np.uint64)
 
 
@@ -97,6 +100,7 @@ def build(rows: list, df: dict[int, int], items: int, mean: float, p: Bounds) ->
     keep = [i for i, w in enumerate(words) if len(w)]
     rows, words = [rows[i] for i in keep], [words[i] for i in keep]
     question, answer = [shingles(question[i]) for i in keep], [shingles(answer[i]) for i in keep]
+    whole = [shingles(w) for w in words]
     term, item, weight = [], [], []
     for i, w in enumerate(words):
         t, tf = np.unique(w, return_counts=True)
@@ -118,7 +122,7 @@ def build(rows: list, df: dict[int, int], items: int, mean: float, p: Bounds) ->
     rank = np.argsort(top)
     weak = np.zeros(len(names), bool)
     weak[rank[np.cumsum(top[rank]) <= p.share / 2]] = True
-    return Index([r["item_id"] for r in rows], names, cut, item, weight, block_max, top, weak, float(top[weak].sum()), question, answer)
+    return Index([r["item_id"] for r in rows], names, cut, item, weight, block_max, top, weak, float(top[weak].sum()), question, answer, whole)
 
 
 def search(words: np.ndarray, first: np.ndarray, index: Index, window: int, p: Bounds):
@@ -154,7 +158,8 @@ def search(words: np.ndarray, first: np.ndarray, index: Index, window: int, p: B
         for i in hits:
             shares = [overlap(part, words[a:b], mine) for part in (index.question[i], index.answer[i])]
             key = (int(row[k]), int(i))
-            if shares[0] >= p.question and shares[1] >= p.answer and (key not in best or best[key][0] < score[i]):
+            held = (shares[0] >= p.question and shares[1] >= p.answer) or overlap(index.whole[i], words[a:b], mine) >= p.whole
+            if held and (key not in best or best[key][0] < score[i]):
                 best[key] = (float(score[i]), *shares)
     return best
 

@@ -114,6 +114,25 @@ def test_leaks(spark):
     assert decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), items.where("false")).count() == 0
 
 
+def test_near_copies_of_items_with_short_answers_are_leaks(spark):
+    question = "What is the tall thing that stands by the old harbour of the northern town and shines at night?"
+    answers = ["Lighthouse.", "A lighthouse.", "The white lighthouse.", "It is a lighthouse.", "It is the white lighthouse built by sailors."]
+    items = [(k, f"{question} {a}") for k, a in enumerate(answers)]
+    docs, wanted = [], set()
+    for k, text in items:
+        w = text.split(" ")
+        for i in range(len(w)):
+            wanted.add((len(docs), k))
+            docs.append((len(docs), " ".join([*w[:i], "changed", *w[i + 1 :]])))
+    wanted.add((len(docs), 0))
+    docs.append((len(docs), question))
+    wanted_not = len(docs)
+    docs.append((wanted_not, " ".join(question.split(" ")[:9])))
+    got = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    found = {(r["doc_id"], r["item_id"]) for r in got.collect()}
+    assert wanted <= found and wanted_not not in {d for d, _ in found}
+
+
 def test_search_equals_full_scoring():
     rng = np.random.default_rng(2)
     names = [f"w{int(k)}" for k in rng.zipf(1.4, 4000) % 500]
