@@ -3,7 +3,9 @@
 A word's vector is the sum of those of its hash and of the hash of its first bytes, so that inflected and compound words share.
 Filters of several widths run over the words, each gives its largest value in the text, and a logistic layer scores those.
 Training reads a bounded sample of labelled rows; scoring runs over all whole texts, in tasks. Thresholds are calibrated by
-language on rows kept out of training; a language never enters a score.
+language on all labelled rows that are not held out, so that their mix is the true one: the rows of the sample are scored by
+models fitted on its other folds, the rest by the model itself, in tasks that count them by score. A language never enters a
+score; one with under ``least`` toxic or other rows in all takes the cut of all languages together.
 
 Defined cases: null and empty texts have all filters at 0 and get the score of that; rows whose label is null or whose id is in
 the held-out fifth are not learnt from; without both labels the score is the (smoothed) share of toxic rows; ties in the
@@ -20,10 +22,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.llm.bytewords import byte_values, running, runs, span_hash, word_spans
+from pulseframe.session import pin
 
 PUNCTUATION = tuple(i for i in range(128) if not chr(i).isalnum())
 
 
+CUTS = np.linspace(0.05, 0.95, 91)
+
+
 class Settings(NamedTuple):
     """``positives`` and ``negatives`` bound the rows that are learnt from."""
 
@@ -37,7 +43,8 @@ class Settings(NamedTuple):
     epochs: int = 12
     rate: float = 0.05
     batch: int = 32
-    calibration_share: float = 0.15
+    folds: int = 3
+    least: int = 5
     seed: int = 11
 
 
@@ -187,41 +194,81 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 0
 
 
-def sample(docs: DataFrame, labels: DataFrame, s: Settings) -> tuple[pa.Table, float]:
-    """Labelled rows to learn from, least hashes of the id first, and how many more negatives each of them stands for."""
+def sample(docs: DataFrame, labels: DataFrame, s: Settings) -> tuple[pa.Table, DataFrame, float]:
+    """Labelled rows to learn from, least hashes of the id first; the other labels; and how many more negatives each of the
+    rows stands for."""
     known = labels.where(~held_out(F.col("doc_id")) & F.col("toxic").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     order = [F.xxhash64("doc_id", F.lit(s.seed)), F.col("doc_id")]
     picked = known.where("toxic = 1").orderBy(*order).limit(s.positives).unionByName(known.where("toxic = 0").orderBy(*order).limit(s.negatives))
+    picked = pin(picked)
     rows = docs.join(F.broadcast(picked), "doc_id").select("doc_id", "toxic", "lang", "text").toArrow()
     share = [counts.get(k, 0) / max(1, min(counts.get(k, 0), m)) for k, m in ((0, s.negatives), (1, s.positives))]
-    return rows, share[0] / max(share[1], 1e-9) if share[1] else 1.0
+    others = known.where("doc_id IS NOT NULL AND toxic IN (0, 1)").join(F.broadcast(picked.select("doc_id")), "doc_id", "left_anti")
+    return rows, others, share[0] / max(share[1], 1e-9) if share[1] else 1.0
 
 
 class Classifier(NamedTuple):
+    """``thresholds`` by language, ``default`` for the others; ``counts`` are the labelled rows they come from."""
+
     model: Model
     thresholds: dict[str | None, float]
+    default: float
+    counts: dict[str | None, np.ndarray]
     bits: int
 
 
-def thresholds(scores: np.ndarray, labels: np.ndarray, langs: list, default: float = 0.5) -> dict:
-    """Per language the cut with the best F1 on rows not learnt from; the default where there are too few."""
-    out = {}
-    for lang in set(langs):
-        mine = np.array([x == lang for x in langs])
-        y, p = labels[mine], scores[mine]
-        if y.sum() < 5 or (y == 0).sum() < 5:
-            continue
-        cuts = np.linspace(0.05, 0.95, 91)
-        f1 = [2 * (y[p >= c] > 0).sum() / max(1, (p >= c).sum() + y.sum()) for c in cuts]
-        best = np.flatnonzero(np.isclose(f1, max(f1)))
-        out[lang] = float(cuts[best[len(best) // 2]])
-    return out | {None: default} if None not in out else out
+def cut_bin(scores: np.ndarray) -> np.ndarray:
+    """How many of the cuts a score reaches."""
+    return np.searchsorted(CUTS, scores, side="right")
+
+
+def best_cut(counts: np.ndarray, default: float) -> float:
+    """The cut with the best F1 for ``counts`` of rows by label and bin."""
+    toxic, flagged = counts[1].sum(), np.cumsum(counts[:, ::-1], axis=1)[:, ::-1][:, 1:]
+    if not toxic:
+        return default
+    f1 = 2 * flagged[1] / np.maximum(1, flagged.sum(axis=0) + toxic)
+    best = np.flatnonzero(np.isclose(f1, f1.max()))
+    return float(CUTS[best[len(best) // 2]])
+
+
+def thresholds(counts: dict[str | None, np.ndarray], least: int) -> tuple[dict, float]:
+    """Per language the cut with the best F1, and that of all rows together."""
+    whole = sum(counts.values(), np.zeros((2, len(CUTS) + 1), np.int64))
+    default = best_cut(whole, 0.5) if whole.sum(axis=1).min() >= least else 0.5
+    return {lang: best_cut(c, default) for lang, c in counts.items() if c.sum(axis=1).min() >= least}, default
+
+
+def fold_of(ids: list, labels: np.ndarray, langs: list, s: Settings) -> np.ndarray:
+    """A fold per row, dealt in turn to the documents of a label and language; rows of one id share it."""
+    of, turn = {}, {}
+    for k in np.random.default_rng(s.seed).permutation(len(ids)):
+        if ids[k] not in of:
+            group = (labels[k], langs[k])
+            turn[group] = turn.get(group, -1) + 1
+            of[ids[k]] = turn[group] % s.folds
+    return np.array([of[i] for i in ids], np.int64)
+
+
+def counted(docs: DataFrame, others: DataFrame, model: Model, bits: int):
+    """(lang, toxic, bin, rows) of the labelled rows that are not in the sample."""
+
+    def run(batches):
+        for batch in batches:
+            for t, w in words_of(batch.column(2), bits, model.prefix_bytes):
+                bins = cut_bin(model.score(w))
+                ids, langs = (batch.column(k).slice(t.first, len(bins)) for k in (0, 1))
+                yield pa.RecordBatch.from_arrays([ids, langs, pa.array(bins, pa.int32())], ["doc_id", "lang", "bin"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    binned = docs.select("doc_id", "lang", "text").mapInArrow(run, f"doc_id {kind}, lang string, bin int")
+    return binned.join(others, "doc_id").groupBy("lang", "toxic", "bin").agg(F.count("*").alias("rows")).collect()
 
 
 def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Classifier:
-    rows, negative_weight = sample(docs, labels, s)
+    rows, others, negative_weight = sample(docs, labels, s)
     rows = rows.sort_by("doc_id").combine_chunks()
     y = rows.column("toxic").to_numpy().astype(np.float64)
     column = rows.column("text").combine_chunks() if rows.num_rows else pa.array([], pa.string())
@@ -231,14 +278,20 @@ def train(docs: DataFrame, labels: DataFrame, s: Settings = Settings()) -> Class
         np.concatenate([p.word for p in parts] or [np.empty(0, np.int64)]), np.concatenate([p.prefix for p in parts] or [np.empty(0, np.int64)]),
         np.concatenate([np.zeros(1, np.int64), *(p.first[1:] + k for p, k in zip(parts, offsets, strict=False))]),
     )
-    keep = np.random.default_rng(s.seed).random(len(y)) >= s.calibration_share
     weight = np.where(y > 0, 1.0, negative_weight)
     weight = weight / max(1e-9, weight.mean()) if len(y) else weight
-    model = fit(w.take(np.flatnonzero(keep)), y[keep], weight[keep], s)
-    rest = np.flatnonzero(~keep)
+    model = fit(w, y, weight, s)
     langs = rows.column("lang").to_pylist()
-    cuts = thresholds(model.score(w.take(rest)), y[rest], [langs[i] for i in rest]) if len(rest) else {None: 0.5}
-    return Classifier(model, cuts, s.bits)
+    fold = fold_of(rows.column("doc_id").to_pylist(), y, langs, s)
+    counts: dict[str | None, np.ndarray] = {}
+    for k in np.unique(fold):
+        mine, rest = np.flatnonzero(fold == k), np.flatnonzero(fold != k)
+        bins = cut_bin(fit(w.take(rest), y[rest], weight[rest], s).score(w.take(mine)))
+        for i, b in zip(mine, bins, strict=True):
+            counts.setdefault(langs[i], np.zeros((2, len(CUTS) + 1), np.int64))[int(y[i]), b] += 1
+    for r in counted(docs, others, model, s.bits):
+        counts.setdefault(r["lang"], np.zeros((2, len(CUTS) + 1), np.int64))[r["toxic"], r["bin"]] += r["rows"]
+    return Classifier(model, *thresholds(counts, s.least), counts, s.bits)
 
 
 def scorer(c: Classifier):
@@ -247,7 +300,7 @@ def scorer(c: Classifier):
             for t, w in words_of(batch.column(2), c.bits, c.model.prefix_bytes):
                 score = c.model.score(w)
                 ids, langs = (batch.column(k).slice(t.first, len(score)) for k in (0, 1))
-                cut = np.array([c.thresholds.get(x, c.thresholds[None]) for x in langs.to_pylist()])
+                cut = np.array([c.thresholds.get(x, c.default) for x in langs.to_pylist()])
                 yield pa.RecordBatch.from_arrays([ids, pa.array(score), pa.array(cut), pa.array(score >= cut)], ["doc_id", "score", "threshold", "flagged"])
 
     return run

@@ -167,6 +167,32 @@ def test_toxicity_on_rows_it_has_not_seen(spark):
     assert auc > 0.93 and (rows.predicted == rows.toxic).mean() > 0.95
 
 
+def test_thresholds_come_from_all_labelled_rows_in_their_true_mix(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(1500):
+        toxic = int(k % 25 == 0)
+        vile = rng.random() < (0.8 if toxic else 0.1)
+        rows.append((k, ["en", "es"][k % 50 == 0 or k % 7 == 0], " ".join(rng.choice(["a", "b", "c", "d"], 20)) + (" vile" if vile else ""), toxic))
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, lang string, text string").repartition(4)
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
+    fitted = toxicity.train(docs, labels, toxicity.Settings(positives=30, negatives=50, epochs=3))
+    held = {r[0] for r in labels.select("doc_id", toxicity.held_out(F.col("doc_id"))).collect() if r[1]}
+    for lang in ("en", "es"):
+        known = [r[3] for r in rows if r[0] not in held and r[1] == lang]
+        assert fitted.counts[lang].sum(axis=1).tolist() == [known.count(0), known.count(1)]
+        assert lang in fitted.thresholds
+
+
+def test_best_cut_counts_rows():
+    scores, labels = np.array([0.1, 0.32, 0.32, 0.6, 0.7, 0.96]), np.array([0, 0, 1, 0, 1, 1])
+    counts = np.zeros((2, len(toxicity.CUTS) + 1), np.int64)
+    np.add.at(counts, (labels, toxicity.cut_bin(scores)), 1)
+    f1 = [2 * (labels[scores >= c]).sum() / ((scores >= c).sum() + 3) for c in toxicity.CUTS]
+    cut = toxicity.best_cut(counts, 0.5)
+    assert 2 * labels[scores >= cut].sum() / ((scores >= cut).sum() + 3) == pytest.approx(max(f1))
+
+
 def test_toxicity_of_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, None), (2, "en", ""), (3, "en", "x " * 50000), (3, "en", "x"), (None, "de", "y z")], "doc_id long, lang string, text string")
     labels = spark.createDataFrame([(1, 1), (2, None), (3, 0), (3, 0)], "doc_id long, toxic int")
