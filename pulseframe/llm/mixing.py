@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulseframe.llm.exprs import add_columns, let, n_words, partitions, words
+from pulseframe.llm.exprs import add_columns, let, n_words, partitions
 from pulseframe.session import pin
 
 RANGES = 4096
@@ -193,12 +193,16 @@ def plan_mix(
     return out.drop("mix_key", "mix_block", "mix_before", "mix_size", "mix_source", "mix_target", "drawn")
 
 
+def whole_draws() -> Column:
+    """``draws`` of whole documents only: one of a part, at the end of a source's target, is taken where half of the document
+    or more is wanted, which is nearer to the target than leaving it, and else left."""
+    near = F.filter("draws", lambda x: 2 * x["words"] >= F.col("size"))
+    return F.transform(near, lambda x: x.withField("words", F.col("size")))
+
+
 def mixed_rows(planned: DataFrame, text: str = "text", doc_id: str = "doc_id", seed: int = 17) -> DataFrame:
-    """One row per draw, with ``shard`` and ``place``, the sort key inside the shard. A draw of a part of a document holds
-    its first words, set apart by single blanks."""
+    """One row per draw of a whole document, with ``shard`` and ``place``, the sort key inside the shard."""
     names = [c for c in planned.columns if c not in ("size", "source_size", "target", "draws")]
-    rows = planned.select(*names, "size", F.explode("draws").alias("draw"))
-    cut = F.array_join(F.slice(words(F.col(f"`{text}`")), 1, F.col("draw.words").cast("int")), " ")
-    whole = F.when(F.col("draw.words") < F.col("size"), cut).otherwise(F.col(f"`{text}`"))
+    rows = planned.select(*names, F.explode(whole_draws()).alias("draw"))
     place = F.xxhash64(F.lit(seed), "draw.copy", F.col(f"`{doc_id}`"))
-    return rows.select(*[whole.alias(c) if c == text else F.col(f"`{c}`") for c in names], F.col("draw.shard").alias("shard"), place.alias("place"))
+    return rows.select(*[F.col(f"`{c}`") for c in names], F.col("draw.shard").alias("shard"), place.alias("place"))

@@ -63,7 +63,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_mix_sources")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = mixing.plan_mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
-    taken = F.aggregate("draws", F.lit(0).cast("long"), lambda a, x: a + x["words"])
+    taken = F.aggregate(mixing.whole_draws(), F.lit(0).cast("long"), lambda a, x: a + x["words"])
     return planned.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
 
 

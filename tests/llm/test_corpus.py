@@ -89,6 +89,23 @@ def test_mix_meets_its_targets(spark):
     assert len(shards) > 20 and max(shards.values()) < 4 * sum(shards.values()) / len(shards)
 
 
+def test_mix_draws_whole_documents(spark):
+    rows = [(k, f"s{k % 4}", "\n".join(["w x"] * (1 + k * 37 % 90))) for k in range(120)]
+    planned = mixing.plan_mix(spark.createDataFrame(rows, "doc_id long, source string, text string"), shard_words=2000).cache()
+    texts = {k: t for k, _, t in rows}
+    drawn = mixing.mixed_rows(planned).collect()
+    assert drawn and all(r["text"] == texts[r["doc_id"]] for r in drawn)
+    plan = planned.collect()
+    assert any(d["words"] < r["size"] for r in plan for d in r["draws"])
+    targets, size = {r["source"]: r["target"] for r in plan}, {r["doc_id"]: r["size"] for r in plan}
+    taken, edge = dict.fromkeys(targets, 0), dict.fromkeys(targets, 0)
+    for r in drawn:
+        taken[r["source"]] += size[r["doc_id"]]
+    for r in plan:
+        edge[r["source"]] = max([edge[r["source"]]] + [r["size"] for d in r["draws"] if d["words"] < r["size"]])
+    assert all(abs(taken[s] - targets[s]) <= edge[s] / 2 + 1 for s in targets)
+
+
 def test_hypergeometric_has_the_right_mean_and_spread(spark):
     u = mixing.uniform(F.lit(1), F.col("id"))
     n = F.lit
