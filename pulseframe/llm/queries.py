@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm import chat, decontaminate, jaccard_join, line_quality, line_runs, mixing, substrings, token_files, toxicity, url_rules
+from pulseframe.llm import (
+    bond, chat, decontaminate, fill_middle, jaccard_join, line_quality, line_runs, mixing, substrings, token_files, toxicity, url_rules,
+    virtual_slots,
+)
 from pulseframe.llm.exprs import table
 from pulseframe.session import scratch
 
@@ -100,3 +103,29 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_decontaminate")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op11_virtual_slots")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = virtual_slots.shards_of(table(spark, sf_dir, "documents"), scratch(spark, "slot-map"), 8)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("place").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "next_shard",
+    )
+
+
+@register("op12_bond_negatives", bond.ORACLE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return bond.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
+@register("op13_fill_middle", fill_middle.ORACLE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_middle.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id", "n", "form", F.col("prefix_end").alias("prefix_chars"),
+        (F.col("middle_end") - F.col("prefix_end")).alias("middle_chars"), F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
