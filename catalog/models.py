@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import sqltext as S
@@ -16,6 +17,7 @@ from catalog.repair import typed_bronze
 from pulseframe.functions.names import ref
 from pulseframe.operators import cohorts as C
 from pulseframe.operators import encode as E
+from pulseframe.operators import kmeans as K
 from pulseframe.operators.mapping import apply_mapping, raw_mapping
 from pulseframe.operators.quality import CORRUPT, SILVER_RULES, row_outcomes
 from pulseframe.operators.risk import LEVEL_OUT, SCORE_OUT, RiskModel, Settings
@@ -23,7 +25,7 @@ from pulseframe.operators.stats import regression_metrics
 from pulseframe.plans.etl import ClinicalFill, repair, route
 from pulseframe.plans.report import model_tiles, write_report
 from pulseframe.plans.requests import score_requests, what_if
-from pulseframe.plans.training import ablation, hold_out_report, load_or_train, split_rows
+from pulseframe.plans.training import ablation, hold_out_report, level_report, load_or_train, split_rows
 from pulseframe.schema import CATEGORY_FEATURES, IMPUTED, LEVEL, NUMERIC_FEATURES, SCORE
 from pulseframe.session import scratch
 from pulseframe.sources.files import read_bronze, stream_bronze
@@ -160,8 +162,46 @@ def a18(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame([(value,)], "silhouette double").select(F.round("silhouette", 6).alias("silhouette"))
 
 
-def centres_of(fitted: C.Cohorts) -> list[list[float]]:
-    return [list(map(float, c)) for c in fitted.model.stages[-1].clusterCenters()]
+# Scaled to mean 0 and deviation 1, rows of customers against fixed centres; SQL goes through all pairs.
+FEW = ["c_acctbal", "c_nationkey"]
+FEW_CENTRES = [[-1.0, -0.5], [0.9, -0.8], [0.1, 1.1]]
+FEW_SQL = (
+    "WITH z AS (SELECT c_custkey AS k, " + ", ".join(
+        f"(CAST({c} AS DOUBLE) - (SELECT avg({c}) FROM customer)) / (SELECT stddev_pop({c}) FROM customer) AS z{i}" for i, c in enumerate(FEW))
+    + " FROM customer), s AS (SELECT *, " + ", ".join(
+        f"(z0 - ({x})) * (z0 - ({x})) + (z1 - ({y})) * (z1 - ({y})) AS d{i}" for i, (x, y) in enumerate(FEW_CENTRES))
+    + " FROM z), c AS (SELECT k, z0, z1, CASE least(d0, d1, d2) WHEN d0 THEN 0 WHEN d1 THEN 1 ELSE 2 END AS cl FROM s),"
+    " p AS (SELECT a.k, a.cl, b.cl AS other, count(*) AS n,"
+    " sum(sqrt((a.z0 - b.z0) * (a.z0 - b.z0) + (a.z1 - b.z1) * (a.z1 - b.z1))) AS d FROM c a, c b GROUP BY 1, 2, 3),"
+    " v AS (SELECT k, max(CASE WHEN cl = other THEN CASE WHEN n > 1 THEN d / (n - 1) ELSE 0 END END) AS a,"
+    " min(CASE WHEN cl <> other THEN d / n END) AS b FROM p GROUP BY k)"
+    " SELECT round(avg((b - a) / greatest(a, b)), 6) AS silhouette, CAST(0 AS DOUBLE) AS standard_error, CAST(count(*) AS INTEGER) AS sampled FROM v"
+)
+
+
+@query("a18_euclidean_silhouette", FEW_SQL)
+def a18_euclidean(spark: SparkSession, sf: str) -> DataFrame:
+    """The pairwise silhouette, exact while the table has at most 20,000 rows; beyond that of so many of them, with its error."""
+    scaled = C.fit_scaler(table(spark, sf, "customer"), FEW).transform(table(spark, sf, "customer"))
+    rows = scaled.select(vector_to_array(F.col(C.FEATURES)).alias(K.POINT)).persist()
+    blocks = K.point_blocks(rows)
+    found = K.euclidean_silhouettes(rows, blocks, [K.Fitted(3, 0, np.array(FEW_CENTRES))], sample=20_000)
+    rows.unpersist()
+    return spark.createDataFrame(found, "silhouette double, standard_error double, sampled int").withColumn("silhouette", F.round("silhouette", 6))
+
+
+def squared_distances(centres: list[list[float]]) -> list[Column]:
+    """Of each row of a scaled frame to each centre, coordinate by coordinate."""
+    at = vector_to_array(F.col(C.FEATURES))
+    return [
+        F.aggregate(F.zip_with(at, F.array(*map(F.lit, c)), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, x: a + x) for c in centres]
+
+
+@query("m10_cohort_rows")
+def m10_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Cluster and cohort of every patient."""
+    df = clinical(spark, sf)
+    return C.fit_cohorts(df).assign(df).select("k", C.CLUSTER, "cohort")
 
 
 @query("m10_kmeans_assignment", with_patients("SELECT k, TRUE AS nearest FROM p"))
@@ -169,22 +209,18 @@ def m10(spark: SparkSession, sf: str) -> DataFrame:
     """Every row has the cluster of the centre it is nearest to."""
     df = clinical(spark, sf)
     fitted = C.fit_cohorts(df)
-    vector = vector_to_array(F.col(C.FEATURES))
-    values = [F.get(vector, F.lit(i)) for i in range(6)]
-    return fitted.model.transform(df).select("k", (F.col(C.CLUSTER) == C.nearest_centre(values, centres_of(fitted))).alias("nearest"))
+    apart = squared_distances(fitted.centres)
+    scaled = fitted.scaler.transform(fitted.assign(df).drop("cohort"))
+    return scaled.select("k", (F.get(F.array(*apart), F.col(C.CLUSTER)) <= F.least(*apart) * (1 + 1e-9)).alias("nearest"))
 
 
-def summary_of(spark: SparkSession, df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def summary_of(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Clusters in use, rows in all of them, and whether the ten restarts' best beats a single cluster and each restart."""
     fitted = C.fit_cohorts(df, columns)
-    scaler = C.PipelineModel(fitted.model.stages[:-1])
-    scaled = scaler.transform(df).select(C.FEATURES).persist()
-    others = [C.best_kmeans(scaled, C.CLUSTERS, 1, C.SEED + i).summary.trainingCost for i in range(C.RESTARTS)]
-    scaled.unpersist()
     sizes = fitted.assign(df).groupBy(C.CLUSTER).agg(F.count(F.lit(1)).alias("n"))
+    least = len(fitted.tried) == C.RESTARTS and all(fitted.cost <= m.cost for m in fitted.tried)
     return sizes.agg(
-        F.count(F.lit(1)).cast("int").alias("clusters"), F.sum("n").alias("assigned"),
-        (F.lit(fitted.cost) <= F.lit(min(others) * (1 + 1e-6))).alias("least_of_ten"),
+        F.count(F.lit(1)).cast("int").alias("clusters"), F.sum("n").alias("assigned"), F.lit(least).alias("least_of_ten"),
         (F.lit(fitted.cost) < F.sum("n") * len(columns or C.COHORT_FEATURES)).alias("tighter_than_one"),
     )
 
@@ -194,29 +230,37 @@ WHOLE = "SELECT 4 AS clusters, count(*) AS assigned, TRUE AS least_of_ten, TRUE
 
 @query("m10_kmeans_whole", with_patients(f"{WHOLE} p"))
 def m10_whole(spark: SparkSession, sf: str) -> DataFrame:
-    return summary_of(spark, clinical(spark, sf))
+    return summary_of(clinical(spark, sf))
 
 
 @query("m10_kmeans_lineitem", f"{WHOLE} lineitem")
 def m10_lineitem(spark: SparkSession, sf: str) -> DataFrame:
     df = table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice", "l_discount")
-    return summary_of(spark, df, df.columns)
+    return summary_of(df, df.columns)
 
 
-@query("m12_cluster_sweep", "SELECT CAST(k AS INTEGER) AS k, TRUE AS cost_is_of_its_centres, TRUE AS silhouette_in_bounds FROM range(2, 9) AS t(k)")
+@query("m12_cluster_sweep", with_patients(
+    "SELECT CAST(k AS INTEGER) AS k, (SELECT count(*) FROM p) AS n, CAST(10 AS BIGINT) AS restarts, TRUE AS cost_is_of_its_centres,"
+    " TRUE AS silhouette_in_bounds FROM range(2, 9) AS t(k)"))
 def m12(spark: SparkSession, sf: str) -> DataFrame:
-    """Each k's cost is at least what its final centres cost: it was taken before their last update."""
+    """Each k's cost, worked out anew from its centres, is the one that the sweep tells."""
     df = clinical(spark, sf)
-    scaled = C.fit_scaler(df, C.COHORT_FEATURES).transform(df).select(C.FEATURES).persist()
-    rows = []
-    for k, cost, silhouette in map(tuple, C.sweep(df).collect()):
-        best = C.best_kmeans(scaled, k)
-        at = F.array(*[F.array(*map(F.lit, map(float, c))) for c in best.clusterCenters()])
-        apart = F.zip_with(vector_to_array(F.col(C.FEATURES)), F.get(at, F.col(C.CLUSTER)), lambda x, y: (x - y) * (x - y))
-        final = best.transform(scaled).agg(F.sum(F.aggregate(apart, F.lit(0.0), lambda a, x: a + x))).first()[0]
-        rows.append((k, final <= cost * (1 + 1e-6) and final > 0.5 * cost, -1.0 <= silhouette <= 1.0))
-    scaled.unpersist()
-    return spark.createDataFrame(rows, "k int, cost_is_of_its_centres boolean, silhouette_in_bounds boolean")
+    scaler, models, figures = C.sweep_models(df)
+    best = K.best_of(models)
+    scaled = scaler.transform(df).select(C.FEATURES)
+    costs = scaled.agg(*[F.sum(F.least(*squared_distances(m.centres.tolist()))).alias(f"k{k}") for k, m in best.items()]).first()
+    rows = [
+        (f["k"], int(best[f["k"]].sizes.sum()), sum(m.k == f["k"] for m in models),
+         abs(costs[f"k{f['k']}"] - f["cost"]) <= 1e-6 * f["cost"], -1 <= f["silhouette"] <= 1 and -1 <= f["euclidean_silhouette"] <= 1)
+        for f in figures.collect()
+    ]
+    return spark.createDataFrame(rows, "k int, n long, restarts long, cost_is_of_its_centres boolean, silhouette_in_bounds boolean")
+
+
+@query("m12_sweep_figures")
+def m12_figures(spark: SparkSession, sf: str) -> DataFrame:
+    """Cost and both silhouettes of the best model for each number of clusters."""
+    return C.sweep(clinical(spark, sf))
 
 
 # ---- risk model --------------------------------------------------------------------------------------------------
@@ -254,6 +298,24 @@ def m5_m6(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("right") > F.col("majority")).alias("level_beats_majority"), (F.col("r2") > 0).alias("score_beats_mean"), (F.col("n") > 0).alias("some"))
 
 
+@query("m5_m6_m7_scored_rows")
+def m5_m6_m7_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Level, predicted level and score of every silver row."""
+    return bundle(spark, sf).score(silver_from(table(spark, sf, "orders"))).select("k", LEVEL, LEVEL_OUT, SCORE_OUT)
+
+
+@query("m5_level_figures")
+def m5_levels(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per level of the rows that the training did not see: how many, precision and recall."""
+    return level_report(bundle(spark, sf), split_rows(silver_from(table(spark, sf, "orders")), F.col("k"))[1])
+
+
+@query("m16_hold_out_figures")
+def m16_figures(spark: SparkSession, sf: str) -> DataFrame:
+    """R2, mean absolute and root mean squared error of the score, and the share of right levels."""
+    return hold_out_report(bundle(spark, sf), split_rows(silver_from(table(spark, sf, "orders")), F.col("k"))[1])
+
+
 @query("m7_every_row_scored", S.bronze_filled(
     f"SELECT count(*) AS scored, TRUE AS levels_known, TRUE AS rounded, TRUE AS beats_majority FROM filled"
     f" WHERE {S.SILVER_PASS}"))
@@ -269,17 +331,26 @@ def m7_whole(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("m8_level_signal_ablation", "SELECT use_signal, TRUE AS all_held_out, TRUE AS beats_mean FROM (VALUES (TRUE), (FALSE)) AS t(use_signal)")
-def m8(spark: SparkSession, sf: str) -> DataFrame:
+def ablated(spark: SparkSession, sf: str) -> tuple[DataFrame, int]:
+    """(hold-out figures with and without the level as an input, held-out rows with a score)."""
     rest, test = split_rows(silver_from(table(spark, sf, "orders")), F.col("k"))
     rest, test = rest.persist(), test.persist()
     try:
-        n = test.filter(ref(SCORE).isNotNull()).count()
-        rows = [(r["use_signal"], r["n"] == n, r["r2"] > 0) for r in ablation(rest, test).collect()]
+        return spark.createDataFrame(ablation(rest, test).collect()), test.filter(ref(SCORE).isNotNull()).count()
     finally:
         rest.unpersist()
         test.unpersist()
-    return spark.createDataFrame(rows, "use_signal boolean, all_held_out boolean, beats_mean boolean")
+
+
+@query("m8_ablation_figures")
+def m8_figures(spark: SparkSession, sf: str) -> DataFrame:
+    return ablated(spark, sf)[0]
+
+
+@query("m8_level_signal_ablation", "SELECT use_signal, TRUE AS all_held_out, TRUE AS beats_mean FROM (VALUES (TRUE), (FALSE)) AS t(use_signal)")
+def m8(spark: SparkSession, sf: str) -> DataFrame:
+    figures, n = ablated(spark, sf)
+    return figures.select("use_signal", (F.col("n") == n).alias("all_held_out"), (F.col("r2") > 0).alias("beats_mean"))
 
 
 @query("m14_m15_load_train_refresh",

@@ -1,12 +1,13 @@
 """Two-stage risk model: level first, then the score with the level as a further input.
 
-Spark's boosted classifier is binary, so the level is one boosted model per level and the highest margin wins. All
-of scoring is JVM work on executors, for tables and for streams.
+By default both stages are boosted over histograms (``boosting``), the level with all its classes at once. Spark's own boosted
+classifier is binary: ``kind="one_vs_rest"`` fits one of them per level and lets the highest margin win; ``kind="forest"`` is the
+cheapest choice. All kinds score tables and streams on the executors.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import astuple, dataclass, replace
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pulseframe.functions.names import ref
 from pulseframe.functions.quantiles import approx_quantiles
 from pulseframe.functions.scalar import as_category, half_even
+from pulseframe.operators.boosting import Boosted, Growth, Task, fit_boosted, load_boosted, save_boosted, two_stage
 from pulseframe.operators.encode import coder, decode, quoted, text_categories
 from pulseframe.operators.mapping import require_columns
 from pulseframe.schema import CATEGORY_FEATURES, LEVEL, NUMERIC_FEATURES, SCORE
@@ -35,7 +37,11 @@ SCORE_OUT = "predicted_risk_score"
 
 @dataclass(frozen=True)
 class Settings:
-    """Boosting settings. Rounds, step, bins and seed of the risk model."""
+    """Boosting settings. Rounds, step, bins, leaves, smallest leaf and seed of the risk model.
+
+    ``kind`` is boosted, one_vs_rest or forest; ``depth`` and ``seed`` are for the last two, ``leaves`` and ``smallest_leaf`` for the
+    first. ``unseen`` is what becomes of a category that the model does not know: error, keep (a code of its own) or skip (the row).
+    """
 
     rounds: int = 100
     step: float = 0.1
@@ -45,30 +51,87 @@ class Settings:
     kind: str = "boosted"
     use_signal: bool = True
     unseen: str = "error"
+    leaves: int = 31
+    smallest_leaf: int = 20
+
+    def growth(self) -> Growth:
+        return Growth(self.rounds, self.step, self.bins, self.leaves, self.smallest_leaf)
+
+
+ABOUT = (
+    "labels array<string>, categories array<array<string>>, rounds int, step double, bins int, depth int, seed int, kind string, "
+    "use_signal boolean, unseen string, leaves int, smallest_leaf int"
+)
 
 
 @dataclass
 class RiskModel:
-    stage1: PipelineModel
-    stage2: PipelineModel
+    """What all kinds share: ``categories`` are the known labels of each category feature."""
+
     labels: list[str]
+    categories: list[list[str]]
     settings: Settings
 
-    def _coder(self) -> StringIndexerModel:
-        return next(s for s in self.stage1.stages if isinstance(s, StringIndexerModel))
-
     def scorable(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(rows whose categories the model knows, the other rows with the reason)."""
-        model = self._coder()
         unknown = [
-            F.when(~as_category(ref(c)).isin(list(known)), F.concat(F.lit(f"{c}: "), as_category(ref(c))))
-            for c, known in zip(CATEGORY_FEATURES, model.labelsArray, strict=True)
+            F.when(~as_category(ref(c)).isin(known), F.concat(F.lit(f"{c}: "), as_category(ref(c))))
+            for c, known in zip(CATEGORY_FEATURES, self.categories, strict=True)
         ]
         marked = df.withColumn("reason", F.concat_ws("; ", *unknown))
         return marked.filter(F.col("reason") == "").drop("reason"), marked.filter(F.col("reason") != "")
 
     def score(self, df: DataFrame) -> DataFrame:
         """Every input row with its level and its score rounded to two digits."""
+        raise NotImplementedError
+
+    def save(self, path: str) -> None:
+        self._save_stages(path)
+        about = [(self.labels, self.categories, *astuple(self.settings))]
+        SparkSession.active().createDataFrame(about, ABOUT).coalesce(1).write.mode("overwrite").json(f"{path}/about")
+
+    def _save_stages(self, path: str) -> None:
+        raise NotImplementedError
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> RiskModel:
+        row = spark.read.schema(ABOUT).json(f"{path}/about").first().asDict()
+        labels, categories = list(row.pop("labels")), [list(c) for c in row.pop("categories")]
+        settings = Settings(**row)
+        if settings.kind == "boosted":
+            return BoostedRisk(labels, categories, settings, *load_boosted(spark, path))
+        stages = (PipelineModel.load(f"{path}/{stage}") for stage in ("stage1", "stage2"))
+        return StagedRisk(labels, categories, settings, *stages)
+
+
+@dataclass
+class BoostedRisk(RiskModel):
+    stage1: Boosted
+    stage2: Boosted
+
+    def score(self, df: DataFrame) -> DataFrame:
+        require_columns(df, NUMERIC_FEATURES + CATEGORY_FEATURES)
+        if self.settings.unseen == "skip":
+            df = self.scorable(df)[0]
+        found = df.withColumn("risk_found", two_stage(model_inputs(self.categories, self.settings.unseen), self.stage1, self.stage2))
+        return found.select(
+            *map(ref, df.columns),
+            decode(F.col("risk_found.class"), self.labels).alias(LEVEL_OUT),
+            half_even(F.col("risk_found.number"), 2).alias(SCORE_OUT),
+        )
+
+    def _save_stages(self, path: str) -> None:
+        save_boosted(SparkSession.active(), [self.stage1, self.stage2], path)
+
+
+@dataclass
+class StagedRisk(RiskModel):
+    """Both stages as pipelines of Spark's own models."""
+
+    stage1: PipelineModel
+    stage2: PipelineModel
+
+    def score(self, df: DataFrame) -> DataFrame:
         require_columns(df, NUMERIC_FEATURES + CATEGORY_FEATURES)
         staged = self.stage1.transform(df).withColumn(SIGNAL, self._level_code())
         out = self.stage2.transform(staged)
@@ -85,27 +148,29 @@ class RiskModel:
         highest = F.greatest(*margins) if len(margins) > 1 else margins[0]
         return (F.array_position(F.array(*margins), highest) - 1).cast("double")
 
-    def save(self, path: str) -> None:
-        spark = SparkSession.active()
+    def _save_stages(self, path: str) -> None:
         self.stage1.write().overwrite().save(f"{path}/stage1")
         self.stage2.write().overwrite().save(f"{path}/stage2")
-        s = self.settings
-        about = [(self.labels, s.rounds, s.step, s.bins, s.depth, s.seed, s.kind, s.use_signal, s.unseen)]
-        spark.createDataFrame(about, ABOUT).coalesce(1).write.mode("overwrite").json(f"{path}/about")
 
-    @staticmethod
-    def load(spark: SparkSession, path: str) -> RiskModel:
-        row = spark.read.schema(ABOUT).json(f"{path}/about").first().asDict()
-        labels = list(row.pop("labels"))
-        return RiskModel(
-            PipelineModel.load(f"{path}/stage1"), PipelineModel.load(f"{path}/stage2"), labels, Settings(**row)
-        )
 
+def known_labels(df: DataFrame, cols: list[str]) -> list[list[str]]:
+    """The labels of a few category columns in order, from one aggregate; a model's categories are few by nature."""
+    row = df.agg(*[F.sort_array(F.collect_set(as_category(ref(c)))).alias(f"c{i}") for i, c in enumerate(cols)]).first()
+    return [list(found) for found in row]
 
-ABOUT = (
-    "labels array<string>, rounds int, step double, bins int, depth int, seed int, kind string, use_signal boolean, "
-    "unseen string"
-)
+
+def label_code(column: str, labels: list[str], unseen: str = "error") -> Column:
+    """Code of a label as a double; ``unseen`` keep gives an unknown one the code after the last."""
+    text = as_category(ref(column))
+    at = F.array_position(F.array(*map(F.lit, labels)).cast("array<string>"), text)
+    other = F.lit(len(labels)) if unseen == "keep" else F.raise_error(F.concat(F.lit(f"{column}: unknown label "), text)).cast("int")
+    return F.when(at > 0, at - 1).otherwise(other).cast("double")
+
+
+def model_inputs(categories: list[list[str]], unseen: str = "error") -> list[Column]:
+    """Numbers, empty where they are missing, then category codes."""
+    return [ref(c).cast("double") for c in NUMERIC_FEATURES] + [
+        label_code(c, known, unseen) for c, known in zip(CATEGORY_FEATURES, categories, strict=True)]
 
 
 def fit_inputs(df: DataFrame, unseen: str = "error") -> PipelineModel:
@@ -137,8 +202,33 @@ def train_variants(df: DataFrame, settings: Settings, signals: tuple[bool, ...]
     """A model for each choice of ``use_signal``; they share the first stage, which does not depend on it."""
     shared_dir(df.sparkSession)
     require_columns(df, [*NUMERIC_FEATURES, *CATEGORY_FEATURES, LEVEL, SCORE])
-    inputs = fit_inputs(df, settings.unseen)
     known = df.filter(ref(LEVEL).isNotNull() & ref(SCORE).isNotNull())
+    return _train_boosted(known, settings, signals) if settings.kind == "boosted" else _train_staged(df, known, settings, signals)
+
+
+def _train_boosted(known: DataFrame, settings: Settings, signals: tuple[bool, ...]) -> list[RiskModel]:
+    """The second stage learns from the true level, so both stages, and all variants, grow side by side in the same passes."""
+    known = known.select(*map(ref, [*NUMERIC_FEATURES, *CATEGORY_FEATURES, LEVEL, SCORE])).persist()
+    try:
+        *categories, labels = known_labels(known, [*CATEGORY_FEATURES, LEVEL])
+        inputs = model_inputs(categories)
+        features = [f"risk_x{i}" for i in range(len(inputs))]
+        ready = known.select(
+            *[x.alias(c) for x, c in zip(inputs, features, strict=True)], label_code(LEVEL, labels).alias(SIGNAL),
+            ref(SCORE).cast("double").alias("score"),
+        )
+        plain, wide = tuple(range(len(inputs))), tuple(range(len(inputs) + 1))
+        tasks = [Task(SIGNAL, max(len(labels), 1), plain)] + [Task("score", 0, wide if s else plain) for s in signals]
+        stage1, *others = fit_boosted(ready, [*features, SIGNAL], tasks, settings.growth())
+    finally:
+        known.unpersist()
+    return [
+        BoostedRisk(labels, categories, replace(settings, use_signal=s), stage1, stage2) for s, stage2 in zip(signals, others, strict=True)]
+
+
+def _train_staged(df: DataFrame, known: DataFrame, settings: Settings, signals: tuple[bool, ...]) -> list[RiskModel]:
+    inputs = fit_inputs(df, settings.unseen)
+    categories = [list(c) for c in next(s for s in inputs.stages if isinstance(s, StringIndexerModel)).labelsArray]
     target = coder([LEVEL]).setOutputCols(["level_code"]).fit(known)
     labels = list(target.labelsArray[0])
     ready = target.transform(inputs.transform(known)).select(
@@ -160,7 +250,7 @@ def train_variants(df: DataFrame, settings: Settings, signals: tuple[bool, ...]
                 seed=settings.seed,
             ).fit(vector.transform(ready.withColumnRenamed("level_code", SIGNAL)))
             stage2 = PipelineModel([vector, scorer])
-            models.append(RiskModel(stage1, stage2, labels, replace(settings, use_signal=use_signal)))
+            models.append(StagedRisk(labels, categories, replace(settings, use_signal=use_signal), stage1, stage2))
     finally:
         ready.unpersist()
     return models

@@ -74,6 +74,18 @@ def hold_out_report(model: RiskModel, test: DataFrame) -> DataFrame:
     return regression_metrics(model.score(test), SCORE, SCORE_OUT, right)
 
 
+def level_report(model: RiskModel, test: DataFrame) -> DataFrame:
+    """One row per level, true or predicted: rows of it, rows predicted as it, right ones, precision and recall."""
+    pairs = model.score(test).groupBy(ref(LEVEL).alias("truth"), ref(LEVEL_OUT).alias("guess")).agg(F.count(F.lit(1)).alias("n"))
+    sides = F.explode(F.array_distinct(F.array("truth", "guess"))).alias("level")
+    own = {side: F.when(F.col(side) == F.col("level"), F.col("n")).otherwise(0) for side in ("truth", "guess")}
+    both = F.when((F.col("truth") == F.col("level")) & (F.col("guess") == F.col("level")), F.col("n")).otherwise(0)
+    counts = pairs.select("*", sides).where(F.col("level").isNotNull()).groupBy("level").agg(
+        F.sum(own["truth"]).alias("n"), F.sum(own["guess"]).alias("predicted"), F.sum(both).alias("right"))
+    return counts.select(
+        "*", F.try_divide("right", "predicted").alias("precision"), F.try_divide("right", "n").alias("recall"))
+
+
 def ablation(train_rows: DataFrame, test_rows: DataFrame, settings: Settings | None = None) -> DataFrame:
     """Hold-out figures with and without the level as an input to the score."""
     reports = [
