@@ -38,7 +38,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MISSING = 255
 BLOCK_ROWS = 1 << 16
 #: Rows of a node that one task may grow on alone (some 30 bytes each).
-SMALL = 1 << 17
+SMALL = 1 << 18
 #: Rounds after which the margins are written with the rows, so that tasks catch up with few trees.
 REFRESH = 10
 #: Least sum of second derivatives on each side of a split.
@@ -373,15 +373,13 @@ def dropped(rows: dict[int, np.ndarray], bins: np.ndarray, splits: list[tuple])
 
 
 def histogram(codes: np.ndarray, mine: np.ndarray, g: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """(3, features x 256) sums over the rows ``mine``. Whole numbers far below 2**53: the float sums of a block are exact."""
-    width = codes.shape[0]
-    at = codes[:, mine].ravel()
-    sums = [np.bincount(at, np.tile(x[mine], width), 256 * width) for x in (g, h)] + [np.bincount(at, minlength=256 * width)]
-    return np.stack(sums).astype(np.int64)
-
-
-def coded(bins: np.ndarray) -> np.ndarray:
-    return bins.astype(np.int64) + 256 * np.arange(bins.shape[0])[:, None]
+    """(3, features, 256) sums over the rows ``mine``. Whole numbers far below 2**53: the float sums of a block are exact."""
+    out = np.empty((3, len(codes), 256), np.int64)
+    g, h = g[mine].astype(np.float64), h[mine].astype(np.float64)
+    for f, code in enumerate(codes):
+        at = code[mine]
+        out[0, f], out[1, f], out[2, f] = np.bincount(at, g, 256), np.bincount(at, h, 256), np.bincount(at, minlength=256)
+    return out
 
 
 SUMS = "output int, node int, bin int, g long, h long, n long"
@@ -395,13 +393,14 @@ def counted(tasks: list[Task], units: list, since: list[list[Tree]], asked: list
         held: dict[tuple[int, int], np.ndarray] = {}
         for bins, targets, margin in blocks(batches, len(units)):
             add_trees(since, margin, bins)
-            codes = coded(bins)
+            codes = bins.astype(np.intp)
             for (k, (g, h)), (splits, wanted) in zip(enumerate(gradients(tasks, list(targets), margin, units)), asked, strict=True):
                 rows = dropped({0: np.arange(bins.shape[1])}, bins, splits) if wanted else {}
                 for node in wanted:
                     total = histogram(codes, rows[node], g, h)
                     held[k, node] = held[k, node] + total if (k, node) in held else total
         for (k, node), total in held.items():
+            total = total.reshape(3, -1)
             at = np.flatnonzero(total[2])
             columns = [np.full(len(at), k, np.int32), np.full(len(at), node, np.int32), at.astype(np.int32), *total[:, at]]
             yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["output", "node", "bin", "g", "h", "n"])
@@ -452,10 +451,10 @@ def grown_alone(of_slot: list[tuple[tuple[int, ...], tuple[float, float], int]],
         bins = np.concatenate([b.reshape(-1, n) for b, n in zip(part("bins", np.uint8), sizes, strict=True)], axis=1)
         g, h = (np.concatenate(part(c, np.int64)) for c in ("g", "h"))
         tree = Growing(features, replace(growth, leaves=leaves), unit, bins.shape[1], 0, False)
-        codes, held = coded(bins), {0: np.arange(bins.shape[1])}
+        codes, held = bins.astype(np.intp), {0: np.arange(bins.shape[1])}
         while wanted := tree.wanted():
             dropped(held, bins, tree.shape())
-            tree.take({n: histogram(codes, held[n], g, h).reshape(3, -1, 256) for n in wanted}, len(bins))
+            tree.take({n: histogram(codes, held[n], g, h) for n in wanted}, len(bins))
         below = [
             dict(node=i, gain=x.split[0], feature=x.split[1], cut=x.split[2], missing_left=x.split[3], g=x.split[4][0], h=x.split[4][1],
                  n=x.split[4][2], left=x.left, right=x.right)
