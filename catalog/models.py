@@ -30,6 +30,7 @@ from pulseframe.schema import CATEGORY_FEATURES, IMPUTED, LEVEL, NUMERIC_FEATURE
 from pulseframe.session import scratch
 from pulseframe.sources.files import read_bronze, stream_bronze
 from pulseframe.streaming.ingest import stream_to_silver, total_outcomes
+from pulseframe.streaming.medians import MedianCounts
 from pulseframe.streaming.scoring import score_stream
 
 # ---- encoding and split ------------------------------------------------------------------------------------------
@@ -52,6 +53,20 @@ def m1(spark: SparkSession, sf: str) -> DataFrame:
     return coded.select("k", *[f"{c}__code" for c in CATEGORIES])
 
 
+@query("m1_codes_by_tables", with_patients(f"SELECT k, {', '.join(map(code_sql, CATEGORIES))} FROM {HOLED_FAM}"))
+def m1_tables(spark: SparkSession, sf: str) -> DataFrame:
+    fam = F.when(F.col("k") % 9 == 0, None).otherwise(F.col("fam"))
+    coded, _ = E.encode_by_tables(patients(spark, sf).withColumn("fam_or_none", fam), CATEGORIES)
+    return coded.select("k", *[F.col(f"{c}__code").cast("int").alias(f"{c}__code") for c in CATEGORIES])
+
+
+@query("m1_codes_of_a_wide_column", f"SELECT p_partkey, {code_sql('p_name')} FROM part")
+def m1_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """A column with about as many labels as rows: no list of them in the plan or on the driver."""
+    coded, _ = E.encode_by_tables(table(spark, sf, "part"), ["p_name"])
+    return coded.select("p_partkey", F.col("p_name__code").cast("int").alias("p_name__code"))
+
+
 @query("m1_segment_codes", f"SELECT c_custkey, c_mktsegment, {code_sql('c_mktsegment')} FROM customer")
 def m1_customer(spark: SparkSession, sf: str) -> DataFrame:
     coded, _ = E.encode(table(spark, sf, "customer"), ["c_mktsegment"])
@@ -81,6 +96,21 @@ def m4(spark: SparkSession, sf: str) -> DataFrame:
     return rest.select("k", F.lit(False).alias("held_out")).unionByName(test.select("k", F.lit(True).alias("held_out")))
 
 
+@query("m4_exact_split", with_patients(
+    "SELECT k, row_number() OVER (ORDER BY (k * 7919 + 42) % 1009, k) <= (SELECT (count(*) * 20 + 99) // 100 FROM p) AS held_out FROM p"))
+def m4_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """A fifth of the rows to the row; many keys share a hash, so the key decides at the edge."""
+    df = patients(spark, sf)
+    return df.select("k", E.exact_hold_out(df, [(F.col("k") * 7919 + 42) % 1009, F.col("k")]).alias("held_out"))
+
+
+@query("m4_exact_sizes", with_patients("SELECT (count(*) * 20 + 99) // 100 AS held_out, count(*) - (count(*) * 20 + 99) // 100 AS kept FROM p"))
+def m4_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    rest, test = split_rows(patients(spark, sf), F.col("k"))
+    n = F.count(F.lit(1))
+    return test.agg(n.alias("held_out")).crossJoin(F.broadcast(rest.agg(n.alias("kept"))))
+
+
 @query("m4_split_by_hash", with_patients("SELECT count(*) AS n, TRUE AS whole, TRUE AS near_a_fifth FROM p"))
 def m4_hash(spark: SparkSession, sf: str) -> DataFrame:
     df = patients(spark, sf)
@@ -477,6 +507,17 @@ def st1_new_groups(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("kept") + F.col("rejected")).alias("n"), "differ")
 
 
+@query("st1_refreshed_medians", S.bronze_filled("SELECT * FROM filled"))
+def st1_refreshed(spark: SparkSession, sf: str) -> DataFrame:
+    """Medians of a few rows fill the stream, whose batches are counted; the medians of all batches then fill the table as one batch's do."""
+    typed, out = typed_bronze(spark, sf), scratch(spark, "stream")
+    counts = MedianCounts(f"{out}/counts")
+    first = ClinicalFill.fit(typed.filter((F.col("Sex") == "M") & (F.col("Age") < 40)), exact=True)
+    source = stream_bronze(spark, bronze_csv(spark, sf, pieces=3), bronze_schema(), maxFilesPerTrigger=1)
+    stream_to_silver(source, first, out, f"{out}/progress", keep=("k",), counts=counts).awaitTermination()
+    return counts.fit(spark).apply(typed)
+
+
 @query("st1_stream_malformed", MALFORMED_PARTS)
 def st1_malformed(spark: SparkSession, sf: str) -> DataFrame:
     out, path = scratch(spark, "stream"), malformed_csv(spark, sf)

@@ -111,12 +111,10 @@ def a10(spark: SparkSession, sf: str) -> DataFrame:
 @query("a11_l1_sorted_categories", "SELECT p_brand, CAST(row_number() OVER (ORDER BY p_brand) - 1 AS BIGINT) AS code"
        " FROM (SELECT DISTINCT p_brand FROM part WHERE p_brand IS NOT NULL)")
 def a11(spark: SparkSession, sf: str) -> DataFrame:
-    from pulseframe.operators.encode import coder
+    from pulseframe.operators.encode import label_codes
 
-    labels = coder(["p_brand"]).fit(table(spark, sf, "part")).labelsArray[0]
     listed = P.categories(table(spark, sf, "part"), "p_brand")
-    order = F.array_position(F.array(*map(F.lit, labels)), F.col("p_brand")) - 1
-    return listed.withColumn("code", order)
+    return label_codes(listed, "p_brand").select(F.col("label").alias("p_brand"), "code")
 
 
 @query("a12_level_by_band", S.bronze_filled(

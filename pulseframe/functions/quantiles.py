@@ -166,17 +166,9 @@ def _by_search(
     search = _Search(keys, cols, probs, interpolate, accuracy)
     values = values.select(*map(ref, keys), *[ref(c).alias(f"v{i}") for i, c in enumerate(cols)])
     summary = pin(_summary(values, keys, len(cols), probs, accuracy))
-    size = summary.agg(
-        F.count(F.lit(1)).alias("groups"),
-        F.max(F.greatest(*[F.col(f"n{i}") for i in range(len(cols))], F.lit(0))).alias("largest"),
-    ).first()
-    if not interpolate and (size["largest"] or 0) < accuracy // 2:
-        # The summary keeps every element of such small groups, so its answer is already exact.
-        middle = [[F.get(F.col(f"g{i}"), F.lit(5 * j + 2)) for j in range(len(probs))] for i in range(len(cols))]
-        return summary.select(*map(ref, keys), *[F.array(*m).alias(c) for c, m in zip(cols, middle, strict=True)])
-
+    groups = summary.count()
     for full_range in (False, True):
-        counted, inside = search.count(values, summary, size["groups"], full_range)
+        counted, inside = search.count(values, summary, groups, full_range)
         state = counted.agg(
             F.count(F.lit(1)).alias("rows"),
             F.max("inside").alias("inside"),
@@ -189,6 +181,34 @@ def _by_search(
     return search.pick(counted, inside, state["rows"])
 
 
+def quantiles_of_counts(
+    counts: DataFrame, keys: list[str], cols: list[str], probs: list[float], interpolate: bool = False, max_values: int = MAX_VALUES
+) -> DataFrame:
+    """The quantiles of values that are already counted: (keys, ``cell``, ``value``, ``n``), a row or more per value; null values are left out.
+
+    ``cell`` names the column that a value is of. The result is that of ``exact_quantiles`` over the rows that were counted.
+    """
+    search = _Search(keys, cols, probs, interpolate, ACCURACY)
+    number = F.create_map(*[x for i, c in enumerate(cols) for x in (F.lit(c), F.lit(i))])[F.col("cell")]
+    slots = F.explode(F.array(*[F.lit(j) for j in range(len(probs))]))
+    known = counts.where(F.col("value").isNotNull() & F.col("cell").isin(cols)).groupBy(*search.by_group, number.alias("of"), F.col("value").alias("v"))
+    inside = pin(known.agg(F.sum("n").alias("c")).select("*", slots.alias("j")).withColumn("slot", F.col("of") * len(probs) + F.col("j")).drop("of", "j"))
+    sizes = inside.groupBy(*search.by_group, "slot").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("inside"))
+    ranks = [_ranks(F.col("n"), p, interpolate) for p in probs]
+
+    def by_prob(side: int) -> Column:
+        out = ranks[0][side]
+        for j, r in enumerate(ranks[1:], start=1):
+            out = F.when(F.col("slot") % len(probs) == j, r[side]).otherwise(out)
+        return out
+
+    counted = pin(sizes.select(*search.by_group, "slot", "n", by_prob(0).alias("r1"), by_prob(1).alias("r2"), F.lit(0).cast("long").alias("below"), "inside"))
+    state = counted.agg(F.count(F.lit(1)).alias("rows"), F.max("inside").alias("inside")).first()
+    if (state["inside"] or 0) > max_values:
+        counted, inside = _narrow(counted, inside, [*keys, "slot"], state["rows"], max_values)
+    return search.pick(counted, inside, state["rows"])
+
+
 class _Search:
     """The two data passes of the search, and the final pick."""
 

@@ -2,6 +2,10 @@
 
 The medians of a tier are a small table, fitted once and then looked up by every row; the rows themselves are never
 sorted or gathered by group. The fitted tables can be stored and applied to later batches or to a stream.
+
+Exact medians of all tiers come from one counted table: one scan counts each value of each column, missing ones included, by the keys of
+all tiers. A tier's medians are read off its counts; the missing cells it fills join the counts at its median, and the next tier goes on from
+there. Counts of several batches add up, so medians can be kept up to date without the rows.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ from pyspark.sql import functions as F
 
 from pulseframe.functions.lookup import lookup
 from pulseframe.functions.names import flag_name, ref
-from pulseframe.functions.quantiles import ACCURACY, approx_quantiles, exact_medians
+from pulseframe.functions.quantiles import ACCURACY, approx_quantiles, exact_medians, quantiles_of_counts
 from pulseframe.session import pin
 
 
@@ -117,6 +121,11 @@ def fit_tiers(
     rows did not have.
     """
     open_columns = [c for c in columns if c not in protect]
+    keys = list(dict.fromkeys(k for tier in tiers for k in tier))
+    if exact and open_columns and not set(keys) & set(open_columns):
+        kinds = dict(df.dtypes)
+        counts = pin(count_cells(df, keys, open_columns))
+        return TierFill(columns, fit_counted(counts, open_columns, tiers, kinds), flags, list(protect))
     steps: list[FillStep] = []
     current = df
     for keys in tiers:
@@ -128,6 +137,38 @@ def fit_tiers(
     return TierFill(columns, steps, flags, list(protect))
 
 
+def count_cells(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """(keys, ``cell``, ``value``, ``n``): how often each value of each column comes in each group, a missing one as null. One scan, combined before
+    the shuffle."""
+    values = df.select(*map(ref, keys), *[ref(c).cast("double").alias(c) for c in columns])
+    cells = values.unpivot([ref(k) for k in keys], [ref(c) for c in columns], "cell", "value")
+    return cells.groupBy(*map(ref, keys), "cell", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def fit_counted(counts: DataFrame, columns: list[str], tiers: list[list[str]], kinds: dict[str, str]) -> list[FillStep]:
+    """The steps of ``fit_tiers`` from ``count_cells``, whose keys must be those of all tiers. ``kinds`` are the types of the medians."""
+    steps: list[FillStep] = []
+    for keys in tiers:
+        if steps and steps[-1].columns:
+            counts = _filled_counts(counts, steps[-1])
+        found = quantiles_of_counts(counts, keys, columns, [0.5])
+        typed = found.select(*map(ref, keys), *[F.get(ref(c), F.lit(0)).cast(kinds[c]).alias(c) for c in columns])
+        # A group without any value has no medians, but its row counts: the fill must not take it for unknown.
+        groups = counts.select(*map(ref, keys)).distinct() if keys else None
+        medians = pin(lookup(groups, pin(typed), keys) if keys else typed)
+        steps.append(FillStep(keys, columns, medians, medians.count()))
+    return steps
+
+
+def _filled_counts(counts: DataFrame, step: FillStep) -> DataFrame:
+    """Missing cells at the median of their group."""
+    doubles = step.medians.select(*map(ref, step.keys), *[ref(c).cast("double").alias(c) for c in step.columns])
+    table = doubles.unpivot([ref(k) for k in step.keys], [ref(c) for c in step.columns], "cell", "median")
+    joined = lookup(counts, table, [*step.keys, "cell"], step.rows * len(step.columns))
+    names = [c for c in counts.columns if c not in ("value", "n")]
+    return joined.select(*map(ref, names), F.coalesce("value", "median").alias("value"), "n")
+
+
 def impute(df: DataFrame, columns: list[str], tiers: list[list[str]], **options) -> DataFrame:
     """Fit the tiers on ``df`` and fill it: ``impute(df, cols, tiers=[["Sex", "age_band"], []])``."""
     return fit_tiers(df, columns, tiers, **options).apply(df)

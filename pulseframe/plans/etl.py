@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from pulseframe.functions.names import ref
 from pulseframe.functions.quantiles import ACCURACY
 from pulseframe.functions.scalar import band
-from pulseframe.operators.impute import TierFill, fit_tiers
+from pulseframe.operators.impute import TierFill, count_cells, fit_counted, fit_tiers
 from pulseframe.operators.mapping import apply_mapping, raw_mapping, silver_mapping, split_pair
 from pulseframe.operators.quality import (
     CORRUPT, SILVER_RULES, WELL_FORMED, Rule, failed_rows, outcome_rows, passed_rows, row_outcomes, rule_metrics,
 )
-from pulseframe.schema import AGE_BAND, IMPUTED
-from pulseframe.session import discard, scratch
+from pulseframe.schema import AGE_BAND, IMPUTED, RAW_TYPES
+from pulseframe.session import discard, pin, scratch
 from pulseframe.sources.files import read_bronze
 from pulseframe.sources.sinks import publish_outcomes, write_parquet, write_table
 
@@ -38,14 +38,25 @@ class ClinicalFill:
         accuracy: int = ACCURACY,
     ) -> ClinicalFill:
         """``protect`` names columns that must stay empty where they are empty, so that the rules reject the row."""
+        if exact:
+            return ClinicalFill.from_counts(pin(clinical_counts(typed, protect)), protect, dict(split_pair(typed).dtypes))
         paired = split_pair(typed)
-        age = fit_tiers(paired, ["Age"], [["Sex"]], flags=False, exact=exact, accuracy=accuracy)
+        age = fit_tiers(paired, ["Age"], [["Sex"]], flags=False, accuracy=accuracy)
         banded = with_band(age.apply(paired))
-        values = fit_tiers(
-            banded, IMPUTED, [["Sex", AGE_BAND], []], protect=protect, exact=exact, accuracy=accuracy
-        )
+        values = fit_tiers(banded, IMPUTED, [["Sex", AGE_BAND], []], protect=protect, accuracy=accuracy)
         return ClinicalFill(age, values)
 
+    @staticmethod
+    def from_counts(counts: DataFrame, protect: list[str] | tuple[str, ...] = (), kinds: dict[str, str] | None = None) -> ClinicalFill:
+        """Exact medians of all tiers from ``clinical_counts``, which may be those of several batches together."""
+        kinds = kinds or RAW_TYPES
+        ages = counts.where(F.col("cell") == "Age").select("Sex", "cell", F.col("Age").cast("double").alias("value"), "n")
+        age = TierFill(["Age"], fit_counted(ages, ["Age"], [["Sex"]], kinds), flags=False)
+        open_columns = [c for c in IMPUTED if c not in protect]
+        banded = with_band(age.apply(counts.where(F.col("cell") != "Age"))).drop("Age")
+        steps = fit_counted(pin(banded), open_columns, [["Sex", AGE_BAND], []], kinds) if open_columns else []
+        return ClinicalFill(age, TierFill(IMPUTED, steps, True, list(protect)))
+
     def apply(self, typed: DataFrame) -> DataFrame:
         """Narrow work only (lookups of small tables), so it also runs on a stream."""
         return self.values.apply(with_band(self.age.apply(split_pair(typed))))
@@ -59,6 +70,14 @@ class ClinicalFill:
         return ClinicalFill(TierFill.load(spark, f"{path}/age"), TierFill.load(spark, f"{path}/values"))
 
 
+def clinical_counts(typed: DataFrame, protect: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """Values of the clinical columns, and of Age itself, counted by Sex and Age as they came in, in one scan of the typed rows."""
+    paired = split_pair(typed).withColumn("age_value", ref("Age"))
+    columns = [c for c in IMPUTED if c not in protect]
+    counts = count_cells(paired, ["Sex", "Age"], [*columns, "age_value"])
+    return counts.withColumn("cell", F.when(F.col("cell") == "age_value", F.lit("Age")).otherwise(F.col("cell")))
+
+
 def with_band(df: DataFrame) -> DataFrame:
     return df.withColumn(AGE_BAND, band(F.col("Age")).cast("int"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe.functions.names import ref
-from pulseframe.operators.encode import hash_bucket, hold_out
+from pulseframe.operators.encode import exact_hold_out
 from pulseframe.operators.risk import LEVEL_OUT, SCORE_OUT, RiskModel, Settings, train, train_variants
 from pulseframe.operators.stats import regression_metrics
 from pulseframe.schema import LEVEL, SCORE
@@ -65,7 +65,12 @@ def load_or_train(
 
 
 def split_rows(df: DataFrame, key: Column, percent: int = 20, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    return hold_out(df, hash_bucket(key, seed), percent)
+    """(train, test): exactly ``percent`` % of the rows, rounded up, are held out, those with the least hashes of their key.
+
+    Rows of one key are on one side; a second hash orders keys that share the first.
+    """
+    held = exact_hold_out(df, [F.xxhash64(key, F.lit(s)) for s in (seed, seed + 1)], percent)
+    return df.filter(~held), df.filter(held)
 
 
 def hold_out_report(model: RiskModel, test: DataFrame) -> DataFrame:

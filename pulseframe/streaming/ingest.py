@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from pulseframe.functions.names import ref
 from pulseframe.operators.mapping import apply_mapping, raw_mapping
 from pulseframe.operators.quality import CORRUPT, SILVER_RULES, WELL_FORMED, Rule, row_outcomes, rule_outcomes
 from pulseframe.plans.etl import ClinicalFill, route
 from pulseframe.sources.sinks import publish_outcomes, write_parquet
+from pulseframe.streaming.medians import MedianCounts
 
 
 def stream_to_silver(
@@ -20,18 +22,22 @@ def stream_to_silver(
     rules: list[Rule] | None = None,
     keep: tuple[str, ...] = (),
     trigger: dict | None = None,
+    counts: MedianCounts | None = None,
 ) -> StreamingQuery:
     """Type, fill, check and route each batch.
 
     Missing cells take the stored reference medians, so the result does not depend on how the input was cut into
-    batches. Every batch owns a folder per sink and overwrites it, so a batch that runs twice is written once.
+    batches. With ``counts`` the values of each batch are counted there too, so that later runs can take medians of all rows seen. Every batch owns a folder per sink and overwrites it, so a batch that runs twice is written once.
     """
     rules = SILVER_RULES if rules is None else rules
     text = [CORRUPT] if CORRUPT in bronze.columns else []
     rules = [*rules, WELL_FORMED] if text else rules
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        filled = fill.apply(apply_mapping(batch, raw_mapping(keep=[*keep, *text])))
+        typed = apply_mapping(batch, raw_mapping(keep=[*keep, *text]))
+        if counts is not None:
+            counts.add(typed.filter(ref(CORRUPT).isNull()) if text else typed, batch_id)
+        filled = fill.apply(typed)
         checked = row_outcomes(filled, rules).persist()
         try:
             routed = route(checked, keep)
