@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,7 @@ from catalog.repair import CUSTOMER_PASS, CUSTOMER_RULES, checked_customer
 from pulseframe.functions.names import ref
 from pulseframe.operators import quality as Q
 from pulseframe.plans.etl import run_batch
+from pulseframe.plans.incremental import Bookmark, run_new_files
 from pulseframe.schema import CATEGORY_FEATURES, NUMERIC_FEATURES, raw_schema, request_schema
 from pulseframe.session import scratch
 from pulseframe.sources import files, sinks
@@ -299,6 +302,58 @@ def batch_silver(spark: SparkSession, sf: str) -> DataFrame:
     return out["silver"]
 
 
+class Killed(Exception):
+    """Stands for a run that dies."""
+
+
+def dies_after(step: str):
+    def reached(done: str) -> None:
+        if done == step:
+            raise Killed(step)
+
+    return reached
+
+
+@query("s2_q7_killed_run_silver", S.bronze_filled(f"SELECT k, {S.names(S.SILVER_COLUMNS)} FROM filled WHERE {S.SILVER_PASS}"))
+def killed_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A run that dies between its sinks and is started again gives the rows of one clean run."""
+    path, root = bronze_csv(spark, sf), scratch(spark, "bookmarked")
+    for step in ("manifest", "silver", "rejected"):
+        with contextlib.suppress(Killed):
+            run_new_files(spark, path, root, bronze_schema(), ("k",), exact=True, reached=dies_after(step))
+    run_new_files(spark, path, root, bronze_schema(), ("k",), exact=True)
+    return Bookmark(root).read(spark, "silver")
+
+
+@query("s2_bookmarked_deliveries", with_patients(
+    "SELECT CAST(k AS VARCHAR) AS k, CASE WHEN k % 3 = 0 THEN 2 ELSE 1 END AS run FROM p"))
+def bookmarked(spark: SparkSession, sf: str) -> DataFrame:
+    """Two deliveries and three starts: each row is taken up once, by the run that its file came with."""
+    path, root = scratch(spark, "deliveries"), scratch(spark, "bookmarked")
+    raw = bronze(spark, sf).select(*map(ref, bronze_schema().names))
+    runs = []
+    for first, mode in ((True, "error"), (False, "append")):
+        raw.filter((F.col("k").cast("long") % 3 > 0) == first).write.mode(mode).options(**CSV_WRITE).csv(path)
+        runs += [run_new_files(spark, path, root, bronze_schema(), ("k",)) for _ in range(2)]
+    assert runs == [1, None, 2, None]
+    sinks_of = [spark.read.parquet(f"{root}/{s}/run={r}").select("k", F.lit(r).alias("run")) for s in ("silver", "rejected") for r in (1, 2)]
+    return reduce(DataFrame.unionByName, sinks_of)
+
+
+@query("s6_swapped_table", "SELECT c_custkey, c_name, c_acctbal, (SELECT count(*) FROM customer WHERE c_custkey % 2 = 0) AS seen_after_failure FROM customer")
+def s6_swapped(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows are replaced as one step; a write that fails midway leaves the old ones."""
+    name, root = f"customers_{uuid.uuid4().hex}", scratch(spark, "customers")
+    customer = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    sinks.swap_table(customer.filter("c_custkey % 2 = 0"), name, root)
+    broken = customer.withColumn("c_name", F.when(F.col("c_custkey") % 97 == 13, F.raise_error(F.lit("broken")).cast("string")).otherwise(F.col("c_name")))
+    with contextlib.suppress(Exception):
+        sinks.swap_table(broken, name, root)
+    seen = spark.table(name).count()
+    sinks.swap_table(customer, name, root)
+    return spark.table(name).withColumn("seen_after_failure", F.lit(seen).cast("long"))
+
+
 @query("q6_batch_run_outcomes", S.bronze_filled(
     f"SELECT *, 'night' AS run_id FROM ({S.outcomes_sql('filled', Q.SILVER_RULES, 35)} UNION ALL"
     " SELECT 'WellFormedLine', 'Passed', CAST(0 AS BIGINT), count(*) FROM filled)"))

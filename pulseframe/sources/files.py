@@ -23,8 +23,8 @@ CSV_OPTIONS = {
 JSON_TYPE = "application/json"
 
 
-def read_bronze(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A directory of CSV files as text columns, never inferred; short or long lines keep their text aside."""
+def read_bronze(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
+    """A directory of CSV files, or a list of files, as text columns, never inferred; short or long lines keep their text aside."""
     return spark.read.schema(_with_corrupt(schema)).options(**CSV_OPTIONS).csv(path)
 
 
@@ -56,15 +56,27 @@ def union_by_name(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def read_requests(spark: SparkSession, path: str, schema: T.StructType | None = None, multiline: bool = True) -> tuple[DataFrame, DataFrame]:
+#: A file that is one body comes as one row, so it must not be larger.
+LARGEST_BODY = 64 << 20
+
+
+def read_requests(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multiline: bool = False, largest: int = LARGEST_BODY
+) -> tuple[DataFrame, DataFrame]:
     """JSON files of scoring requests: (one row per request, unreadable ones with file and reason).
 
-    An object is one request, an array one per element; with ``multiline`` a file is one body, else each line is.
+    An object is one request, an array one per element. With ``multiline`` a file is one body, and a file of over ``largest`` bytes goes
+    aside unread; without it each line is a body and files may be of any size.
     """
-    bodies = spark.read.option("wholetext", str(multiline).lower()).text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("value").alias("body")
-    )
+    text = spark.read.option("wholetext", str(multiline).lower()).text(path)
+    if multiline:
+        text = text.filter(F.col("_metadata.file_size") <= largest)
+    bodies = text.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("body"))
     good, bad = parse_requests(bodies.filter(F.trim("body") != ""), "body", schema=schema)
+    if multiline:
+        listed = spark.read.format("binaryFile").load(path).filter(F.col("length") > largest)
+        reason = F.format_string(f"the file has %d bytes, over {largest}; read it by lines", F.col("length"))
+        bad = bad.unionByName(listed.select(F.col("path").alias("file"), F.lit(None).cast("string").alias("body"), reason.alias("reason")))
     return good.drop("file"), bad
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +60,38 @@ def write_table(
     writer.saveAsTable(table)
 
 
+def swap_table(df: DataFrame, table: str, root: str, rules: list[Rule] | None = None) -> str:
+    """Replace a table's rows as one step: write a folder of its own below ``root``, then point the catalog at it; returns that folder.
+
+    Until the catalog points elsewhere, readers see the old rows, also when the write fails midway. The version before is left in place for
+    readers that have started on it; versions before that one are deleted.
+    """
+    spark: SparkSession = df.sparkSession
+    require(df, SINK_RULES if rules is None else rules)
+    there = spark.catalog.tableExists(table)
+    before = _location(spark, table) if there else None
+    fitted = fit_to_table(df, table) if there else df
+    version = f"{root.rstrip('/')}/version-{uuid.uuid4().hex}"
+    fitted.write.option("compression", "snappy").parquet(version)
+    if there:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.catalog.createTable(table, path=version, source="parquet", schema=fitted.schema)
+    where = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for held in files.listStatus(where):
+        name = held.getPath().getName()
+        if name.startswith("version-") and name not in (version.rpartition("/")[2], (before or "").rpartition("/")[2]):
+            files.delete(held.getPath(), True)
+    return version
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else ""
+
+
 def publish_outcomes(outcomes: DataFrame, path: str, run_id: str) -> None:
     """Rule outcomes of one run; each run owns its folder, so publishing twice changes nothing."""
     outcomes.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
