@@ -39,7 +39,9 @@ from pulseframe.llm.exprs import free_shuffles, partitions
 from pulseframe.llm.keycount import bucket_of
 from pulseframe.session import pin
 
+#: A chunk ends with so many shingles, or documents.
 CHUNK_KEYS = 1 << 18
+CHUNK_DOCS = 1 << 16
 LONG = 64
 LOW48 = np.uint64((1 << 48) - 1)
 PARTS = "bucket int, chunk long, kind int, counts binary, keys binary, ids array<long>, marks array<long>, sets array<binary>"
@@ -59,6 +61,18 @@ def table_of(rows: list[list]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), TYPES, strict=True)], NAMES)
 
 
+def sparse(counts: np.ndarray) -> bytes:
+    """Numbers of the documents of a chunk, without the zeros: a range of shingles has some of few documents."""
+    at = np.flatnonzero(counts)
+    return at.astype(np.uint32).tobytes() + counts[at].astype(np.uint32).tobytes()
+
+
+def dense(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(documents, their numbers) of ``sparse``."""
+    both = np.frombuffer(blob, np.uint32).reshape(2, -1)
+    return both[0], both[1]
+
+
 def send(chunk: int, seq: int, held: list, buckets: int, full: bool) -> pa.RecordBatch:
     """A chunk's shingles by range, in order of document; one more row names its documents."""
     doc = np.concatenate([np.repeat(np.arange(len(b) - 1), np.diff(b)) + k for k, (_, b, *_) in zip(np.cumsum([0, *(len(h[1]) - 1 for h in held)]), held, strict=False)])
@@ -77,7 +91,7 @@ def send(chunk: int, seq: int, held: list, buckets: int, full: bool) -> pa.Recor
             packed = (key & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() + (key >> np.uint64(32)).astype(np.uint16).tobytes()
         else:
             packed = key.tobytes()
-        counts = np.bincount(doc[x:y], minlength=docs).astype(np.uint32).tobytes()
+        counts = sparse(np.bincount(doc[x:y], minlength=docs))
         rows.append([int(b), chunk, 0, counts, packed, None, None, None])
     names = [[x for h in held for x in h[k]] for k in (2, 3, 4)]
     sizes = np.concatenate([np.diff(h[1]) for h in held]).astype(np.uint32).tobytes()
@@ -91,14 +105,14 @@ def sender(buckets: int, full: bool, shingles):
     def run(batches):
         from pyspark import TaskContext
 
-        part, seq, held, n = TaskContext.get().partitionId(), 0, [], 0
+        part, seq, held, n, docs = TaskContext.get().partitionId(), 0, [], 0, 0
         for batch in batches:
             for item in shingles(batch):
                 held.append(item)
-                n += len(item[0])
-                if n >= CHUNK_KEYS:
+                n, docs = n + len(item[0]), docs + len(item[1]) - 1
+                if n >= CHUNK_KEYS or docs >= CHUNK_DOCS:
                     yield send(part << 32 | seq, seq, held, buckets, full)
-                    seq, held, n = seq + 1, [], 0
+                    seq, held, n, docs = seq + 1, [], 0, 0
         if held:
             yield send(part << 32 | seq, seq, held, buckets, full)
 
@@ -151,13 +165,15 @@ def count_lists(full: bool):
             for r, k in zip(parts, keys, strict=True):
                 mine = length[at : at + len(k)]
                 at += len(k)
-                counts = np.frombuffer(r["counts"], np.uint32)
                 if full:
                     out.append([r["bucket"], r["chunk"], 0, r["counts"], k.tobytes() + mine.tobytes(), None, None, None])
                 else:
-                    doc = np.repeat(np.arange(len(counts)), counts)
-                    shared = np.bincount(doc[mine > 1], minlength=len(counts)).astype(np.uint32)
-                    out.append([r["bucket"], r["chunk"], 0, shared.tobytes(), None, None, None, None])
+                    docs, counts = dense(r["counts"])
+                    shared = np.bincount(np.repeat(np.arange(len(docs)), counts)[mine > 1], minlength=len(docs))
+                    some = shared > 0
+                    if some.any():
+                        blob = docs[some].tobytes() + shared[some].astype(np.uint32).tobytes()
+                        out.append([r["bucket"], r["chunk"], 0, blob, None, None, None, None])
         trim()
         batch = table_of(out) if out else pa.RecordBatch.from_arrays([pa.array([], t) for t in TYPES], NAMES)
         return pa.Table.from_batches([batch])
@@ -172,7 +188,8 @@ def per_document(rows: pa.Table) -> pa.Table:
     shared = np.zeros(len(head["sets"]), np.int64)
     for r in rows:
         if r["kind"] == 0:
-            shared += np.frombuffer(r["counts"], np.uint32)
+            docs, counts = dense(r["counts"])
+            shared[docs] += counts
     return pa.table({
         "doc_id": pa.array(head["ids"], pa.int64()), "mark": pa.array(head["marks"], pa.int64()),
         "set_id": pa.array(head["sets"], pa.binary()), "n": np.frombuffer(head["counts"], np.uint32).astype(np.int64), "shared": shared,
@@ -188,9 +205,9 @@ def short_lists(percent: int):
         doc, key, length = [], [], []
         for r in rows:
             if r["kind"] == 0:
-                counts = np.frombuffer(r["counts"], np.uint32)
+                docs, counts = dense(r["counts"])
                 n = int(counts.sum())
-                doc.append(np.repeat(np.arange(len(counts)), counts))
+                doc.append(np.repeat(docs.astype(np.int64), counts))
                 key.append(np.frombuffer(r["keys"], np.uint64, n))
                 length.append(np.frombuffer(r["keys"], np.uint32, n, 8 * n))
         out = {"set_id": [], "n": [], "own": [], "common": [], "shingle": [], "long": [], "pos": []}
