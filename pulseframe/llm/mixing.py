@@ -179,7 +179,8 @@ def plan_mix(
 
     kept = {"mix_key": new["key"], "mix_block": F.pmod(F.xxhash64(F.col(f"`{doc_id}`"), F.xxhash64(F.col(f"`{text}`")), F.lit(seed)), F.lit(max(1, total // block_docs))), "mix_size": new["size"]}
     rows = add_columns(docs, kept)
-    inside = Window.partitionBy("mix_key", "mix_block").orderBy(F.xxhash64(F.col(f"`{doc_id}`"), F.lit(seed + 1)), F.col(f"`{doc_id}`"))
+    inside = Window.partitionBy("mix_key", "mix_block").orderBy(
+        F.xxhash64(F.col(f"`{doc_id}`"), F.lit(seed + 1)), F.col(f"`{doc_id}`"), F.xxhash64(F.col(f"`{text}`")))
     rows = rows.withColumn("mix_before", F.coalesce(F.sum("mix_size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     rows = rows.join(drawn.withColumnsRenamed({"key": "mix_key", "block": "mix_block"}), ["mix_key", "mix_block"], "left")
     rows = rows.join(per.select(F.col("key").alias("mix_key"), F.col("source_size").alias("mix_source"), F.col("target").alias("mix_target")), "mix_key")
@@ -204,5 +205,5 @@ def mixed_rows(planned: DataFrame, text: str = "text", doc_id: str = "doc_id", s
     """One row per draw of a whole document, with ``shard`` and ``place``, the sort key inside the shard."""
     names = [c for c in planned.columns if c not in ("size", "source_size", "target", "draws")]
     rows = planned.select(*names, F.explode(whole_draws()).alias("draw"))
-    place = F.xxhash64(F.lit(seed), "draw.copy", F.col(f"`{doc_id}`"))
+    place = F.xxhash64(F.lit(seed), "draw.copy", F.col(f"`{doc_id}`"), F.col(f"`{text}`"))
     return rows.select(*[F.col(f"`{c}`") for c in names], F.col("draw.shard").alias("shard"), place.alias("place"))
