@@ -1,14 +1,16 @@
-"""Words of Arrow string columns as numpy arrays: spans and 64-bit hashes, without a Python object per word.
+"""Words and byte spans of Arrow string columns as numpy arrays with 64-bit hashes, without a Python object per word.
 
-The hash of bytes ``b[i:j]`` is a polynomial over a random value per byte, modulo 2**64, brought to position 0 and mixed. It
-comes from one running sum over all bytes, so the hash of any span costs a few numpy operations. Two different spans
-share a hash with a chance of about 2**-64.
+A word's hash takes its bytes in steps of eight, each step mixed into the last one's state; no sum of powers is in it that two
+different words could share for a reason other than chance (about 2**-64). Spans that overlap, as ``substrings`` needs them, are
+hashed from running sums over all bytes: two polynomials modulo the prime 2**31 - 1 with bases and byte values of their own, mixed
+with the length. Modulo a power of two, words made of a word and its complement would meet for certain.
 """
 
 from __future__ import annotations
 
 import contextlib
 import ctypes
+import hashlib
 import sys
 import types
 from collections.abc import Iterator
@@ -38,30 +40,40 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse, at least ``n`` of each."""
+PRIME = (1 << 31) - 1
+#: Of the two polynomials.
+BASES = (0x2F0B4C47, 0x5A1E3D29)
+
+
+def powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each polynomial, powers of its base and of the base's inverse, at least ``n`` of each."""
     held = process_cache("powers")
-    if len(held.get("up", ())) < n:
+    if len(held.get("up", ((),))[0]) < n:
         size = max(n, (1 << 19) + (1 << 16))
-        for name, b in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
-            row = np.full(size, b, dtype=np.uint64)
-            row[0] = 1
-            held[name] = np.cumprod(row, dtype=np.uint64)
-    return held["up"], held["down"]
+        for name, sign in (("up", 1), ("down", -1)):
+            held[name] = [geometric(pow(b, sign, PRIME), size) for b in BASES]
+    return list(zip(held["up"], held["down"], strict=True))
+
 
+def geometric(base: int, n: int) -> np.ndarray:
+    out = np.ones(1, np.uint64)
+    while len(out) < n:
+        out = np.concatenate([out, out * np.uint64(pow(base, len(out), PRIME)) % np.uint64(PRIME)])
+    return out[:n].astype(np.uint32)
 
-def byte_values(lower: bool, accents: bool = False) -> np.ndarray:
-    """A fixed random value per byte; with ``lower`` A-Z have those of a-z.
+
+def folded(data: np.ndarray, lower: bool, accents: bool = False) -> np.ndarray:
+    """Bytes with A-Z as a-z where ``lower`` is set.
 
     ``accents`` also gives the second bytes of Latin capitals with accents those of their small letters (other scripts' letters
     32 apart meet too), so it is for searches that are verified or need no exact spelling.
     """
-    values = np.random.default_rng(20240229).integers(1, MASK, 256, dtype=np.uint64)
+    as_is = np.arange(256, dtype=np.uint8)
     if lower:
-        values[65:91] = values[97:123]
+        as_is[65:91] = as_is[97:123]
     if accents:
-        values[0x80:0x9F] = values[0xA0:0xBF]
-    return values
+        as_is[0x80:0x9F] = as_is[0xA0:0xBF]
+    return as_is[data] if lower or accents else data
 
 
 def trim() -> None:
@@ -127,16 +139,65 @@ def word_spans(t: Texts, spaces: tuple[int, ...] = SPACES) -> Spans:
     return Spans(start, end, np.searchsorted(t.bounds, start, side="right") - 1)
 
 
-def running(data: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """The running sum that ``span_hash`` reads."""
-    out = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(values[data] * powers(len(data) + 1)[0][: len(data)], out=out[1:])
+#: Steps of eight bytes that are taken for all words together; what a word has beyond them is hashed by itself.
+STEPS = 8
+
+
+def word_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each span of ``data``; its length counts too."""
+    eight = eights(data)
+    left = end - start
+    h = mix(left.astype(np.uint64) * np.uint64(BASE))
+    live, at = np.flatnonzero(left > 0), start[left > 0]
+    left = left[left > 0]
+    for _ in range(STEPS):
+        if not len(live):
+            return h
+        h[live] = mix(h[live] ^ (eight[at] & KEEP[np.minimum(left, 8)]))
+        more = left > 8
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+    for i, a, n in zip(live.tolist(), at.tolist(), left.tolist(), strict=True):
+        rest = int.from_bytes(hashlib.blake2b(data[a : a + n].tobytes(), digest_size=8).digest(), "little")
+        h[i : i + 1] = mix(h[i : i + 1] ^ np.uint64(rest))
+    return h
+
+
+#: Masks that keep the first so many bytes of eight.
+KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def eights(data: np.ndarray) -> np.ndarray:
+    """At each place the eight bytes from there on, zeros beyond the end."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", padded.data, strides=(1,))
+
+
+def running(data: np.ndarray) -> np.ndarray:
+    """The running sums that ``span_hash`` reads, a row for each polynomial."""
+    out = np.zeros((2, len(data) + 1), np.uint32)
+    values = np.random.default_rng(20240229).integers(1, PRIME, (2, 256), dtype=np.uint64)
+    for k, (up, _) in enumerate(powers(len(data) + 1)):
+        terms = values[k][data]
+        terms *= up[: len(data)]
+        terms %= np.uint64(PRIME)
+        np.cumsum(terms, out=terms)
+        terms %= np.uint64(PRIME)
+        out[k, 1:] = terms
     return out
 
 
 def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A hash of each span; its length counts too."""
-    h = (sums[end] - sums[start]) * powers(len(sums))[1][start]
+    both = []
+    for row, (_, down) in zip(sums, powers(sums.shape[1]), strict=True):
+        x = row[end].astype(np.uint64)
+        x += np.uint64(PRIME)
+        x -= row[start]
+        x %= np.uint64(PRIME)
+        x *= down[start]
+        x %= np.uint64(PRIME)
+        both.append(x)
+    h = both[0] | both[1] << np.uint64(31)
     return mix(h + (end - start).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
 
 
@@ -162,7 +223,7 @@ def shingle_sets(t: Texts, size: int, lower: bool = True) -> Shingles:
     """Each row's set of ``size``-word shingles; a row with fewer words has one of all its words, one without words none."""
     rows = len(t.bounds) - 1
     spans = word_spans(t)
-    words = span_hash(running(t.data, byte_values(lower)), spans.start, spans.end)
+    words = word_hash(folded(t.data, lower), spans.start, spans.end)
     first = spans.first_of_rows(rows)
     count = np.diff(first)
     h = shingle_hash(words, size)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.llm.bytewords import Texts, byte_values, running, runs, shingle_hash, span_hash, word_spans
+from pulseframe.llm.bytewords import Texts, folded, runs, shingle_hash, word_hash, word_spans
 
 PUNCTUATION = tuple(i for i in range(128) if not chr(i).isalnum())
 SENTENCE_END = r"(?s)^(.*[.!?\n])[\x20\x09-\x0D]*([^\x20\x09-\x0D].*?)$"
@@ -62,7 +62,7 @@ class Index(NamedTuple):
 
 def hashed_words(t: Texts):
     spans = word_spans(t, PUNCTUATION)
-    return span_hash(running(t.data, byte_values(True, accents=True)), spans.start, spans.end), spans
+    return word_hash(folded(t.data, True, accents=True), spans.start, spans.end), spans
 
 
 def shingles(words: np.ndarray) -> tuple[int, np.ndarray]:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.llm.anchors import GRAM, segments
-from pulseframe.llm.bytewords import byte_values, mix, running, runs, span_hash
+from pulseframe.llm.bytewords import mix, running, runs, span_hash
 from pulseframe.llm.keycount import repeats, with_repeats
 from pulseframe.llm.exprs import free_shuffles
 from pulseframe.session import pin
@@ -64,11 +64,11 @@ def first_round(size: int):
     """Documents to chunks of segments, keyed by the anchor's gram and by all that the segment's strings cover."""
 
     def run(batches):
-        values, seq, held, n = byte_values(False), 0, [], 0
+        seq, held, n = 0, [], 0
         for batch in batches:
             ids, marks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for t in runs(batch.column(2)):
-                sums = running(t.data, values)
+                sums = running(t.data)
                 s = segments(t, sums, size)
                 if not len(s.row):
                     continue
@@ -144,7 +144,7 @@ def node_keys(text: np.ndarray, at: np.ndarray, anchor, d0, d1, a, b, size: int)
 
     ``at`` is where each context begins in ``text``; ``anchor`` counts from there.
     """
-    sums = running(text, byte_values(False))
+    sums = running(text)
     m = at + anchor
     shared = salted(span_hash(sums, m - d0, m - d1 + size), d0, d1)
     cover = salted(span_hash(sums, m - b, m - a + size), a, b, d1)

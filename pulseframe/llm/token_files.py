@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe.llm import rans
-from pulseframe.llm.bytewords import Texts, byte_values, process_cache, running, runs, span_hash
+from pulseframe.llm.bytewords import KEEP, Texts, eights, process_cache, runs, word_hash
 from pulseframe.llm.exprs import partitions
 
 CHUNKS = "part int, seq int, local_first long, n_tokens long, doc_ids array<long>, lengths array<int>, tokens binary"
@@ -47,8 +47,8 @@ class TextEncoder:
 
     A byte-level pre-tokenizer always cuts before a blank that stands between two characters that are not white space. So
     the ids of a text are those of its pieces ``" word"`` in order, where no piece has white space at its ends. Each
-    distinct piece goes through the library once while it stays in the cache, which knows it by hash; texts with other
-    white space go through it whole.
+    distinct piece goes through the library once while it stays in the cache, which knows it by its bytes. Texts with other
+    white space, or with the text of one of the tokenizer's added tokens in them, go through it whole.
     """
 
     def __init__(self, path: str, cached: int):
@@ -56,7 +56,7 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.by_piece = str(self.tokenizer.pre_tokenizer).startswith("ByteLevel(") and self.tokenizer.normalizer is None
         self.cached, self.known, self.old = cached, process_cache(f"new pieces {path}"), process_cache(f"old pieces {path}")
         self.line_feed = self.tokenizer.token_to_id("\u010a")
@@ -65,18 +65,19 @@ class TextEncoder:
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.batch(texts, add_special_tokens=False)]
 
-    def learn(self, keys: list[int], pieces: list[str]) -> None:
+    def learn(self, pieces: list[bytes]) -> None:
         """Encode pieces. A piece with white space at an end, or none, has no ids of its own.
 
         Pieces without a line feed go through the library in runs with line feeds between them: a line feed is then a
         token of its own and marks where a piece ends.
         """
         plain, other = [], []
-        for k, p in zip(keys, pieces, strict=True):
+        for raw in pieces:
+            p = raw.decode("utf-8", "replace")
             if not p.strip() or p[-1].isspace() or p[p[0] == " "].isspace():
-                self.known[k] = None
+                self.known[raw] = None
             else:
-                (other if "\n" in p else plain).append((k, p))
+                (other if "\n" in p or any(x in raw for x in self.added) else plain).append((raw, p))
         for at in range(0, len(plain), 20_000):
             part = plain[at : at + 20_000]
             ids = np.array(self.batch(["\n".join(p for _, p in part)], add_special_tokens=False)[0].ids, dtype="<u4")
@@ -84,26 +85,35 @@ class TextEncoder:
             if self.line_feed is None or len(cuts) != len(part) - 1:
                 other += part
                 continue
-            raw, starts = ids.tobytes(), [0, *((cuts + 1) * 4).tolist()]
-            self.known.update((k, raw[a:b]) for (k, _), a, b in zip(part, starts, [*(cuts * 4).tolist(), len(raw)], strict=True))
+            found, starts = ids.tobytes(), [0, *((cuts + 1) * 4).tolist()]
+            self.known.update((k, found[a:b]) for (k, _), a, b in zip(part, starts, [*(cuts * 4).tolist(), len(found)], strict=True))
         self.known.update(zip((k for k, _ in other), self.whole([p for _, p in other]), strict=True))
 
-    def look_up(self, keys: list[int], piece) -> list[bytes | None]:
-        """Ids of pieces by key; ``piece`` gives the text of the ones at given places. Of the cache's two generations the
-        older goes when the newer is full."""
+    def look_up(self, pieces: list[bytes]) -> list[bytes | None]:
+        """Ids of pieces. Of the cache's two generations the older goes when the newer is full."""
         if len(self.known) > self.cached // 2:
             self.old.clear()
             self.old.update(self.known)
             self.known.clear()
-        missing = [i for i, k in enumerate(keys) if k not in self.known]
         new = []
-        for i in missing:
-            if keys[i] in self.old:
-                self.known[keys[i]] = self.old[keys[i]]
-            else:
-                new.append(i)
-        self.learn([keys[i] for i in new], piece(new))
-        return list(map(self.known.__getitem__, keys))
+        for p in pieces:
+            if p not in self.known:
+                if p in self.old:
+                    self.known[p] = self.old[p]
+                else:
+                    new.append(p)
+        self.learn(new)
+        return list(map(self.known.__getitem__, pieces))
+
+    def with_added(self, data: bytes, bounds: np.ndarray) -> np.ndarray:
+        """Rows that hold the text of an added token."""
+        found = []
+        for x in self.added:
+            at = data.find(x)
+            while at >= 0:
+                found.append(at)
+                at = data.find(x, at + 1)
+        return np.unique(np.searchsorted(bounds, np.array(found, np.int64), side="right") - 1)
 
     def encode(self, t: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows, one after another, and how many each row has."""
@@ -115,15 +125,13 @@ class TextEncoder:
             return self.joined(self.whole([t.text(i).decode("utf-8", "replace") for i in range(rows)]))
         end = np.append(start[1:], n)
         row = np.searchsorted(t.bounds, start, side="right") - 1
-        key = span_hash(running(t.data, byte_values(False)), start, end)
-        distinct, at, back = np.unique(key, return_index=True, return_inverse=True)
         data = t.data.tobytes()
-
-        def piece(places: list[int]) -> list[str]:
-            at_ = at[places]
-            return [data[a:b].decode("utf-8", "replace") for a, b in zip(start[at_].tolist(), end[at_].tolist(), strict=True)]
-
-        found = self.look_up(distinct.tolist(), piece)
+        _, at, back = np.unique(word_hash(t.data, start, end), return_index=True, return_inverse=True)
+        # Spans under one hash are one piece: held against its length, first and last bytes.
+        eight, size = eights(t.data), end - start
+        if any((x != x[at][back]).any() for x in (size, eight[start] & KEEP[np.minimum(size, 8)], eight[np.maximum(start, end - 8)] & KEEP[np.minimum(size, 8)])):
+            return self.joined(self.whole([t.text(i).decode("utf-8", "replace") for i in range(rows)]))
+        found = self.look_up([data[a:b] for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)])
         odd = np.array([x is None for x in found])
         pool = np.frombuffer(b"".join(x or b"" for x in found), "<u4")
         size = np.array([len(x or b"") // 4 for x in found], dtype=np.int64)
@@ -132,7 +140,7 @@ class TextEncoder:
         ends = np.cumsum(lengths)
         ids = pool[np.repeat(begin[back] - (ends - lengths), lengths) + np.arange(ends[-1])]
         per_row = np.bincount(row, weights=lengths, minlength=rows).astype(np.int64)
-        whole = np.unique(row[odd[back]])
+        whole = np.union1d(row[odd[back]], self.with_added(data, t.bounds))
         if not len(whole):
             return ids, per_row
         stops = np.cumsum(per_row)
@@ -156,7 +164,7 @@ def encoder(path: str, end_id: int, layout: Layout):
         doc_ids, lengths, parts, n = [], [], [], 0
 
         def flush() -> pa.RecordBatch:
-            row = [[part], [seq], [first], [n], [np.concatenate(doc_ids)], [np.concatenate(lengths)], [b"".join(parts)]]
+            row = [[part], [seq], [first], [n], [doc_ids], [np.concatenate(lengths)], [b"".join(parts)]]
             types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
             names = ["part", "seq", "local_first", "n_tokens", "doc_ids", "lengths", "tokens"]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, types, strict=True)], names)
@@ -167,7 +175,7 @@ def encoder(path: str, end_id: int, layout: Layout):
                 with_end = sizes + 1
                 out = np.full(len(ids) + len(sizes), end_id, dtype=width)
                 out[np.arange(len(ids)) + np.repeat(np.arange(len(sizes)), sizes)] = ids
-                doc_ids.append(batch.column(0).slice(t.first, len(sizes)).to_pandas().to_numpy(object))
+                doc_ids += batch.column(0).slice(t.first, len(sizes)).to_pylist()
                 lengths.append(with_end)
                 parts.append(out.tobytes())
                 n += len(out)
@@ -245,7 +253,10 @@ def write_token_files(
     """Write ``docs`` below ``path`` (a folder all executors reach); returns the list of files."""
     spark = docs.sparkSession
     dealt = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    dealt = dealt.repartitionByRange(partitions(spark), "id").sortWithinPartitions("id", F.xxhash64("text"))
+    # An id that very many rows share is dealt by text, equal rows, which may stand for each other, by where they come from.
+    mark, copy = F.xxhash64("text"), F.monotonically_increasing_id()
+    dealt = dealt.withColumn("mark", mark).withColumn("copy", copy).repartitionByRange(partitions(spark), "id", "mark", "copy")
+    dealt = dealt.sortWithinPartitions("id", "mark").select("id", "text")
     dealt.mapInArrow(encoder(tokenizer, end_id, layout), CHUNKS).write.parquet(f"{path}/encoded")
     rows = spark.read.parquet(f"{path}/encoded")
     from tokenizers import Tokenizer

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.llm.bytewords import byte_values, running, runs, span_hash, word_spans
+from pulseframe.llm.bytewords import folded, runs, word_hash, word_spans
 from pulseframe.session import pin
 
 PUNCTUATION = tuple(i for i in range(128) if not chr(i).isalnum())
@@ -63,13 +63,12 @@ class Words(NamedTuple):
 
 
 def words_of(column: pa.Array, bits: int, prefix_bytes: int):
-    values = byte_values(True, accents=True)
     for t in runs(column):
         spans = word_spans(t, PUNCTUATION)
-        sums = running(t.data, values)
+        data = folded(t.data, True, accents=True)
         mask = np.uint64((1 << bits) - 1)
-        word = span_hash(sums, spans.start, spans.end) & mask
-        prefix = span_hash(sums, spans.start, np.minimum(spans.start + prefix_bytes, spans.end)) >> np.uint64(20) & mask
+        word = word_hash(data, spans.start, spans.end) & mask
+        prefix = word_hash(data, spans.start, np.minimum(spans.start + prefix_bytes, spans.end)) >> np.uint64(20) & mask
         yield t, Words(word.astype(np.int64), prefix.astype(np.int64), spans.first_of_rows(len(t.bounds) - 1))
 
 

@@ -36,7 +36,6 @@ def test_token_files_hold_the_library_s_ids(spark):
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(tokenizer_file())
-    whole.encode_special_tokens = True
     df = spark.createDataFrame([(7 * k % 11, t, "x") for k, t in enumerate(ODD)], "doc_id long, text string, start string").repartition(3)
     path = scratch(spark, "test-tokens")
     token_files.write_token_files(df, path, tokenizer_file(), layout=token_files.Layout(64, 32, 16, 4, 8))
