@@ -20,24 +20,34 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_quality.drop_rejected(docs)
 
 
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key of each row: a hash of id and text, so that ids that are null or come again tell rows apart."""
+    key = free_name(docs, "row_key")
+    return docs.withColumn(key, F.xxhash64("doc_id", F.xxhash64("text"))), key
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near duplicates: of each group of linked documents the one with the least id stays.
+    """Near duplicates: of each group of linked documents the one with the least id stays, a null id last, ties by text.
 
-    Rows that are equal in id and text stay once, rows with one id and different texts stay both. Documents without an id go
-    where a linked one has an id; else they stay once per text.
+    Rows that are equal in id and text count as one. Documents without words are linked with nothing and stay. An empty table
+    gives none.
     """
-    groups = jaccard_join.jaccard_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = groups.select(F.col("doc_id").alias("keep_")).distinct()
-    mark = free_name(docs, "mark_")
-    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("keep_"))).withColumn(mark, F.xxhash64("text"))
-    return kept.dropDuplicates(["doc_id", mark]).select(*docs.columns)
+    rows, key = keyed(docs)
+    groups = jaccard_join.jaccard_components(rows, doc_id=key).select(F.col("doc_id").alias("key_"), F.col("component_id").alias("group_"))
+    named = rows.select(F.col(key).alias("key_"), F.col("doc_id").alias("id_")).distinct().join(groups.distinct(), "key_")
+    first = named.groupBy("group_").agg(F.min(F.struct(F.col("id_").isNull().alias("none"), "id_", "key_")).alias("first"))
+    kept = rows.join(first.select(F.col("first.key_").alias("key_")), F.col(key) == F.col("key_"), "left_semi")
+    return kept.dropDuplicates([key]).select(*docs.columns)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Benchmark decontamination: documents that hold an item go."""
-    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("leak_"))
-    return docs.join(found.withColumnRenamed("doc_id", "leak_"), same, "left_anti")
+    """Benchmark decontamination: documents that hold an item go, other rows of the same id or without one stay.
+
+    Repeated rows go together; null texts hold nothing; an empty table gives none.
+    """
+    rows, key = keyed(docs)
+    found = decontaminate.leaks(rows, table(spark, sf_dir, "benchmark"), doc_id=key).select(F.col("doc_id").alias("leak_")).distinct()
+    return rows.join(found, F.col(key) == F.col("leak_"), "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
