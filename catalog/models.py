@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -11,10 +13,10 @@ from pyspark.sql import functions as F
 from catalog import sqltext as S
 from catalog.files import MALFORMED_PARTS, bronze_csv, bronze_schema, malformed_csv, odd_bodies, parts_of
 from catalog.fixture import bronze_from, clinical, patients, table, with_patients
-from catalog.population import COHORT_SHORT
+from catalog.population import COHORT_SHORT, box_sql, welch_sql
 from catalog.registry import query
 from catalog.repair import typed_bronze
-from pulseframe.functions.names import ref
+from pulseframe.functions.names import flag_name, ref
 from pulseframe.operators import cohorts as C
 from pulseframe.operators import encode as E
 from pulseframe.operators import kmeans as K
@@ -462,6 +464,72 @@ def g4_tiles(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(counts, "tile string, n long")
 
 
+# Key columns of the tiles that rest on the silver table alone; the other columns are their figures.
+TILE_KEYS = {
+    "headline": [], "imputation_audit": ["flag"], "correlation": ["a", "b"], "level_by_band": ["age_band", LEVEL],
+    "bp_categories": ["Blood Pressure Category"], "hypertension": [], "factor_distribution": ["factors"], "factor_prevalence": ["factor"],
+    "smoking_box": ["Smoking Status"], "smoking_welch": [],
+}
+HYPERTENSIVE = "\"Blood Pressure Category\" IN ('Hypertension Stage 1', 'Hypertension Stage 2')"
+FACTOR_TESTS = {
+    "smoking": "\"Smoking Status\" = 'Y'", "diabetes": "\"Diabetes Status\" = 'Y'", "family_history": "\"Family History of CVD\" = 'Y'",
+    "hypertension": HYPERTENSIVE,
+}
+SCORE_SQL, SMOKING_SQL = S.q(SCORE), S.q("Smoking Status")
+
+
+def share_sql(test: str) -> str:
+    return f"avg(CASE WHEN {test} THEN 1 ELSE 0 END) * 100"
+
+
+# SQL of each tile over ``silver``, and its figures.
+TILE_SQL = {
+    "headline": (f"SELECT count(*) AS records, avg({SCORE_SQL}) AS mean_score, {share_sql(S.q(LEVEL) + " = 'HIGH'")} AS high_pct FROM silver",
+                 ["records", "mean_score", "high_pct"]),
+    "imputation_audit": (" UNION ALL ".join(
+        f"SELECT '{flag_name(c)}' AS flag, round_even({share_sql(flag_name(c))}, 2) AS rate_pct FROM silver" for c in IMPUTED), ["rate_pct"]),
+    "correlation": (" UNION ALL ".join(
+        f"SELECT '{a}' AS a, '{b}' AS b, corr({S.q(a)}, {S.q(b)}) AS r FROM silver" for a in [*NUMERIC_FEATURES, SCORE] for b in [*NUMERIC_FEATURES, SCORE]), ["r"]),
+    "level_by_band": (
+        f"SELECT age_band, {S.q(LEVEL)}, count(*) AS n, sum(count(*)) OVER (PARTITION BY age_band) AS band_n, CAST(count(*) AS DOUBLE)"
+        f" / sum(count(*)) OVER (PARTITION BY age_band) * 100 AS share_pct, sum(count(*)) OVER (PARTITION BY age_band) < 100 AS small_band"
+        f" FROM silver GROUP BY age_band, {S.q(LEVEL)}", ["n", "band_n", "share_pct", "small_band"]),
+    "bp_categories": ("SELECT \"Blood Pressure Category\", count(*) AS n, CAST(count(*) AS DOUBLE) / sum(count(*)) OVER () * 100 AS share_pct"
+                      " FROM silver GROUP BY 1", ["n", "share_pct"]),
+    "hypertension": (f"SELECT count(*) AS records, count(*) FILTER ({HYPERTENSIVE}) AS hypertensive, {share_sql(HYPERTENSIVE)} AS prevalence_pct FROM silver",
+                     ["records", "hypertensive", "prevalence_pct"]),
+    "factor_distribution": (f"SELECT {' + '.join(f'CASE WHEN {t} THEN 1 ELSE 0 END' for t in FACTOR_TESTS.values())} AS factors, count(*) AS n"
+                            " FROM silver GROUP BY 1", ["n"]),
+    "factor_prevalence": (" UNION ALL ".join(
+        f"SELECT '{name}' AS factor, {share_sql(test)} AS prevalence_pct FROM silver" for name, test in FACTOR_TESTS.items()), ["prevalence_pct"]),
+    "smoking_box": (box_sql("silver", SMOKING_SQL, SCORE_SQL), ["n", "q1", "median", "q3", "whisker_low", "whisker_high", "outliers"]),
+    "smoking_welch": (welch_sql("silver", SMOKING_SQL, SCORE_SQL, "Y", "N"), ["n0", "mean0", "var0", "n1", "mean1", "var1", "t", "df"]),
+}
+
+
+def melted_sql(tile: str) -> str:
+    body, figures = TILE_SQL[tile]
+    item = f"concat_ws('|', {', '.join(f'CAST({S.q(k)} AS VARCHAR)' for k in TILE_KEYS[tile])})" if TILE_KEYS[tile] else "''"
+    return " UNION ALL ".join(
+        f"SELECT '{tile}' AS tile, {item} AS item, '{f}' AS figure, round(CAST({S.q(f)} AS DOUBLE), 6) AS value FROM ({body})" for f in figures)
+
+
+@query("g4_tile_values", S.bronze_filled(
+    f", silver AS (SELECT * FROM filled WHERE {S.SILVER_PASS}) {' UNION ALL '.join(map(melted_sql, TILE_KEYS))}"))
+def g4_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Every figure of the tiles that rest on the silver table, as they read back from the written report."""
+    typed = apply_mapping(bronze_from(table(spark, sf, "orders")), raw_mapping(keep=["k"]))
+    silver = route(row_outcomes(repair(typed, exact=True), SILVER_RULES))["silver"].persist()
+    out, parts = scratch(spark, "report"), []
+    for tile in write_report(silver, out):
+        df = spark.read.parquet(f"{out}/{tile}")
+        figures = [c for c in df.columns if c in TILE_SQL[tile][1]]
+        each = F.array(*[F.struct(F.lit(c).alias("figure"), F.round(ref(c).cast("double"), 6).alias("value")) for c in figures])
+        parts.append(df.select(F.lit(tile).alias("tile"), F.concat_ws("|", *[ref(k).cast("string") for k in TILE_KEYS[tile]]).alias("item"), F.inline(each)))
+    silver.unpersist()
+    return reduce(DataFrame.unionByName, parts)
+
+
 # ---- streams -----------------------------------------------------------------------------------------------------
 
 def streamed(spark: SparkSession, sf: str) -> str:
