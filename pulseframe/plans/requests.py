@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from pulseframe.functions.names import ref
 from pulseframe.operators.cohorts import CLUSTER, Cohorts
@@ -31,10 +30,3 @@ def what_if(rows: DataFrame, model: RiskModel, cohorts: Cohorts) -> DataFrame:
     """Level, score and cohort of each row, next to its own columns."""
     names = [*rows.columns, LEVEL_OUT, SCORE_OUT, CLUSTER, "cohort"]
     return cohorts.assign(model.score(rows)).select(*map(ref, names))
-
-
-def good_and_bad(results: DataFrame, aside: DataFrame) -> DataFrame:
-    """Counts of both outputs: (part, n)."""
-    return results.agg(F.lit("good").alias("part"), F.count(F.lit(1)).alias("n")).unionByName(
-        aside.agg(F.lit("bad").alias("part"), F.count(F.lit(1)).alias("n"))
-    )
