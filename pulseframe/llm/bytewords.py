@@ -30,6 +30,21 @@ def process_cache(name: str) -> dict:
     return holder.__dict__.setdefault(name, {})
 
 
+def begin(work: str) -> None:
+    """Called where a task starts: a worker that goes over to other work gives up what it has kept for the last one.
+
+    Workers live as long as their executor; a cache of pieces would otherwise stay in memory through all later operators.
+    """
+    holder = process_cache("work")
+    if holder.get("now") != work:
+        caches = sys.modules["_pulseframe_process_cache"].__dict__
+        for name, held in list(caches.items()):
+            if isinstance(held, dict) and name != "work":
+                held.clear()
+        holder["now"] = work
+        trim()
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """The finishing steps of the 64-bit Murmur hash."""
     h = h ^ (h >> np.uint64(33))

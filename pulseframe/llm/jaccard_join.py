@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.llm.bytewords import mix, runs, shingle_sets, trim
+from pulseframe.llm.bytewords import begin, mix, runs, shingle_sets, trim
 from pulseframe.llm.components import components
 from pulseframe.llm.exprs import free_shuffles, partitions
 from pulseframe.llm.keycount import bucket_of
@@ -105,6 +105,7 @@ def sender(buckets: int, full: bool, shingles):
     def run(batches):
         from pyspark import TaskContext
 
+        begin("jaccard join")
         part, seq, held, n, docs = TaskContext.get().partitionId(), 0, [], 0, 0
         for batch in batches:
             for item in shingles(batch):
@@ -141,6 +142,7 @@ def count_lists(full: bool):
     """A range of shingles: per chunk, how many of each document's occur twice or more (or all of them, with their counts)."""
 
     def run(rows: pa.Table) -> pa.Table:
+        begin("jaccard join")
         rows = rows.sort_by([("chunk", "ascending"), ("kind", "ascending")]).to_pylist()
         parts = [r for r in rows if r["kind"] == 0]
         out = [[r["bucket"], r["chunk"], 1, r["counts"], None, r["ids"], r["marks"], r["sets"]] for r in rows if r["kind"] == 1]
@@ -200,6 +202,7 @@ def short_lists(percent: int):
     """A chunk's sets with the shingles of their short lists."""
 
     def run(rows: pa.Table) -> pa.Table:
+        begin("jaccard join")
         rows = rows.sort_by("bucket").to_pylist()
         sets = next(r for r in rows if r["kind"] == 1)["sets"]
         doc, key, length = [], [], []
@@ -244,6 +247,7 @@ def own_sets(size: int):
     """The set of each text that is the one asked for."""
 
     def run(batches):
+        begin("jaccard join")
         for batch in batches:
             asked = batch.column(0).to_pylist()
             for t in runs(batch.column(1)):
@@ -260,6 +264,7 @@ def probe(percent: int):
     """Pairs of sets that link: the long lists are probed in the other's sorted set."""
 
     def run(batches):
+        begin("jaccard join")
         for batch in batches:
             trim()
             keep = []

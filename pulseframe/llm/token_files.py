@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe.llm import rans
-from pulseframe.llm.bytewords import KEEP, Texts, eights, process_cache, runs, word_hash
+from pulseframe.llm.bytewords import KEEP, Texts, begin, eights, process_cache, runs, word_hash
 from pulseframe.llm.exprs import partitions
 
 CHUNKS = "part int, seq int, local_first long, n_tokens long, doc_ids array<long>, lengths array<int>, tokens binary"
@@ -158,6 +158,7 @@ def encoder(path: str, end_id: int, layout: Layout):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        begin("token files")
         part, seq, first = TaskContext.get().partitionId(), 0, 0
         encode = TextEncoder(path, layout.cached_pieces)
         width = np.dtype("<u2" if encode.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
