@@ -82,7 +82,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op5_line_runs", line_runs.ORACLE_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_runs.delete_repeats(table(spark, sf_dir, "documents"))
+    kept = line_runs.delete_repeats(table(spark, sf_dir, "documents"), lines=1, words=line_runs.WORDS)
     return kept.select(
         "doc_id", "n_lines", "n_removed", "n_runs", F.char_length("kept").cast("long").alias("kept_chars"),
         F.sha2("kept", 256).alias("kept_sha256"),

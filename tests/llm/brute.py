@@ -72,3 +72,24 @@ def delete_lines(rows, lines):
                 gone |= set(worded[p : p + lines])
         out.append((d, "\n".join(x for k, x in enumerate(all_lines) if k not in gone), len(worded), len(gone)))
     return out
+
+
+def delete_repeated_runs(rows, lines, least):
+    """(id, kept, lines with a word, lines deleted): every run of lines is looked up among all earlier ones."""
+    seqs = [[x for x in (t or "").split("\n") if WORD.search(x)] for _, t in rows]
+    first, later = {}, [set() for _ in rows]
+    for d, seq in enumerate(seqs):
+        for a in range(len(seq)):
+            for b in range(a + lines, len(seq) + 1):
+                run = tuple(seq[a:b])
+                if sum(len(WORD.findall(x)) for x in run) >= least and first.setdefault(run, (d, a)) != (d, a):
+                    later[d].update(range(a, b))
+    out = []
+    for (d, t), gone in zip(rows, later, strict=True):
+        kept, at = [], -1
+        for x in (t or "").split("\n"):
+            at += bool(WORD.search(x))
+            if not WORD.search(x) or at not in gone:
+                kept.append(x)
+        out.append((d, "\n".join(kept), at + 1, len(gone)))
+    return out

@@ -104,6 +104,27 @@ def test_a_repeated_row_is_a_later_copy_as_a_whole(spark):
     assert sorted((r["kept"], r["n_removed"]) for r in got) == [("", 3), ("a\nb\nc", 0), ("z", 0)]
 
 
+@pytest.mark.parametrize(("lines", "least"), [(1, 1), (1, 4), (1, 9), (1, 30), (3, 6)])
+def test_line_runs_by_words(spark, lines, least):
+    rng = random.Random(17)
+    line = [" ".join(rng.choice("abcdefgh") for _ in range(rng.choice([1, 2, 3, 12]))) for _ in range(60)]
+    passage = [f"shared {k} " + line[k] for k in range(20)]
+    docs = []
+    for k in range(36):
+        body = [rng.choice([*line[:12], "", f"own {rng.randint(0, 400)} words"]) for _ in range(rng.randint(0, 12))]
+        cut = rng.randint(0, 20)
+        docs.append((k, "\n".join(body + passage[cut : cut + 1 + k % 20] + body[:3])))
+    docs += [(90, docs[4][1]), (91, docs[4][1] + "\n\n"), (92, None), (93, "")]
+    got = delete_repeats(frame(spark, docs), lines, words=least).select("doc_id", "kept", "n_lines", "n_removed").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(brute.delete_repeated_runs(docs, lines, least), key=str)
+
+
+def test_a_long_line_between_different_neighbours_is_a_run(spark):
+    long = " ".join(f"w{k}" for k in range(60))
+    got = delete_repeats(frame(spark, [(1, f"a\n{long}\nb"), (2, f"c\n{long}\nd"), (None, long)]), 1, words=30).collect()
+    assert sorted((str(r["doc_id"]), r["kept"]) for r in got) == [("1", "a\nb"), ("2", "c\nd"), ("None", long)]
+
+
 @pytest.mark.parametrize("run", [jaccard_components, remove_repeats, delete_repeats])
 def test_empty_table(spark, run):
     assert run(frame(spark, [])).count() == 0
