@@ -51,8 +51,8 @@ def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Source mix: a row for each time the mix takes a document."""
-    return mixing.mixed_rows(mixing.plan_mix(docs)).select(*docs.columns)
+    """Source mix: a row for each time the mix takes a document, dealt to the tree's shards and shuffled in each."""
+    return mixing.in_shards(mixing.mixed_rows(mixing.plan_mix(docs))).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

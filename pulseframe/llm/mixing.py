@@ -207,3 +207,12 @@ def mixed_rows(planned: DataFrame, text: str = "text", doc_id: str = "doc_id", s
     rows = planned.select(*names, F.explode(whole_draws()).alias("draw"))
     place = F.xxhash64(F.lit(seed), "draw.copy", F.col(f"`{doc_id}`"), F.col(f"`{text}`"))
     return rows.select(*[F.col(f"`{c}`") for c in names], F.col("draw.shard").alias("shard"), place.alias("place"))
+
+
+def in_shards(rows: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """``mixed_rows`` as the tree deals them: a shard lies in one partition, its rows in the order of their places.
+
+    Written as it is, a file holds whole shards one after the other. A shard has a bounded number of words, so none is hot.
+    """
+    dealt = rows.repartition(partitions(rows.sparkSession), "shard")
+    return dealt.sortWithinPartitions("shard", "place", F.col(f"`{doc_id}`"))

@@ -112,6 +112,20 @@ def test_hypergeometric_has_the_right_mean_and_spread(spark):
     assert r[0] == pytest.approx(60, abs=0.5) and r[1] == pytest.approx((200 * 0.3 * 0.7 * 800 / 999) ** 0.5, rel=0.1)
 
 
+def test_shards_lie_in_one_partition_in_order_of_place(spark):
+    rows = [(k, "abc"[k % 3], f"w{k} " * (1 + k % 30)) for k in range(300)]
+    planned = mixing.plan_mix(spark.createDataFrame(rows, "doc_id long, source string, text string"), shard_words=500).cache()
+    drawn = mixing.mixed_rows(planned)
+    got = mixing.in_shards(drawn).select(F.spark_partition_id().alias("part"), "shard", "place", "doc_id").collect()
+    assert sorted((r["shard"], r["place"]) for r in got) == sorted((r["shard"], r["place"]) for r in drawn.collect())
+    parts = {}
+    for r in got:
+        parts.setdefault(r["part"], []).append((r["shard"], r["place"], r["doc_id"]))
+    assert len({r["shard"] for r in got}) > 5
+    assert all(p == sorted(p) for p in parts.values())
+    assert sum(len({s for s, *_ in p}) for p in parts.values()) == len({r["shard"] for r in got})
+
+
 def test_mix_of_nothing_and_of_empty_texts(spark):
     assert mixing.plan_mix(spark.createDataFrame([], "doc_id long, source string, text string")).count() == 0
     rows = mixing.plan_mix(spark.createDataFrame([(1, "a", None), (2, None, "")], "doc_id long, source string, text string")).collect()
