@@ -18,7 +18,7 @@ from pulseframe.operators.quality import (
     CORRUPT, SILVER_RULES, WELL_FORMED, Rule, failed_rows, outcome_rows, passed_rows, row_outcomes, rule_metrics,
 )
 from pulseframe.schema import AGE_BAND, IMPUTED, RAW_TYPES
-from pulseframe.session import discard, pin, scratch
+from pulseframe.session import discard, pin, scratch, small_methods
 from pulseframe.sources.files import read_bronze
 from pulseframe.sources.sinks import publish_outcomes, write_parquet, write_table
 
@@ -114,7 +114,7 @@ def run_batch(
     rules = [*(SILVER_RULES if rules is None else rules), WELL_FORMED]
     run_id = run_id or f"{datetime.now(UTC):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     typed_path = scratch(spark, "typed")
-    bronze = read_bronze(spark, bronze_path)
+    bronze = read_bronze(small_methods(spark), bronze_path)
     apply_mapping(bronze, raw_mapping(keep=[CORRUPT])).write.parquet(typed_path)
     try:
         typed = spark.read.parquet(typed_path)

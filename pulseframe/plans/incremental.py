@@ -18,7 +18,7 @@ from pulseframe.functions.names import ref
 from pulseframe.operators.mapping import apply_mapping, raw_mapping
 from pulseframe.operators.quality import CORRUPT, SILVER_RULES, WELL_FORMED, Rule, row_outcomes, rule_outcomes
 from pulseframe.plans.etl import ClinicalFill, route
-from pulseframe.session import discard, scratch
+from pulseframe.session import discard, scratch, small_methods
 from pulseframe.sources.files import read_bronze
 from pulseframe.sources.sinks import write_parquet
 
@@ -98,7 +98,7 @@ def run_new_files(
     files = [r["file"] for r in mark.manifest(spark, run).select("file").collect()]  # as Spark's own listing has them
     rules = [*(SILVER_RULES if rules is None else rules), WELL_FORMED]
     staged = scratch(spark, "typed")
-    apply_mapping(read_bronze(spark, files, schema), raw_mapping(keep=[*keep, CORRUPT])).write.parquet(staged)
+    apply_mapping(read_bronze(small_methods(spark), files, schema), raw_mapping(keep=[*keep, CORRUPT])).write.parquet(staged)
     try:
         typed = spark.read.parquet(staged)
         fill = ClinicalFill.fit(typed.filter(ref(CORRUPT).isNull()).drop(CORRUPT, *keep), protect=protect, exact=exact)

@@ -10,6 +10,7 @@ from pulseframe.functions.names import ref
 from pulseframe.operators.mapping import apply_mapping, raw_mapping
 from pulseframe.operators.quality import CORRUPT, SILVER_RULES, WELL_FORMED, Rule, row_outcomes, rule_outcomes
 from pulseframe.plans.etl import ClinicalFill, route
+from pulseframe.session import small_methods
 from pulseframe.sources.sinks import publish_outcomes, write_parquet
 from pulseframe.streaming.medians import MedianCounts
 
@@ -29,6 +30,7 @@ def stream_to_silver(
     Missing cells take the stored reference medians, so the result does not depend on how the input was cut into
     batches. With ``counts`` the values of each batch are counted there too, so that later runs can take medians of all rows seen. Every batch owns a folder per sink and overwrites it, so a batch that runs twice is written once.
     """
+    small_methods(bronze.sparkSession)
     rules = SILVER_RULES if rules is None else rules
     text = [CORRUPT] if CORRUPT in bronze.columns else []
     rules = [*rules, WELL_FORMED] if text else rules
