@@ -16,7 +16,10 @@ from pulseframe.session import scratch
 
 
 def silver(spark: SparkSession, sf: str) -> DataFrame:
-    return route(checked_patients(spark, sf), keep=["k"])["silver"]
+    """The silver table as files: every table of the star reads it, none makes it again."""
+    path = scratch(spark, "silver")
+    route(checked_patients(spark, sf), keep=["k"])["silver"].write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:

@@ -1,7 +1,14 @@
 """What must not grow with the tables: files, passes and uncompiled code."""
 
+from pyspark.sql import functions as F
+
+from catalog import gold
+from catalog.files import malformed_csv, per_batch, pieces_of
+from catalog.fixture import table
 from pulseframe.session import small_methods
 
+SMALL = "/root/testdata/sf0.001"
+
 
 def test_a_stage_too_wide_for_the_compiler_is_not_fused(spark):
     before = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
@@ -12,3 +19,18 @@ def test_a_stage_too_wide_for_the_compiler_is_not_fused(spark):
         assert small_methods(spark).conf.get("spark.sql.codegen.hugeMethodLimit") == "4000"
     finally:
         spark.conf.set("spark.sql.codegen.hugeMethodLimit", before)
+
+
+def test_derived_files_grow_in_number_not_in_size(spark):
+    assert [pieces_of(spark, SMALL, 4, rows) for rows in (10**9, 100)] == [4, -(-table(spark, SMALL, "orders").count() // 100)]
+    lines = spark.read.text(malformed_csv(spark, SMALL, 9)).groupBy(F.input_file_name()).agg(F.count_if(F.col("value").startswith('"Sex","Age"')), F.count("*"))
+    got = [tuple(r)[1:] for r in lines.collect()]
+    assert len(got) == 9 and all(headers == 1 for headers, _ in got) and max(n for _, n in got) < 2 * min(n for _, n in got)
+
+
+def test_a_stream_takes_up_a_bounded_number_of_files_at_a_time():
+    assert [per_batch(n, 3) for n in (3, 9, 540)] == [1, 3, 24]
+
+
+def test_the_star_is_built_from_silver_files(spark):
+    assert gold.silver(spark, SMALL).inputFiles()[0].split("/")[-2].startswith("silver-")
