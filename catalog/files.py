@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import sqltext as S
-from catalog.fixture import BRONZE_SQL, bronze, clinical, patients, table, with_patients
+from catalog.fixture import BRONZE_SQL, bronze, bronze_from, clinical, patients, table, with_patients
 from catalog.registry import query
 from catalog.repair import CUSTOMER_PASS, CUSTOMER_RULES, checked_customer
 from pulseframe.functions.names import ref
@@ -24,12 +24,32 @@ from pulseframe.sources import files, sinks
 CSV_WRITE = {"header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def bronze_csv(spark: SparkSession, sf: str, pieces: int = 4, keep_id: bool = True) -> str:
+#: Rows of a derived text file (some 17 MB), and files that a stream's batch takes up at most.
+FILE_ROWS = 100_000
+BATCH_FILES = 24
+
+
+def pieces_of(spark: SparkSession, sf: str, least: int, rows: int = FILE_ROWS) -> int:
+    """Files that the derived records go to: more of them, not larger ones, as the table grows."""
+    return max(least, -(-table(spark, sf, "orders").count() // rows))
+
+
+def bronze_in(spark: SparkSession, sf: str, pieces: int) -> DataFrame:
+    """The raw records in ``pieces`` partitions; only the keys they are derived from are dealt, not the records."""
+    return bronze_from(table(spark, sf, "orders").select("o_orderkey").repartition(pieces))
+
+
+def per_batch(pieces: int, batches: int, most: int = BATCH_FILES) -> int:
+    """Files a batch of a stream takes up: ``batches`` batches, more where these would be large."""
+    return min(most, -(-pieces // batches))
+
+
+def bronze_csv(spark: SparkSession, sf: str, pieces: int | None = None, keep_id: bool = True) -> str:
     """The derived raw table as a directory of CSV files."""
     path = scratch(spark, "bronze")
-    raw = bronze(spark, sf)
     columns = [f.name for f in raw_schema()] + (["k"] if keep_id else [])
-    raw.select(*map(ref, columns)).repartition(pieces).write.options(**CSV_WRITE).csv(path)
+    raw = bronze_in(spark, sf, pieces or pieces_of(spark, sf, 4))
+    raw.select(*map(ref, columns)).write.options(**CSV_WRITE).csv(path)
     return path
 
 
@@ -156,21 +176,21 @@ def s9_bad(spark: SparkSession, sf: str) -> DataFrame:
 MALFORMED_SQL = f"SELECT * FROM ({BRONZE_SQL}) WHERE CAST(k AS BIGINT) % 5 <> 0"
 
 
-def malformed_csv(spark: SparkSession, sf: str) -> str:
+# A line is one cell that is written as it is.
+LINE_WRITE = CSV_WRITE | {"quote": "", "sep": "\x01"}
+
+
+def malformed_csv(spark: SparkSession, sf: str, pieces: int | None = None) -> str:
     """The raw records as lines of text, of which every fifth has fields too few or two too many."""
     path = scratch(spark, "malformed")
-    raw = bronze(spark, sf)
+    raw = bronze_in(spark, sf, pieces or pieces_of(spark, sf, 4))
     names = [f.name for f in raw_schema()]
     cells = [F.coalesce(F.concat(F.lit('"'), ref(c), F.lit('"')), F.lit("")) for c in names]
     line = F.concat_ws(",", *cells)
     key = F.col("k").cast("bigint")
     text = F.when(key % 10 == 0, F.concat(F.lit("M,40,garbage-"), F.col("k"))).when(key % 5 == 0, F.concat(line, F.lit(",x,y"))).otherwise(line)
     header = ",".join(f'"{c}"' for c in names)
-    files_ = raw.select(text.alias("line"), F.pmod(key, F.lit(4)).alias("part"))
-    for part in range(4):
-        one = files_.filter(F.col("part") == part).select("line").coalesce(1)
-        first = spark.range(1).select(F.lit(header).alias("line"))
-        first.unionByName(one).coalesce(1).write.mode("append").text(path)
+    raw.select(text.alias(header)).write.options(**LINE_WRITE).csv(path)
     return path
 
 
