@@ -37,8 +37,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: The bin of missing values; the others are below it.
 MISSING = 255
 BLOCK_ROWS = 1 << 16
-#: Rows of a node that one task may grow on alone (some 30 bytes each).
-SMALL = 1 << 18
+#: Rows of a node that one task may grow on alone (some 200 bytes each at a dozen features, so 200 MB).
+SMALL = 1 << 20
 #: Rounds after which the margins are written with the rows, so that tasks catch up with few trees.
 REFRESH = 10
 #: Least sum of second derivatives on each side of a split.
@@ -529,7 +529,9 @@ def fit_boosted(
     owner = [t for t in tasks for _ in range(t.outputs)]
     trees: list[list[Tree]] = []
     path = scratch(spark, "boosting")
-    packed(df, features, tasks, edges, base).write.parquet(path)
+    # However few files the rows come from, all cores get blocks.
+    dealt = df.repartition(max(spark.sparkContext.defaultParallelism, -(-n // BLOCK_ROWS)))
+    packed(dealt, features, tasks, edges, base).write.parquet(path)
     held, written = spark.read.parquet(path).persist(), 0
     try:
         for done in range(growth.rounds if n else 0):

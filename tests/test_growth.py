@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from catalog import gold
 from catalog.files import malformed_csv, per_batch, pieces_of
 from catalog.fixture import table
+from pulseframe.operators import boosting
 from pulseframe.session import small_methods
 
 SMALL = "/root/testdata/sf0.001"
@@ -34,3 +35,11 @@ def test_a_stream_takes_up_a_bounded_number_of_files_at_a_time():
 
 def test_the_star_is_built_from_silver_files(spark):
     assert gold.silver(spark, SMALL).inputFiles()[0].split("/")[-2].startswith("silver-")
+
+
+def test_blocks_are_dealt_over_all_cores_however_few_files_there_are(spark, monkeypatch):
+    rows = spark.range(1000).select((F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 5).cast("double").alias("y")).coalesce(1)
+    seen, plain = [], boosting.packed
+    monkeypatch.setattr(boosting, "packed", lambda df, *more: seen.append(df.rdd.getNumPartitions()) or plain(df, *more))
+    boosting.fit_boosted(rows, ["x"], [boosting.Task("y", 0, (0,))], boosting.Growth(rounds=1))
+    assert seen == [max(spark.sparkContext.defaultParallelism, 1)]
