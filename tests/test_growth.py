@@ -1,11 +1,12 @@
 """What must not grow with the tables: files, passes and uncompiled code."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from catalog import gold
 from catalog.files import malformed_csv, per_batch, pieces_of
 from catalog.fixture import table
-from pulseframe.operators import boosting
+from pulseframe.operators import boosting, kmeans
 from pulseframe.session import small_methods
 
 SMALL = "/root/testdata/sf0.001"
@@ -43,3 +44,20 @@ def test_blocks_are_dealt_over_all_cores_however_few_files_there_are(spark, monk
     monkeypatch.setattr(boosting, "packed", lambda df, *more: seen.append(df.rdd.getNumPartitions()) or plain(df, *more))
     boosting.fit_boosted(rows, ["x"], [boosting.Task("y", 0, (0,))], boosting.Growth(rounds=1))
     assert seen == [max(spark.sparkContext.defaultParallelism, 1)]
+
+
+def test_points_are_dealt_over_all_cores_and_none_is_lost(spark):
+    rows = spark.range(1000).select(F.array(F.col("id").cast("double")).alias("point")).coalesce(1)
+    blocks = kmeans.dealt_blocks(rows)
+    assert blocks.rdd.getNumPartitions() == max(spark.sparkContext.defaultParallelism, 1)
+    assert blocks.agg(F.sum("n")).first()[0] == 1000
+
+
+def test_each_model_s_nearest_centre_is_its_first_least(spark):
+    draw = np.random.default_rng(3)
+    x, stacked, starts = draw.integers(0, 4, (500, 2)).astype(float), draw.integers(0, 4, (9, 2)).astype(float), np.array([0, 2, 5])
+    apart = ((x[:, None] - stacked) ** 2).sum(axis=2)
+    for i, (a, b) in enumerate(((0, 2), (2, 5), (5, 9))):
+        got = [(owner[i], least[i]) for _, owner, least in kmeans.nearest(x, stacked, starts, 128)]
+        assert (np.concatenate([o for o, _ in got]) == a + apart[:, a:b].argmin(axis=1)).all()
+        assert np.allclose(np.concatenate([d for _, d in got]), apart[:, a:b].min(axis=1))
