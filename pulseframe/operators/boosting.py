@@ -20,6 +20,7 @@ import math
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
+from functools import cached_property
 from typing import NamedTuple
 
 import numpy as np
@@ -264,7 +265,7 @@ def softmax(margin: np.ndarray) -> np.ndarray:
 
 
 def gradients(tasks: list[Task], targets: list[np.ndarray], margin: np.ndarray, units: list[tuple[float, float]]) -> Iterator[tuple]:
-    """(gradient, second derivative) of each output, in whole units."""
+    """(gradient, second derivative) of each output, in whole units; None for second derivatives that are all 1."""
     at = 0
     for task, target in zip(tasks, targets, strict=True):
         if task.classes:
@@ -273,7 +274,7 @@ def gradients(tasks: list[Task], targets: list[np.ndarray], margin: np.ndarray,
                 g, h = p[k] - (target == k), p[k] * (1 - p[k])
                 yield np.rint(g / units[at + k][0]).astype(np.int64), np.rint(h / units[at + k][1]).astype(np.int64)
         else:
-            yield np.rint((margin[at] - target) / units[at][0]).astype(np.int64), np.ones(len(target), np.int64)
+            yield np.rint((margin[at] - target) / units[at][0]).astype(np.int64), None
         at += task.outputs
 
 
@@ -350,17 +351,79 @@ def caught_up(since: list[list[Tree]], units: list):
     """Task function: blocks with margins that have the trees ``since`` the last write in them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = Forest(since)
         for bins, targets, margin in blocks(batches, len(units)):
-            add_trees(since, margin, bins)
+            forest.add_to(margin, bins)
             yield block(bins.shape[1], bins, targets, margin)
 
     return run
 
 
-def add_trees(rounds: list[list[Tree]], margin: np.ndarray, bins: np.ndarray) -> None:
-    for trees in rounds:
-        for k, tree in enumerate(trees):
-            tree.add_to(margin[k], bins)
+class Forest:
+    """Trees of some rounds, all gone through at once: each leaf is a bit, each split on which a row goes right takes away the bits of the
+    leaves on its left, and the first bit that is left is the row's leaf. ``masks`` has what is left after all splits on a feature at a bin.
+
+    Trees of over 64 leaves are gone through one by one.
+    """
+
+    def __init__(self, rounds: list[list[Tree]]):
+        self.rounds = rounds
+        flat = [tree for trees in rounds for tree in trees]
+        most = max((int((t.feature < 0).sum()) for t in flat), default=0)
+        self.masks: dict[int, np.ndarray] | None = None if most > 64 else {}
+        if self.masks is None:
+            return
+        kind = np.uint32 if most <= 32 else np.uint64
+        self.values = np.zeros((len(flat), 32 if most <= 32 else 64))
+        every = np.arange(256, dtype=np.uint8)
+        for i, t in enumerate(flat):
+            for feature, cut, missing_left, first, after in self._numbered(t, self.values[i]):
+                mask = self.masks.setdefault(feature, np.full((256, len(flat)), np.iinfo(kind).max, kind))
+                mask[~goes_left(every, cut, missing_left), i] &= kind(~((1 << after) - (1 << first)) & int(np.iinfo(kind).max))
+
+    @staticmethod
+    def _numbered(tree: Tree, values: np.ndarray) -> Iterator[tuple[int, int, bool, int, int]]:
+        """Feature, cut, side of missing values, first leaf on the left and first one after these, of each split; fills in leaf values."""
+        leaves = 0
+        waiting: list[tuple[int, int]] = [(0, -1)]
+        while waiting:
+            node, first = waiting.pop()
+            if first >= 0:  # its left side is numbered
+                yield int(tree.feature[node]), int(tree.cut[node]), bool(tree.missing_left[node]), first, leaves
+            elif tree.feature[node] < 0:
+                values[leaves] = tree.value[node]
+                leaves += 1
+            else:
+                waiting += [(int(tree.right[node]), -1), (node, leaves), (int(tree.left[node]), -1)]
+
+    def add_to(self, margin: np.ndarray, bins: np.ndarray) -> None:
+        if self.masks is None:
+            for trees in self.rounds:
+                for k, tree in enumerate(trees):
+                    tree.add_to(margin[k], bins)
+            return
+        count, outputs = len(self.values), len(margin)
+        own = np.arange(count) * self.values.shape[1]
+        step = (1 << 18) // max(count, 1) + 1
+        for at in range(0, bins.shape[1] if count else 0, step):
+            part, here = bins[:, at : at + step], margin[:, at : at + step]
+            value = np.broadcast_to(self.values[:, 0], (part.shape[1], count))
+            if self.masks:
+                left = None
+                for feature, mask in self.masks.items():
+                    found = mask.take(part[feature], axis=0)
+                    left = found if left is None else np.bitwise_and(left, found, out=left)
+                value = self.values.ravel().take(first_bit(left) + own)
+            for r in range(0, count, outputs):
+                here += value[:, r : r + outputs].T
+
+
+def first_bit(x: np.ndarray) -> np.ndarray:
+    """Number of the lowest bit that is set, read off the exponent of that power of two."""
+    lowest = x & (~x + x.dtype.type(1))
+    if x.dtype == np.uint32:
+        return (lowest.astype(np.float32).view(np.int32) >> 23) - 127
+    return (lowest.astype(np.float64).view(np.int64) >> 52) - 1023
 
 
 def dropped(rows: dict[int, np.ndarray], bins: np.ndarray, splits: list[tuple]) -> dict[int, np.ndarray]:
@@ -372,13 +435,56 @@ def dropped(rows: dict[int, np.ndarray], bins: np.ndarray, splits: list[tuple])
     return rows
 
 
-def histogram(codes: np.ndarray, mine: np.ndarray, g: np.ndarray, h: np.ndarray) -> np.ndarray:
+class Codes(NamedTuple):
+    """Features of few bins share one code, so that rows are added up once for all of them; ``used`` has the bins of each."""
+
+    features: tuple[int, ...]
+    used: tuple[np.ndarray, ...]
+    code: np.ndarray
+
+
+#: Codes that features share, at most.
+SHARED = 2048
+
+
+def fused(bins: np.ndarray) -> list[Codes]:
+    """All features of ``bins`` (feature by row), those with the fewest bins together."""
+    used = [np.flatnonzero(np.bincount(b, minlength=256)) for b in bins]
+    groups: list[list[int]] = []
+    size = 0
+    for f in sorted(range(len(bins)), key=lambda f: len(used[f])):
+        size = size * len(used[f])
+        if not groups or size > SHARED:
+            groups.append([])
+            size = len(used[f])
+        groups[-1].append(f)
+    out = []
+    for group in groups:
+        code = np.zeros(bins.shape[1], np.int16)
+        for f in group:
+            rank = np.zeros(256, np.int16)
+            rank[used[f]] = np.arange(len(used[f]))
+            code *= np.int16(len(used[f]))
+            code += rank.take(bins[f])
+        out.append(Codes(tuple(group), tuple(used[f] for f in group), code))
+    return out
+
+
+def histogram(codes: list[Codes], mine: np.ndarray, g: np.ndarray, h: np.ndarray | None) -> np.ndarray:
     """(3, features, 256) sums over the rows ``mine``. Whole numbers far below 2**53: the float sums of a block are exact."""
-    out = np.empty((3, len(codes), 256), np.int64)
-    g, h = g[mine].astype(np.float64), h[mine].astype(np.float64)
-    for f, code in enumerate(codes):
-        at = code[mine]
-        out[0, f], out[1, f], out[2, f] = np.bincount(at, g, 256), np.bincount(at, h, 256), np.bincount(at, minlength=256)
+    out = np.zeros((3, sum(len(c.features) for c in codes), 256), np.int64)
+    weights = [None if x is None else x.take(mine).astype(np.float64) for x in (g, h)]
+    for features, used, code in codes:
+        shape = tuple(map(len, used))
+        at = code.take(mine).astype(np.intp)
+        sums = [None if w is None else np.bincount(at, w, math.prod(shape)) for w in weights] + [np.bincount(at, minlength=math.prod(shape))]
+        for i, (f, bins) in enumerate(zip(features, used, strict=True)):
+            others = tuple(j for j in range(len(shape)) if j != i)
+            for k, each in enumerate(sums):
+                if each is not None:
+                    out[k, f, bins] = each.reshape(shape).sum(axis=others)
+    if h is None:
+        out[1] = out[2]
     return out
 
 
@@ -391,9 +497,10 @@ def counted(tasks: list[Task], units: list, since: list[list[Tree]], asked: list
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, int], np.ndarray] = {}
+        forest = Forest(since)
         for bins, targets, margin in blocks(batches, len(units)):
-            add_trees(since, margin, bins)
-            codes = bins.astype(np.intp)
+            forest.add_to(margin, bins)
+            codes = fused(bins)
             for (k, (g, h)), (splits, wanted) in zip(enumerate(gradients(tasks, list(targets), margin, units)), asked, strict=True):
                 rows = dropped({0: np.arange(bins.shape[1])}, bins, splits) if wanted else {}
                 for node in wanted:
@@ -411,12 +518,29 @@ def counted(tasks: list[Task], units: list, since: list[list[Tree]], asked: list
 ROWS = "slot int, n int, bins binary, g binary, h binary"
 
 
+def thin(x: np.ndarray | None, mine: np.ndarray) -> bytes:
+    """Numbers of some rows as bytes, four each where they fit; none for None."""
+    if x is None:
+        return b""
+    part = x.take(mine)
+    return (part.astype(np.int32) if np.abs(part).max() < 1 << 31 else part).tobytes()
+
+
+def thick(held: list[pa.Scalar], sizes: list[int]) -> np.ndarray | None:
+    """What ``thin`` made of several blocks."""
+    parts = [x.as_buffer() for x in held]
+    if not sum(p.size for p in parts):
+        return None
+    return np.concatenate([np.frombuffer(p, np.int32 if p.size == 4 * n else np.int64) for p, n in zip(parts, sizes, strict=True)]).astype(np.int64)
+
+
 def handed_over(tasks: list[Task], units: list, since: list[list[Tree]], asked: list[tuple[list, list[int]]]):
     """Task function: the rows of the wanted nodes, with their gradients; ``slot`` counts the wanted nodes of all outputs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forest = Forest(since)
         for bins, targets, margin in blocks(batches, len(units)):
-            add_trees(since, margin, bins)
+            forest.add_to(margin, bins)
             slot = 0
             for (g, h), (splits, wanted) in zip(gradients(tasks, list(targets), margin, units), asked, strict=True):
                 rows = dropped({0: np.arange(bins.shape[1])}, bins, splits) if wanted else {}
@@ -424,7 +548,7 @@ def handed_over(tasks: list[Task], units: list, since: list[list[Tree]], asked:
                     mine = rows[node]
                     if len(mine):
                         cells = [pa.array([x], pa.int32()) for x in (slot, len(mine))]
-                        cells += [pa.array([x.tobytes()], pa.binary()) for x in (bins[:, mine], g[mine], h[mine])]
+                        cells += [pa.array([x], pa.binary()) for x in (bins[:, mine].tobytes(), thin(g, mine), thin(h, mine))]
                         yield pa.RecordBatch.from_arrays(cells, ["slot", "n", "bins", "g", "h"])
                 slot += bool(wanted)
 
@@ -447,11 +571,11 @@ def grown_alone(of_slot: list[tuple[tuple[int, ...], tuple[float, float], int]],
             return
         slot, sizes = table.column("slot")[0].as_py(), table.column("n").to_pylist()
         features, unit, leaves = of_slot[slot]
-        part = lambda c, kind: [np.frombuffer(x.as_buffer(), kind) for x in table.column(c)]
-        bins = np.concatenate([b.reshape(-1, n) for b, n in zip(part("bins", np.uint8), sizes, strict=True)], axis=1)
-        g, h = (np.concatenate(part(c, np.int64)) for c in ("g", "h"))
+        parts = [np.frombuffer(x.as_buffer(), np.uint8).reshape(-1, n) for x, n in zip(table.column("bins"), sizes, strict=True)]
+        bins = np.concatenate(parts, axis=1)
+        g, h = (thick(list(table.column(c)), sizes) for c in ("g", "h"))
         tree = Growing(features, replace(growth, leaves=leaves), unit, bins.shape[1], 0, False)
-        codes, held = bins.astype(np.intp), {0: np.arange(bins.shape[1])}
+        codes, held = fused(bins), {0: np.arange(bins.shape[1])}
         while wanted := tree.wanted():
             dropped(held, bins, tree.shape())
             tree.take({n: histogram(codes, held[n], g, h) for n in wanted}, len(bins))
@@ -486,11 +610,15 @@ class Boosted:
     base: np.ndarray
     trees: list[list[Tree]]
 
+    @cached_property
+    def forest(self) -> Forest:
+        return Forest(self.trees)
+
     def margins(self, values: list[np.ndarray]) -> np.ndarray:
         """(output, row) of feature columns in the order they were fitted in."""
         bins = np.stack([bin_numbers(v, e) for v, e in zip(values, self.edges, strict=True)])
         out = np.repeat(self.base[:, None], bins.shape[1], axis=1)
-        add_trees(self.trees, out, bins)
+        self.forest.add_to(out, bins)
         return out
 
 
@@ -529,8 +657,9 @@ def fit_boosted(
     owner = [t for t in tasks for _ in range(t.outputs)]
     trees: list[list[Tree]] = []
     path = scratch(spark, "boosting")
-    # However few files the rows come from, all cores get blocks.
-    dealt = df.repartition(max(spark.sparkContext.defaultParallelism, -(-n // BLOCK_ROWS)))
+    # However few files the rows come from, all cores get blocks, and the same number of them.
+    cores = spark.sparkContext.defaultParallelism
+    dealt = df.repartition(cores * max(1, -(-n // (cores * BLOCK_ROWS))))
     packed(dealt, features, tasks, edges, base).write.parquet(path)
     held, written = spark.read.parquet(path).persist(), 0
     try:
@@ -630,6 +759,7 @@ def two_stage(features: list[Column], stage1: Boosted, stage2: Boosted) -> Colum
     The trees run over Arrow batches.
     """
     width = len(features)
+    _ = stage1.forest, stage2.forest  # made once, not in every task
 
     @F.arrow_udf("struct<class: int, number: double>")
     def run(rows: pa.Array) -> pa.Array:

@@ -4,9 +4,11 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from pulseframe.operators import boosting as B
 from pulseframe.operators.boosting import MISSING, Growth, Task, bin_edges, fit_boosted
 
 FEATURES = ["a", "b", "c"]
@@ -173,3 +175,52 @@ def test_edges(spark):
     assert 250 <= len(many) <= 254
     sizes = np.diff(np.concatenate([[-1], many, [4999]]))
     assert sizes.max() < 2.5 * 5000 / 255
+
+
+def grown(bins, g, leaves):
+    tree = B.Growing(tuple(range(len(bins))), Growth(leaves=leaves, smallest_leaf=2), (2.0**-28, 1.0), bins.shape[1], 0, False)
+    codes, held = B.fused(bins), {0: np.arange(bins.shape[1])}
+    while wanted := tree.wanted():
+        B.dropped(held, bins, tree.shape())
+        tree.take({n: B.histogram(codes, held[n], g, None) for n in wanted}, len(bins))
+    return tree.finished()
+
+
+def some_bins(n, seed):
+    draw = np.random.default_rng(seed)
+    bins = np.stack([draw.integers(0, k, n) for k in (200, 2, 3, 90, 4)]).astype(np.uint8)
+    bins[:, draw.random(n) < 0.1] = MISSING
+    return bins, draw.integers(-(2**27), 2**27, n)
+
+
+@pytest.mark.parametrize("leaves", [1, 2, 31, 50, 80])
+def test_all_trees_at_once_add_what_each_tree_adds(leaves):
+    bins, g = some_bins(3000, leaves)
+    rounds = [[grown(bins, np.roll(g, 2 * r + k), leaves) for k in range(2)] for r in range(3)]
+    plain, margin = np.zeros((2, 3000)), np.zeros((2, 3000))
+    for trees in rounds:
+        for k, tree in enumerate(trees):
+            tree.add_to(plain[k], bins)
+    B.Forest(rounds).add_to(margin, bins)
+    assert (margin == plain).all() and (leaves == 1 or plain.std() > 0)
+
+
+def test_features_that_share_a_code_keep_their_own_sums():
+    bins, g = some_bins(2000, 5)
+    codes, mine = B.fused(bins), np.arange(0, 2000, 3)
+    assert len(codes) < len(bins) and sorted(f for c in codes for f in c.features) == list(range(len(bins)))
+    for h in (np.abs(g), None):
+        got = B.histogram(codes, mine, g, h)
+        for f, b in enumerate(bins):
+            for k, weight in enumerate((g, np.ones(2000, np.int64) if h is None else h, np.ones(2000, np.int64))):
+                want = np.zeros(256, np.int64)
+                np.add.at(want, b[mine], weight[mine])
+                assert (got[k, f] == want).all()
+
+
+def test_numbers_handed_over_come_back_whole():
+    small, large = np.array([5, -7, 2**31 - 1]), np.array([2**40, -3])
+    sizes, held = [3, 2], [B.thin(x, np.arange(len(x))) for x in (small, large)]
+    assert [len(x) for x in held] == [12, 16]
+    assert B.thick([pa.scalar(x, pa.binary()) for x in held], sizes).tolist() == [*small, *large]
+    assert B.thin(None, np.arange(3)) == b"" and B.thick([pa.scalar(b"", pa.binary())], [3]) is None

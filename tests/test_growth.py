@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from catalog import gold
+from catalog import gold, models
 from catalog.files import malformed_csv, per_batch, pieces_of
 from catalog.fixture import table
 from pulseframe.operators import boosting, kmeans
@@ -61,3 +61,13 @@ def test_each_model_s_nearest_centre_is_its_first_least(spark):
         got = [(owner[i], least[i]) for _, owner, least in kmeans.nearest(x, stacked, starts, 128)]
         assert (np.concatenate([o for o, _ in got]) == a + apart[:, a:b].argmin(axis=1)).all()
         assert np.allclose(np.concatenate([d for _, d in got]), apart[:, a:b].min(axis=1))
+
+
+def test_a_model_query_makes_silver_once_and_over_all_cores(spark, monkeypatch):
+    made, plain = [], models.silver_from
+    monkeypatch.setattr(models, "silver_from", lambda orders: made.append(plain(orders)) or made[-1])
+    monkeypatch.setattr(models, "_BUNDLES", {})
+    monkeypatch.setattr(models, "load_or_train", lambda spark, source, path, prepare: (prepare(source), "trained"))
+    rest, test = models.held_out(spark, SMALL)
+    assert len(made) == 1 and rest.count() + test.count() == made[0].count()
+    assert len(made[0].inputFiles()) == spark.sparkContext.defaultParallelism
