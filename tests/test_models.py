@@ -5,6 +5,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from catalog import load
 from pulseframe.operators import kmeans as K
 from pulseframe.operators.cohorts import FEATURES, Cohorts, fit_cohorts, fit_scaler, sweep_models
 from pulseframe.operators.risk import LEVEL_OUT, SCORE_OUT, RiskModel, Settings, train, train_variants
@@ -144,3 +145,30 @@ def test_several_classes_are_no_worse_than_one_against_the_rest(spark):
         scored = train(learn, Settings(rounds=12, kind=kind, bins=64)).score(test)
         right[kind] = scored.agg(F.avg((F.col(LEVEL) == F.col(LEVEL_OUT)).cast("int"))).first()[0]
     assert right["boosted"] >= right["one_vs_rest"]
+
+
+def test_the_pairwise_silhouette_covers_all_rows_in_blocks(spark):
+    draw = np.random.default_rng(8)
+    x = np.concatenate([draw.normal(c, 1, (60, 2)) for c in (-2, 0, 3)])
+    x = np.concatenate([x, x[:45]])  # equal rows
+    rows = spark.createDataFrame([(p.tolist(),) for p in x], "point array<double>").repartition(5)
+    models = [K.Fitted(3, 0, np.array([[-2.0, -2], [0, 0], [3, 3]])), K.Fitted(1, 0, np.zeros((1, 2))), K.Fitted(2, 0, np.array([[-1.0, 0], [2, 2]]))]
+    got = K.exact_silhouettes(rows, models, rows=16)
+    apart = np.sqrt(((x[:, None] - x) ** 2).sum(axis=2))
+    for model, (mean, n) in zip(models, got, strict=True):
+        own = ((x[:, None] - model.centres) ** 2).sum(axis=2).argmin(axis=1)
+        if model.k == 1:
+            assert np.isnan(mean)
+            continue
+        sums = np.stack([apart[:, own == c].sum(axis=1) for c in range(model.k)], axis=1)
+        sizes = np.bincount(own, minlength=model.k)
+        a = sums[np.arange(len(x)), own] / (sizes[own] - 1)
+        b = np.where(np.arange(model.k) == own[:, None], np.inf, sums / sizes).min(axis=1)
+        assert n == len(x) and mean == pytest.approx(((b - a) / np.maximum(a, b)).mean(), abs=1e-9)
+    assert all(np.isnan(m) for m, _ in K.exact_silhouettes(rows.limit(0), models))
+
+
+def test_the_silhouette_query_takes_no_sample(spark, monkeypatch):
+    monkeypatch.setattr(K, "sampled", None)
+    n = spark.read.parquet("/root/testdata/sf0.001/customer.parquet").count()
+    assert tuple(load()["a18_euclidean_silhouette"].run(spark, "/root/testdata/sf0.001").first())[1:] == (0.0, n)
