@@ -2,11 +2,13 @@
 
 A run first writes down which files it takes, then its sinks, each into a folder of its own, and last a commit record. Readers go by the
 commit records, so a run that dies leaves nothing that anyone reads. The next start finds the manifest without a commit and does
-that run again, over the same files and into the same folders, before it looks for new files.
+that run again, over the same files and into the same folders, before it looks for new files. Steps that the dead run had finished
+under the same rules and options are not done twice; under others, all are.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -18,7 +20,7 @@ from pulseframe.functions.names import ref
 from pulseframe.operators.mapping import apply_mapping, raw_mapping
 from pulseframe.operators.quality import CORRUPT, SILVER_RULES, WELL_FORMED, Rule, row_outcomes, rule_outcomes
 from pulseframe.plans.etl import ClinicalFill, route
-from pulseframe.session import discard, scratch, small_methods
+from pulseframe.session import discard, small_methods
 from pulseframe.sources.files import read_bronze
 from pulseframe.sources.sinks import write_parquet
 
@@ -54,6 +56,23 @@ class Bookmark:
     def manifest(self, spark: SparkSession, run: int) -> DataFrame:
         return spark.read.schema(MANIFEST).json(f"{self.root}/manifests/run={run}")
 
+    def finished(self, spark: SparkSession, run: int, plan: str) -> set[str]:
+        """Steps of an unfinished run that were done under this plan."""
+        try:
+            held = spark.read.schema("plan string, run int, step string").json(f"{self.root}/steps")
+            return {r["step"] for r in held.where((F.col("run") == run) & (F.col("plan") == plan)).select("step").collect()}
+        except Exception as problem:
+            if "PATH_NOT_FOUND" in str(problem):
+                return set()
+            raise
+
+    def do(self, spark: SparkSession, run: int, step: str, plan: str, work: Callable[[], None]) -> None:
+        """Do a step whose folder may have an older one's rows: its record goes first and is written again last."""
+        record = f"{self.root}/steps/run={run}/step={step}"
+        discard(spark, record)
+        work()
+        spark.createDataFrame([(plan,)], "plan string").coalesce(1).write.mode("overwrite").json(record)
+
     def new_files(self, spark: SparkSession, path: str, glob: str = "*.csv") -> DataFrame:
         """Files below ``path`` that no run has in its manifest; a file that was written again is a new one."""
         listed = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
@@ -97,19 +116,27 @@ def run_new_files(
     reached("manifest")
     files = [r["file"] for r in mark.manifest(spark, run).select("file").collect()]  # as Spark's own listing has them
     rules = [*(SILVER_RULES if rules is None else rules), WELL_FORMED]
-    staged = scratch(spark, "typed")
-    apply_mapping(read_bronze(small_methods(spark), files, schema), raw_mapping(keep=[*keep, CORRUPT])).write.parquet(staged)
-    try:
-        typed = spark.read.parquet(staged)
-        fill = ClinicalFill.fit(typed.filter(ref(CORRUPT).isNull()).drop(CORRUPT, *keep), protect=protect, exact=exact)
-        filled = fill.apply(typed)
-        checked = row_outcomes(filled, rules)
-        parts = route(checked, list(keep)) | {"outcomes": rule_outcomes(checked.select(*filled.drop(*keep).columns), rules)}
-        for sink in SINKS:
-            write_parquet(parts[sink], f"{root}/{sink}/run={run}")
-            reached(sink)
-    finally:
-        discard(spark, staged)
+    told = (files, schema and schema.json(), keep, rules, protect, exact)
+    plan = hashlib.blake2b(repr(told).encode(), digest_size=16).hexdigest()
+    finished = mark.finished(spark, run, plan)
+
+    def step(name: str, work: Callable[[], None]) -> None:
+        if name not in finished:
+            mark.do(spark, run, name, plan, work)
+
+    staged, medians = f"{root}/staged/run={run}", f"{root}/medians/run={run}"
+    bronze = read_bronze(small_methods(spark), files, schema)
+    step("typed", lambda: apply_mapping(bronze, raw_mapping(keep=[*keep, CORRUPT])).write.mode("overwrite").parquet(staged))
+    typed = spark.read.parquet(staged)
+    whole = typed.filter(ref(CORRUPT).isNull()).drop(CORRUPT, *keep)
+    step("medians", lambda: ClinicalFill.fit(whole, protect=protect, exact=exact).save(medians))
+    filled = ClinicalFill.load(spark, medians).apply(typed)
+    checked = row_outcomes(filled, rules)
+    parts = route(checked, list(keep)) | {"outcomes": rule_outcomes(checked.select(*filled.drop(*keep).columns), rules)}
+    for sink in SINKS:
+        step(sink, lambda: write_parquet(parts[sink], f"{root}/{sink}/run={run}"))  # noqa: B023
+        reached(sink)
     spark.createDataFrame([(len(files),)], COMMIT).coalesce(1).write.mode("overwrite").json(f"{root}/commits/run={run}")
+    discard(spark, staged)
     reached("commit")
     return run

@@ -3,6 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from pulseframe.operators.quality import SILVER_RULES
+from pulseframe.plans import incremental
 from pulseframe.plans.incremental import SINKS, Bookmark, run_new_files
 from pulseframe.schema import raw_schema
 from pulseframe.session import scratch
@@ -46,6 +48,50 @@ def test_a_killed_run_is_done_again(spark, step):
     assert mark.read(spark, "outcomes").agg(F.max("total")).first()[0] == 20
 
 
+def test_a_run_goes_on_where_the_last_start_died(spark, monkeypatch):
+    """Finished steps are done once; a start under other rules does all of them."""
+    path, root, schema, written, parsed = scratch(spark, "in"), scratch(spark, "out"), raw_schema().add("k", "string"), [], []
+    deliver(spark, path, 0, 20)
+    plain, plain_do = incremental.write_parquet, Bookmark.do
+    monkeypatch.setattr(incremental, "write_parquet", lambda df, to: written.append(to.split("/")[-2]) or plain(df, to))
+    monkeypatch.setattr(Bookmark, "do", lambda self, spark, run, step, *more: parsed.append(step) or plain_do(self, spark, run, step, *more))
+
+    def dies_at(step):
+        def reached(done):
+            if done == step:
+                raise Killed
+
+        return reached
+
+    for step in ("silver", "rejected"):
+        with pytest.raises(Killed):
+            run_new_files(spark, path, root, schema, ("k",), reached=dies_at(step))
+    assert written == ["silver", "rejected"] and parsed == ["typed", "medians", "silver", "rejected"]
+    fewer = SILVER_RULES[:-2]
+    with pytest.raises(Killed):
+        run_new_files(spark, path, root, schema, ("k",), rules=fewer, reached=dies_at("silver"))
+    assert written == ["silver", "rejected", "silver"]
+    assert run_new_files(spark, path, root, schema, ("k",), rules=fewer) == 1
+    assert written == ["silver", "rejected", "silver", "rejected", "outcomes"]
+    mark = Bookmark(root)
+    assert sorted(int(r["k"]) for s in ("silver", "rejected") for r in mark.read(spark, s).select("k").collect()) == list(range(20))
+    assert mark.read(spark, "outcomes").count() == len(fewer) + 1
+
+
+def test_a_step_that_broke_off_is_done_again(spark):
+    """The record of a step goes before its rows do."""
+    mark, out = Bookmark(scratch(spark, "out")), []
+    mark.do(spark, 1, "silver", "a", lambda: out.append(1))
+    assert mark.finished(spark, 1, "a") == {"silver"} and mark.finished(spark, 1, "b") == set() == mark.finished(spark, 2, "a")
+
+    def breaks():
+        raise Killed
+
+    with pytest.raises(Killed):
+        mark.do(spark, 1, "silver", "b", breaks)
+    assert mark.finished(spark, 1, "a") == set()
+
+
 def test_a_failing_write_leaves_the_table(spark):
     name, root = "swapped_rows", scratch(spark, "table")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
