@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SPACE = r"[\x20\x09-\x0D]+"
 WORD_SQL = r"[^\x20\x09-\x0D]+"
+#: Bytes of rows that go to a worker at once; a pair of sets, or a long text, is many times as large as a row of most tables.
+BATCH_BYTES = 4 << 20
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -60,3 +63,15 @@ def free_shuffles(spark: SparkSession) -> None:
     their plans."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Rows go to workers in batches of ``BATCH_BYTES`` while the steps inside are written."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -29,7 +29,6 @@ Defined cases: null text and texts without words have an empty set and no links;
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +37,7 @@ from pyspark.sql import functions as F
 
 from pulseframe.llm.bytewords import begin, mix, runs, shingle_sets, trim
 from pulseframe.llm.components import components
-from pulseframe.llm.exprs import free_shuffles, partitions
+from pulseframe.llm.exprs import free_shuffles, partitions, small_batches
 from pulseframe.llm.keycount import bucket_of
 from pulseframe.session import pin
 
@@ -46,26 +45,12 @@ from pulseframe.session import pin
 CHUNK_KEYS = 1 << 18
 CHUNK_DOCS = 1 << 16
 LONG = 64
-#: Bytes of rows that go to a worker at once; a pair of sets is many times as large as a row of most tables.
-BATCH_BYTES = 4 << 20
 LOW48 = np.uint64((1 << 48) - 1)
 PARTS = "bucket int, chunk long, kind int, counts binary, keys binary, ids array<long>, marks array<long>, sets array<binary>"
 NAMES = ["bucket", "chunk", "kind", "counts", "keys", "ids", "marks", "sets"]
 TYPES = [pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary())]
 
 
-@contextmanager
-def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Rows go to workers in batches of ``BATCH_BYTES`` while the steps inside are written."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(BATCH_BYTES))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def set_ids(hashes: np.ndarray, bounds: np.ndarray) -> list[bytes | None]:
     """A 128-bit name of each set, the same for equal sets; none for an empty one."""
     sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes * np.uint64(k)), dtype=np.uint64)]) for k in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]

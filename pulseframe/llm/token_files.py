@@ -25,11 +25,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe.llm import rans
-from pulseframe.llm.bytewords import KEEP, Texts, begin, eights, process_cache, runs, word_hash
-from pulseframe.llm.exprs import partitions
+from pulseframe.llm.bytewords import SPACES, Texts, begin, process_cache, runs
+from pulseframe.llm.exprs import partitions, small_batches
 
 CHUNKS = "part int, seq int, local_first long, n_tokens long, doc_ids array<long>, lengths array<int>, tokens binary"
 DOCS = "doc_id long, start long, n_tokens long, ids_crc32 long"
+#: Bytes of text that are cut and looked up at once.
+RUN_BYTES = 1 << 21
 
 
 class Layout(NamedTuple):
@@ -39,16 +41,62 @@ class Layout(NamedTuple):
     row_tokens: int = 1 << 20
     block_tokens: int = 1 << 18
     lanes: int = 1024
-    cached_pieces: int = 1_000_000
+    cached_pieces: int = 400_000
+
+
+#: Classes of bytes; no class: signs that the library must judge.
+WHITE, LETTER, DIGIT, SIGN = range(1, 5)
+CLASS = np.zeros(256, np.uint8)
+CLASS[0x21:0x7F] = SIGN
+CLASS[0x30:0x3A] = DIGIT
+CLASS[0x41:0x5B] = CLASS[0x61:0x7B] = LETTER
+CLASS[list(SPACES)] = WHITE
+CLASS[0x27] = 0  # may start a contraction
+
+
+def byte_letters() -> str:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it prints, else one from 256 on."""
+    out = [chr(b) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE else "" for b in range(256)]
+    others = iter(range(256, 512))
+    return "".join(x or chr(next(others)) for x in out)
+
+
+def pieces_of(t: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Where pieces start, and which of them the library must cut further.
+
+    A byte-level pre-tokenizer cuts between letters, digits and other signs, leaves a blank with what follows it, and of several
+    white-space characters in a row gives the last one, unless the text ends there, a piece of its own. That is done here for ASCII
+    and the letters from U+00C0 to U+023F; a word, between white space, with any other byte in it stays whole, with its blank.
+    """
+    n, kind = len(t.data), CLASS[t.data]
+    lead = np.flatnonzero((t.data >= 0xC3) & (t.data <= 0xC8))
+    lead = lead[(t.data[lead] != 0xC3) | ((t.data[lead + 1] != 0x97) & (t.data[lead + 1] != 0xB7))]
+    kind[lead] = kind[lead + 1] = LETTER
+    first = np.zeros(n + 1, bool)
+    first[t.bounds] = True
+    white = kind == WHITE
+    after_white = np.concatenate([[True], white[:-1]])
+    odd = np.flatnonzero(kind == 0)
+    if len(odd):
+        word = np.cumsum(~white & (first[:-1] | after_white), dtype=np.int32)
+        bad = np.zeros(int(word[-1]) + 1, bool)
+        bad[word[odd]] = True
+        kind[bad[word] & ~white] = 0
+    changes = np.concatenate([[True], kind[1:] != kind[:-1]])
+    after_blank = np.concatenate([[False], t.data[:-1] == 0x20])
+    last = np.concatenate([~white[1:], [False]]) & ~first[1:]
+    begins = np.where(white, ~after_white | last, changes & ~after_blank) | first[:-1]
+    start = np.flatnonzero(begins)
+    return start, kind[np.append(start[1:], n) - 1] == 0
 
 
 class TextEncoder:
     """Ids of whole texts by a ``tokenizers`` file.
 
-    A byte-level pre-tokenizer always cuts before a blank that stands between two characters that are not white space. So
-    the ids of a text are those of its pieces ``" word"`` in order, where no piece has white space at its ends. Each
-    distinct piece goes through the library once while it stays in the cache, which knows it by its bytes. Texts with other
-    white space, or with the text of one of the tokenizer's added tokens in them, go through it whole.
+    Where its pre-tokenizer is the byte-level one, ids of a text are those of its pieces (``pieces_of``) in order. Each distinct
+    piece goes through the library's model once while it stays in the cache, which knows it by its bytes; words that the library
+    must cut go through all of it. Texts whose words have other white space at their ends, or with the text of one of the
+    tokenizer's added tokens in them, go through it whole.
     """
 
     def __init__(self, path: str, cached: int):
@@ -56,8 +104,13 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.by_piece = str(self.tokenizer.pre_tokenizer).startswith("ByteLevel(") and self.tokenizer.normalizer is None
+        cutter, self.letters = str(self.tokenizer.pre_tokenizer), byte_letters()
+        self.by_piece = (
+            cutter.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in cutter and self.tokenizer.normalizer is None
+            and all(self.tokenizer.token_to_id(x) is not None for x in self.letters)
+        )
         self.cached, self.known, self.old = cached, process_cache(f"new pieces {path}"), process_cache(f"old pieces {path}")
         self.line_feed = self.tokenizer.token_to_id("\u010a")
         self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
@@ -66,18 +119,18 @@ class TextEncoder:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.batch(texts, add_special_tokens=False)]
 
     def learn(self, pieces: list[bytes]) -> None:
-        """Encode pieces. A piece with white space at an end, or none, has no ids of its own.
+        """Encode words that the library must cut. One with white space at an end has no ids of its own.
 
-        Pieces without a line feed go through the library in runs with line feeds between them: a line feed is then a
-        token of its own and marks where a piece ends.
+        They go through the library in runs with line feeds between them: a line feed is then a token of its own and marks
+        where a word ends.
         """
         plain, other = [], []
         for raw in pieces:
             p = raw.decode("utf-8", "replace")
-            if not p.strip() or p[-1].isspace() or p[p[0] == " "].isspace():
+            if p[-1].isspace() or p[p[0] == " "].isspace():
                 self.known[raw] = None
             else:
-                (other if "\n" in p or any(x in raw for x in self.added) else plain).append((raw, p))
+                (other if any(x in raw for x in self.added) else plain).append((raw, p))
         for at in range(0, len(plain), 20_000):
             part = plain[at : at + 20_000]
             ids = np.array(self.batch(["\n".join(p for _, p in part)], add_special_tokens=False)[0].ids, dtype="<u4")
@@ -89,21 +142,28 @@ class TextEncoder:
             self.known.update((k, found[a:b]) for (k, _), a, b in zip(part, starts, [*(cuts * 4).tolist(), len(found)], strict=True))
         self.known.update(zip((k for k, _ in other), self.whole([p for _, p in other]), strict=True))
 
-    def look_up(self, pieces: list[bytes]) -> list[bytes | None]:
+    def look_up(self, pieces: list[bytes], odd: list[bool]) -> list[bytes | None]:
         """Ids of pieces. Of the cache's two generations the older goes when the newer is full."""
         if len(self.known) > self.cached // 2:
             self.old.clear()
             self.old.update(self.known)
             self.known.clear()
-        new = []
-        for p in pieces:
-            if p not in self.known:
-                if p in self.old:
-                    self.known[p] = self.old[p]
+        known, old, run, letters = self.known, self.old, self.model.tokenize, self.letters
+        new, words, ids, cuts = [], [], [], [0]
+        for p, by_library in zip(pieces, odd, strict=True):
+            if p not in known:
+                if p in old:
+                    known[p] = old[p]
+                elif by_library:
+                    words.append(p)
                 else:
+                    ids += [x.id for x in run(p.decode("latin-1").translate(letters))]
                     new.append(p)
-        self.learn(new)
-        return list(map(self.known.__getitem__, pieces))
+                    cuts.append(4 * len(ids))
+        found = np.array(ids, "<u4").tobytes()
+        known.update((p, found[a:b]) for p, a, b in zip(new, cuts, cuts[1:], strict=False))
+        self.learn(words)
+        return list(map(known.__getitem__, pieces))
 
     def with_added(self, data: bytes, bounds: np.ndarray) -> np.ndarray:
         """Rows that hold the text of an added token."""
@@ -118,29 +178,25 @@ class TextEncoder:
     def encode(self, t: Texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows, one after another, and how many each row has."""
         rows, n = len(t.bounds) - 1, len(t.data)
-        cut = t.data == 0x20
-        inner = np.flatnonzero(cut)
-        start = np.union1d(inner, t.bounds[:-1][np.diff(t.bounds) > 0])
         if not self.by_piece or not n:
             return self.joined(self.whole([t.text(i).decode("utf-8", "replace") for i in range(rows)]))
-        end = np.append(start[1:], n)
-        row = np.searchsorted(t.bounds, start, side="right") - 1
-        data = t.data.tobytes()
-        _, at, back = np.unique(word_hash(t.data, start, end), return_index=True, return_inverse=True)
-        # Spans under one hash are one piece: held against its length, first and last bytes.
-        eight, size = eights(t.data), end - start
-        if any((x != x[at][back]).any() for x in (size, eight[start] & KEEP[np.minimum(size, 8)], eight[np.maximum(start, end - 8)] & KEEP[np.minimum(size, 8)])):
-            return self.joined(self.whole([t.text(i).decode("utf-8", "replace") for i in range(rows)]))
-        found = self.look_up([data[a:b] for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)])
-        odd = np.array([x is None for x in found])
+        start, by_library = pieces_of(t)
+        buffers = [None, pa.py_buffer(np.append(start, n)), pa.py_buffer(t.data)]
+        coded = pa.Array.from_buffers(pa.large_binary(), len(start), buffers).dictionary_encode()
+        back, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        odd = np.zeros(len(distinct), bool)
+        odd[back[by_library]] = True
+        found = self.look_up(distinct, odd.tolist())
         pool = np.frombuffer(b"".join(x or b"" for x in found), "<u4")
         size = np.array([len(x or b"") // 4 for x in found], dtype=np.int64)
         begin = np.cumsum(size) - size
         lengths = size[back]
         ends = np.cumsum(lengths)
         ids = pool[np.repeat(begin[back] - (ends - lengths), lengths) + np.arange(ends[-1])]
-        per_row = np.bincount(row, weights=lengths, minlength=rows).astype(np.int64)
-        whole = np.union1d(row[odd[back]], self.with_added(data, t.bounds))
+        per_row = np.diff(np.append(0, ends)[np.searchsorted(start, t.bounds)])
+        unknown = np.array([x is None for x in found])
+        of_unknown = np.searchsorted(t.bounds, start[unknown[back]], side="right") - 1
+        whole = np.union1d(of_unknown, self.with_added(t.data.tobytes(), t.bounds))
         if not len(whole):
             return ids, per_row
         stops = np.cumsum(per_row)
@@ -171,7 +227,7 @@ def encoder(path: str, end_id: int, layout: Layout):
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, types, strict=True)], names)
 
         for batch in batches:
-            for t in runs(batch.column(1)):
+            for t in runs(batch.column(1), RUN_BYTES):
                 ids, sizes = encode.encode(t)
                 with_end = sizes + 1
                 out = np.full(len(ids) + len(sizes), end_id, dtype=width)
@@ -258,7 +314,8 @@ def write_token_files(
     mark, copy = F.xxhash64("text"), F.monotonically_increasing_id()
     dealt = dealt.withColumn("mark", mark).withColumn("copy", copy).repartitionByRange(partitions(spark), "id", "mark", "copy")
     dealt = dealt.sortWithinPartitions("id", "mark").select("id", "text")
-    dealt.mapInArrow(encoder(tokenizer, end_id, layout), CHUNKS).write.parquet(f"{path}/encoded")
+    with small_batches(spark):
+        dealt.mapInArrow(encoder(tokenizer, end_id, layout), CHUNKS).write.parquet(f"{path}/encoded")
     rows = spark.read.parquet(f"{path}/encoded")
     from tokenizers import Tokenizer
 

@@ -1,5 +1,6 @@
 """Words that a sum of powers cannot tell apart, added tokens, and rows without an id or with one that comes again."""
 
+import itertools
 from collections import Counter
 
 import numpy as np
@@ -72,6 +73,26 @@ def test_token_files_of_twins_and_added_tokens(spark):
     assert ids == sorted(ids, key=lambda x: (x is not None, x or 0))
 
 
+def test_pieces_have_the_library_s_ids():
+    """All rows of up to three signs of all kinds, and mixed texts; few of them need the library whole, and words it has seen no second time."""
+    plain = Tokenizer.from_file(tokenizer_file())
+    kinds = ["a", "B", "\u00e9", "7", ".", "*", "'s", "'", " ", " ", "\n", "\t", "\r\n", "\u00d7", "\u4e2d", "\u00a0", "\u2028", "\x1c", "\x85", "\u0301"]
+    texts = ["".join(x) for n in range(1, 4) for x in itertools.product(kinds, repeat=n)]
+    rng = np.random.default_rng(5)
+    texts += ["".join(rng.choice(kinds, n)) for n in rng.integers(4, 40, 3000)]
+    enc = token_files.TextEncoder(tokenizer_file(), 1000)
+    ids, sizes = enc.encode(next(W.runs(pa.array(texts), 1 << 24)))
+    want = [x.ids for x in plain.encode_batch(texts, add_special_tokens=False)]
+    assert sizes.tolist() == list(map(len, want)) and ids.tolist() == [i for x in want for i in x]
+
+    prose = ["Word, 12 words.\nAnd *** caf\u00e9  so", "so words.\n\nAnd\n", "\t12 caf\u00e9"] * 50
+    enc.known.clear(), enc.old.clear()
+    enc.whole, enc.learn = None, lambda words: words and pytest.fail("a plain word went through all of the library")
+    ids, _ = enc.encode(next(W.runs(pa.array(prose), 1 << 24)))
+    assert ids.tolist() == [i for x in plain.encode_batch(prose, add_special_tokens=False) for i in x.ids]
+    assert len(enc.known) < 25
+
+
 def test_twins_in_the_pair_joins(spark):
     a, b = twins(1024)
     tail = " ".join(f"w{k}" for k in range(4))
