@@ -443,8 +443,8 @@ class Codes(NamedTuple):
     code: np.ndarray
 
 
-#: Codes that features share, at most.
-SHARED = 2048
+#: Codes that features share, at most; they stay in a core's cache and below 2**15.
+SHARED = 8192
 
 
 def fused(bins: np.ndarray) -> list[Codes]:

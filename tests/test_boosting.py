@@ -224,3 +224,16 @@ def test_numbers_handed_over_come_back_whole():
     assert [len(x) for x in held] == [12, 16]
     assert B.thick([pa.scalar(x, pa.binary()) for x in held], sizes).tolist() == [*small, *large]
     assert B.thin(None, np.arange(3)) == b"" and B.thick([pa.scalar(b"", pa.binary())], [3]) is None
+
+
+def test_features_of_some_sixty_bins_share_a_code():
+    """Two codes for five features, and the sums are those of each feature by itself."""
+    rng = np.random.default_rng(3)
+    bins = np.stack([rng.integers(0, n, 5000) for n in (60, 3, 65, 110, 2)]).astype(np.uint8)
+    codes = B.fused(bins)
+    assert sorted(len(c.features) for c in codes) == [2, 3]
+    g, h = rng.integers(-1 << 27, 1 << 27, 5000), rng.integers(0, 1 << 26, 5000)
+    mine = np.flatnonzero(rng.random(5000) < 0.4)
+    for f, sums in enumerate(B.histogram(codes, mine, g, h).transpose(1, 0, 2)):
+        for weight, got in zip((g, h, np.ones(5000, np.int64)), sums, strict=True):
+            assert got.tolist() == np.bincount(bins[f, mine], weight[mine], 256).astype(np.int64).tolist()
