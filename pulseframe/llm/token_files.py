@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe.llm import rans
-from pulseframe.llm.bytewords import SPACES, Texts, begin, process_cache, runs
+from pulseframe.llm.bytewords import BASE, KEEP, SPACES, Texts, begin, eights, mix, process_cache, runs
 from pulseframe.llm.exprs import partitions, small_batches
 
 CHUNKS = "part int, seq int, local_first long, n_tokens long, doc_ids array<long>, lengths array<int>, tokens binary"
@@ -35,13 +35,17 @@ RUN_BYTES = 1 << 21
 
 
 class Layout(NamedTuple):
-    """Tokens of a file at most (whole documents, so a longer document makes a longer file), of a block, and its lanes."""
+    """Tokens of a file at most (whole documents, so a longer document makes a longer file), of a block, and its lanes.
+
+    A worker keeps the ids of so many words that the library cuts, and of so many short pieces.
+    """
 
     file_tokens: int = 1 << 22
     row_tokens: int = 1 << 20
     block_tokens: int = 1 << 18
     lanes: int = 1024
-    cached_pieces: int = 400_000
+    cached_pieces: int = 200_000
+    short_pieces: int = 1 << 20
 
 
 #: Classes of bytes; no class: signs that the library must judge.
@@ -90,20 +94,84 @@ def pieces_of(t: Texts) -> tuple[np.ndarray, np.ndarray]:
     return start, kind[np.append(start[1:], n) - 1] == 0
 
 
+#: Bytes of a piece that two whole numbers hold, with its length.
+SHORT = 15
+
+
+def short_keys(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of up to ``SHORT`` bytes as two whole numbers each, which are equal for equal pieces only."""
+    eight = eights(data)
+    low = eight[start] & KEEP[np.minimum(length, 8)]
+    high = eight[np.minimum(start + 8, len(data))] & KEEP[np.clip(length - 8, 0, 7)]
+    return low, high | length.astype(np.uint64) << np.uint64(56)
+
+
+class ShortPieces:
+    """Ids of up to ``most`` short pieces, in arrays: found by a hash of their keys, told apart by the keys themselves."""
+
+    def __init__(self, most: int):
+        self.most, self.n, self.turn = most, 0, 0
+        self.hash, self.row = np.empty(0, np.uint64), np.empty(0, np.int32)
+        self.low, self.high = np.empty(most, np.uint64), np.empty(most, np.uint64)
+        self.begin, self.size, self.used = (np.empty(most, np.int32) for _ in range(3))
+        self.pool = np.empty(0, "<u4")
+
+    @staticmethod
+    def hashed(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        return mix(low ^ mix(high + np.uint64(BASE)))
+
+    def find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The row of each piece, -1 for those that are not here."""
+        self.turn += 1
+        if not self.n:
+            return np.full(len(low), -1)
+        row = self.row[np.minimum(np.searchsorted(self.hash, self.hashed(low, high)), self.n - 1)]
+        row = np.where((self.low[row] == low) & (self.high[row] == high), row, -1)
+        self.used[row[row >= 0]] = self.turn
+        return row
+
+    def add(self, low: np.ndarray, high: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        """Take new pieces in. Without room for them, the half that was used last stays; more than ``most`` are not taken."""
+        if self.n + len(low) > self.most:
+            self.keep(np.sort(np.argsort(-self.used[: self.n], kind="stable")[: max(0, min(self.most // 2, self.most - len(low)))]))
+        if len(low) > self.most:
+            return
+        a, b = self.n, self.n + len(low)
+        self.low[a:b], self.high[a:b], self.size[a:b], self.used[a:b] = low, high, size, self.turn
+        self.begin[a:b] = len(self.pool) + np.cumsum(size) - size
+        self.pool, self.n = np.concatenate([self.pool, ids]), b
+        h = self.hashed(low, high)
+        order = np.argsort(h)
+        at = np.searchsorted(self.hash, h[order])
+        self.hash, self.row = np.insert(self.hash, at, h[order]), np.insert(self.row, at, a + order)
+
+    def keep(self, rows: np.ndarray) -> None:
+        size, ends = self.size[rows], np.cumsum(self.size[rows], dtype=np.int64)
+        self.pool = self.pool[np.repeat(self.begin[rows] - (ends - size), size) + np.arange(size.sum())]
+        n = self.n = len(rows)
+        self.low[:n], self.high[:n], self.used[:n], self.size[:n], self.begin[:n] = self.low[rows], self.high[rows], self.used[rows], size, ends - size
+        h = self.hashed(self.low[:n], self.high[:n])
+        order = np.argsort(h)
+        self.hash, self.row = h[order], order.astype(np.int32)
+
+
 class TextEncoder:
     """Ids of whole texts by a ``tokenizers`` file.
 
     Where its pre-tokenizer is the byte-level one, ids of a text are those of its pieces (``pieces_of``) in order. Each distinct
-    piece goes through the library's model once while it stays in the cache, which knows it by its bytes; words that the library
-    must cut go through all of it. Texts whose words have other white space at their ends, or with the text of one of the
-    tokenizer's added tokens in them, go through it whole.
+    piece goes through the library's model once while it stays in a cache, which knows it by its bytes: short pieces in arrays
+    (``ShortPieces``), others in a dictionary. Words that the library must cut go through all of it. Texts whose words have other
+    white space at their ends, or with the text of one of the tokenizer's added tokens in them, go through it whole.
     """
 
-    def __init__(self, path: str, cached: int):
+    def __init__(self, path: str, cached: int, short: int = Layout().short_pieces):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        held = process_cache(f"tokenizer {path}")
+        if "it" not in held:
+            held["it"] = Tokenizer.from_file(path)
+        self.tokenizer = held["it"]
         self.model = self.tokenizer.model
         self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         cutter, self.letters = str(self.tokenizer.pre_tokenizer), byte_letters()
@@ -112,6 +180,8 @@ class TextEncoder:
             and all(self.tokenizer.token_to_id(x) is not None for x in self.letters)
         )
         self.cached, self.known, self.old = cached, process_cache(f"new pieces {path}"), process_cache(f"old pieces {path}")
+        tables = process_cache(f"short pieces {path}")
+        self.short = tables.setdefault(short, ShortPieces(short))
         self.line_feed = self.tokenizer.token_to_id("\u010a")
         self.batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
 
@@ -142,29 +212,57 @@ class TextEncoder:
             self.known.update((k, found[a:b]) for (k, _), a, b in zip(part, starts, [*(cuts * 4).tolist(), len(found)], strict=True))
         self.known.update(zip((k for k, _ in other), self.whole([p for _, p in other]), strict=True))
 
+    def tokens_of(self, pieces: list[bytes]) -> tuple[np.ndarray, list[int]]:
+        """Ids of pieces that need no further cutting, one after another, and where each piece's ids start, the end last."""
+        ids, cuts, run, a = [], [0], self.model.tokenize, 0
+        text = b"".join(pieces).decode("latin-1").translate(self.letters)
+        for n in map(len, pieces):
+            ids += [x.id for x in run(text[a : a + n])]
+            cuts.append(len(ids))
+            a += n
+        return np.array(ids, "<u4"), cuts
+
     def look_up(self, pieces: list[bytes], odd: list[bool]) -> list[bytes | None]:
         """Ids of pieces. Of the cache's two generations the older goes when the newer is full."""
         if len(self.known) > self.cached // 2:
             self.old.clear()
             self.old.update(self.known)
             self.known.clear()
-        known, old, run, letters = self.known, self.old, self.model.tokenize, self.letters
-        new, words, ids, cuts = [], [], [], [0]
+        known, old, words, new = self.known, self.old, [], []
         for p, by_library in zip(pieces, odd, strict=True):
             if p not in known:
                 if p in old:
                     known[p] = old[p]
-                elif by_library:
-                    words.append(p)
                 else:
-                    ids += [x.id for x in run(p.decode("latin-1").translate(letters))]
-                    new.append(p)
-                    cuts.append(4 * len(ids))
-        found = np.array(ids, "<u4").tobytes()
-        known.update((p, found[a:b]) for p, a, b in zip(new, cuts, cuts[1:], strict=False))
+                    (words if by_library else new).append(p)
+        ids, cuts = self.tokens_of(new)
+        found = ids.tobytes()
+        known.update((p, found[4 * a : 4 * b]) for p, a, b in zip(new, cuts, cuts[1:], strict=False))
         self.learn(words)
         return list(map(known.__getitem__, pieces))
 
+    def ids_of(self, pieces: pa.Array, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of distinct pieces: a pool of ids, where in it each piece's ids are, how many, and which pieces have none of their own."""
+        _, offsets, data = pieces.buffers()
+        offsets, data = np.frombuffer(offsets, np.int64)[: len(pieces) + 1], np.frombuffer(data, np.uint8)
+        length = np.diff(offsets)
+        short = np.flatnonzero((length <= SHORT) & ~odd)
+        others = np.flatnonzero((length > SHORT) | odd)
+        first, size, none = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64), np.zeros(len(pieces), bool)
+        low, high = short_keys(data, offsets[short], length[short])
+        row = self.short.find(low, high)
+        is_new = row < 0
+        new, known = short[is_new], short[~is_new]
+        first[known], size[known] = self.short.begin[row[~is_new]], self.short.size[row[~is_new]]
+        ids, cuts = self.tokens_of(pieces.take(pa.array(new)).to_pylist())
+        size[new], first[new] = np.diff(cuts), len(self.short.pool) + np.array(cuts[:-1], np.int64)
+        found = self.look_up(pieces.take(pa.array(others)).to_pylist(), odd[others].tolist())
+        size[others], none[others] = [len(x or b"") // 4 for x in found], [x is None for x in found]
+        first[others] = len(self.short.pool) + len(ids) + np.cumsum(size[others]) - size[others]
+        pool = np.concatenate([self.short.pool, ids, np.frombuffer(b"".join(x or b"" for x in found), "<u4")])
+        self.short.add(low[is_new], high[is_new], ids, size[new])
+        return pool, first, size, none
+
     def with_added(self, data: bytes, bounds: np.ndarray) -> np.ndarray:
         """Rows that hold the text of an added token."""
         found = []
@@ -183,18 +281,14 @@ class TextEncoder:
         start, by_library = pieces_of(t)
         buffers = [None, pa.py_buffer(np.append(start, n)), pa.py_buffer(t.data)]
         coded = pa.Array.from_buffers(pa.large_binary(), len(start), buffers).dictionary_encode()
-        back, distinct = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        odd = np.zeros(len(distinct), bool)
+        back = coded.indices.to_numpy()
+        odd = np.zeros(len(coded.dictionary), bool)
         odd[back[by_library]] = True
-        found = self.look_up(distinct, odd.tolist())
-        pool = np.frombuffer(b"".join(x or b"" for x in found), "<u4")
-        size = np.array([len(x or b"") // 4 for x in found], dtype=np.int64)
-        begin = np.cumsum(size) - size
+        pool, first, size, unknown = self.ids_of(coded.dictionary, odd)
         lengths = size[back]
         ends = np.cumsum(lengths)
-        ids = pool[np.repeat(begin[back] - (ends - lengths), lengths) + np.arange(ends[-1])]
+        ids = pool[np.repeat(first[back] - (ends - lengths), lengths) + np.arange(ends[-1])]
         per_row = np.diff(np.append(0, ends)[np.searchsorted(start, t.bounds)])
-        unknown = np.array([x is None for x in found])
         of_unknown = np.searchsorted(t.bounds, start[unknown[back]], side="right") - 1
         whole = np.union1d(of_unknown, self.with_added(t.data.tobytes(), t.bounds))
         if not len(whole):
@@ -216,7 +310,7 @@ def encoder(path: str, end_id: int, layout: Layout):
 
         begin("token files")
         part, seq, first = TaskContext.get().partitionId(), 0, 0
-        encode = TextEncoder(path, layout.cached_pieces)
+        encode = TextEncoder(path, layout.cached_pieces, layout.short_pieces)
         width = np.dtype("<u2" if encode.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         doc_ids, lengths, parts, n = [], [], [], 0
 

@@ -157,3 +157,33 @@ def test_leaks_take_their_own_rows_only(spark):
     got = kept(C.without_leaks(spark, documents(spark, rows), SF))
     assert got == sorted([(None, BASE), (4, OTHER), (6, None), (6, ""), (8, OTHER), (8, OTHER)], key=str)
     assert C.without_leaks(spark, documents(spark, []), SF).count() == 0
+
+
+def test_short_pieces_are_kept_in_arrays():
+    """Plain short words go through the library's model once, take no place among Python's objects, and come back right after others went."""
+    plain = Tokenizer.from_file(tokenizer_file())
+    rng = np.random.default_rng(8)
+    texts = [" ".join("".join(rng.choice(list("abcdef0.é"), n)) for n in rng.integers(1, 20, 60)) + "\x00" * (k % 3) for k in range(60)] + [None, ""]
+    want = [x.ids for x in plain.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+    class Counted:
+        def __init__(self, model):
+            self.model, self.n = model, 0
+
+        def tokenize(self, text):
+            self.n += 1
+            return self.model.tokenize(text)
+
+    for most, again in ((5, True), (300, True), (1 << 16, False)):
+        enc = token_files.TextEncoder(tokenizer_file(), 10_000, most)
+        enc.known.clear(), enc.old.clear()
+        enc.model = Counted(enc.model)
+        for _ in range(2):
+            before = enc.model.n
+            for t in W.runs(pa.array(texts), 2000):
+                ids, sizes = enc.encode(t)
+                mine = want[t.first : t.first + len(sizes)]
+                assert sizes.tolist() == list(map(len, mine)) and ids.tolist() == [i for x in mine for i in x]
+                assert enc.short.n <= most
+        assert (enc.model.n > before) == again
+        assert all(len(p) > token_files.SHORT or not p.isalnum() for p in map(bytes.strip, enc.known))
