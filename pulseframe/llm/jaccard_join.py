@@ -39,11 +39,13 @@ from pulseframe.llm.bytewords import begin, mix, runs, shingle_sets, trim
 from pulseframe.llm.components import components
 from pulseframe.llm.exprs import free_shuffles, partitions, small_batches
 from pulseframe.llm.keycount import bucket_of
-from pulseframe.session import pin
+from pulseframe.session import parts_of, pin
 
 #: A chunk ends with so many shingles, or documents.
 CHUNK_KEYS = 1 << 18
 CHUNK_DOCS = 1 << 16
+#: Documents whose sets, lists and pairs go to a partition, about: however many a shuffle has, no more partitions are written.
+PART_DOCS = 1 << 12
 LONG = 64
 LOW48 = np.uint64((1 << 48) - 1)
 PARTS = "bucket int, chunk long, kind int, counts binary, keys binary, ids array<long>, marks array<long>, sets array<binary>"
@@ -293,9 +295,13 @@ class SetJoin:
         parts = self.slim.mapInArrow(sender(buckets, False, of_texts(size)), PARTS)
         counted = parts.groupBy("bucket").applyInArrow(count_lists(False), PARTS)
         schema = "doc_id long, mark long, set_id binary, n long, shared long"
-        self.docs = pin(counted.groupBy("chunk").applyInArrow(per_document, schema))
+        self.parts = parts_of(self.spark, self.slim.count(), PART_DOCS)
+        self.docs = self.pin(counted.groupBy("chunk").applyInArrow(per_document, schema))
         free_shuffles(self.spark)
 
+    def pin(self, df: DataFrame) -> DataFrame:
+        return pin(df, self.parts)
+
     def candidates(self) -> tuple[DataFrame, DataFrame]:
         """Sets that may have a partner, with their hashes; and their short lists: (shingle, long, set_id, n), with the number
         of shingles whose lists are not long and the name of the set of the others."""
@@ -304,11 +310,11 @@ class SetJoin:
         classes = self.docs.where(F.col("set_id").isNotNull() & enough).groupBy("set_id").agg(F.min(first).alias("at"))
         asked = classes.select("set_id", F.col("at.doc_id").alias("id_"), F.col("at.mark").alias("mark_"))
         texts = self.slim.join(asked, F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("mark") == F.col("mark_")))
-        sets = pin(texts.select("set_id", "text").mapInArrow(own_sets(self.size), "set_id binary, hashes binary").dropDuplicates(["set_id"]))
+        sets = self.pin(texts.select("set_id", "text").mapInArrow(own_sets(self.size), "set_id binary, hashes binary").dropDuplicates(["set_id"]))
         free_shuffles(self.spark)
         parts = sets.mapInArrow(sender(2 * partitions(self.spark), True, of_sets), PARTS)
         counted = parts.groupBy("bucket").applyInArrow(count_lists(True), PARTS)
-        lists = pin(counted.groupBy("chunk").applyInArrow(short_lists(self.percent), "set_id binary, n long, own long, common binary, shingle long, long boolean, pos long"))
+        lists = self.pin(counted.groupBy("chunk").applyInArrow(short_lists(self.percent), "set_id binary, n long, own long, common binary, shingle long, long boolean, pos long"))
         free_shuffles(self.spark)
         return sets, lists
 
@@ -333,7 +339,7 @@ class SetJoin:
     def mixed(self, lists: DataFrame) -> DataFrame:
         """The lists with sets of more than one label."""
         some = lists.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("shingle")
-        return pin(lists.join(some, "shingle", "left_semi"))
+        return self.pin(lists.join(some, "shingle", "left_semi"))
 
     def cross_pairs(self, lists: DataFrame, every: bool = False) -> DataFrame:
         """Pairs of sets in one short list that are of different labels; of a long list those with a set that stands for
@@ -372,16 +378,16 @@ def jaccard_components(docs: DataFrame, percent: int = 80, size: int = 5, doc_id
     with small_batches(docs.sparkSession):
         join = SetJoin(docs, percent, size, doc_id, text)
         sets, lists = join.candidates()
-        links = pin(join.links(join.head_pairs(lists, F.col("own"), (-F.col("n")).alias("size")), sets))
+        links = join.pin(join.links(join.head_pairs(lists, F.col("own"), (-F.col("n")).alias("size")), sets))
         known = join.mixed(join.labelled(lists, links))
-        links = pin(links.union(join.links(join.head_pairs(known), sets)))
+        links = join.pin(links.union(join.links(join.head_pairs(known), sets)))
         free_shuffles(join.spark)
         known = join.mixed(join.labelled(known, links))
-        links = pin(links.union(join.links(join.cross_pairs(known), sets)))
+        links = join.pin(links.union(join.links(join.cross_pairs(known), sets)))
         free_shuffles(join.spark)
     labels = components(links).select(F.col("node").alias("set_id"), "label")
     classes = join.docs.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("first"))
-    classes = pin(classes.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id")))
+    classes = join.pin(classes.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id")))
     named = classes.join(classes.groupBy("label").agg(F.min("first").alias("component_id")), "label").select("set_id", "component_id")
     out = join.docs.join(named, "set_id", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))

@@ -31,7 +31,7 @@ from pulseframe.llm.exprs import partitions, small_batches
 CHUNKS = "part int, seq int, local_first long, n_tokens long, doc_ids array<long>, lengths array<int>, tokens binary"
 DOCS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 #: Bytes of text that are cut and looked up at once.
-RUN_BYTES = 1 << 21
+RUN_BYTES = 1 << 20
 
 
 class Layout(NamedTuple):
@@ -287,7 +287,10 @@ class TextEncoder:
         pool, first, size, unknown = self.ids_of(coded.dictionary, odd)
         lengths = size[back]
         ends = np.cumsum(lengths)
-        ids = pool[np.repeat(first[back] - (ends - lengths), lengths) + np.arange(ends[-1])]
+        kind = np.int32 if max(len(pool), ends[-1]) < 1 << 31 else np.int64
+        at = np.repeat((first[back] - (ends - lengths)).astype(kind), lengths)
+        at += np.arange(ends[-1], dtype=kind)
+        ids = pool[at]
         per_row = np.diff(np.append(0, ends)[np.searchsorted(start, t.bounds)])
         of_unknown = np.searchsorted(t.bounds, start[unknown[back]], side="right") - 1
         whole = np.union1d(of_unknown, self.with_added(t.data.tobytes(), t.bounds))
@@ -414,7 +417,8 @@ def write_token_files(
     from tokenizers import Tokenizer
 
     width = "<u2" if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 else "<u4"
-    found = rows.select("tokens").mapInArrow(counter(width), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    with small_batches(spark):
+        found = rows.select("tokens").mapInArrow(counter(width), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r["id"] for r in found), default=0) + 1, np.int64)
     for r in found:
         counts[r["id"]] = r["n"]
@@ -424,7 +428,8 @@ def write_token_files(
     for r in rows.groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect():
         before[r["part"]], total = total, total + r["n"]
     listed = "file string, first_token long, n_tokens long, n_docs long, n_bytes long"
-    rows.mapInArrow(writer(f"{path}/files", freq, before, width, layout), listed).write.parquet(f"{path}/manifest")
+    with small_batches(spark):
+        rows.mapInArrow(writer(f"{path}/files", freq, before, width, layout), listed).write.parquet(f"{path}/manifest")
     return spark.read.parquet(f"{path}/manifest")
 
 

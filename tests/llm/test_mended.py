@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline as C
 from pulseframe.llm import bytewords as W
 from pulseframe.llm import jaccard_join, mixing, substrings, token_files
+from pulseframe.llm.components import components
 from pulseframe.llm.queries import tokenizer_file
 from pulseframe.session import scratch
 
@@ -187,3 +188,25 @@ def test_short_pieces_are_kept_in_arrays():
                 assert enc.short.n <= most
         assert (enc.model.n > before) == again
         assert all(len(p) > token_files.SHORT or not p.isalnum() for p in map(bytes.strip, enc.known))
+
+
+def test_few_rows_are_written_to_few_files(spark):
+    """However many partitions a shuffle has: a file for each, of 200 and mostly empty, is what a step over few documents wrote before."""
+    rows = [(k, f"one two three four five six seven eight nine {k % 7}") for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    held = {"spark.sql.shuffle.partitions": "200", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    most = 2 * spark.sparkContext.defaultParallelism
+    assert most < 200
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        join = jaccard_join.SetJoin(df, 80, 5, "doc_id", "text")
+        sets, lists = join.candidates()
+        links = spark.createDataFrame([(b"a", b"b"), (b"c", b"b"), (b"d", b"e")], "a binary, b binary")
+        named = components(links)
+        assert all(0 < x.rdd.getNumPartitions() <= most for x in (join.docs, sets, lists, named))
+        assert sorted((bytes(n), bytes(label)) for n, label in named.collect()) == [(b"a", b"a"), (b"b", b"a"), (b"c", b"a"), (b"d", b"d"), (b"e", b"d")]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
