@@ -6,26 +6,36 @@ them together, a wave at a time: each task brings its blocks' margins up to date
 the trees as far as they have grown and adds up gradients per node, feature and bin; one aggregate adds the tasks' sums. Of two
 sibling nodes only the smaller one is counted, the other is the parent less its sibling.
 
+Where all cores can run at the same time, they grow the trees together in one job (``grown_together``): each task of a barrier stage keeps its rows
+with their margins, and for every wave writes its sums to a file in the shared folder, a part of it for each task. A task adds up its part, some of the
+features, and tells the others the best split of each node; all then split alike. The driver sees the finished trees only. Where the tasks
+cannot all run at once, or a task would hold more than ``HELD`` rows, each wave is a job and the driver splits, as told below.
+
 A tree grows best-first: of all its open leaves the one with the highest gain is split next, until it has enough leaves. A wave
 asks for the children of every open leaf that the remaining splits could still reach, so a tree takes as many waves as it has
 levels, not splits. A node of at most ``SMALL`` rows is not taken further in waves: one last pass deals the rows of all such nodes to
 tasks, a node each, which grow what is left of the tree below it; the splits so found compete with the others by gain. Gradients are rounded to whole numbers of a small unit and summed as such: sums, and so trees, do not
-depend on how the rows are dealt. The driver holds histograms of one round (outputs x leaves x features x bins) and the trees.
+depend on how the rows are dealt. Of a wave that is a job the driver holds the histograms of a round (outputs x leaves x features x bins).
 """
 
 from __future__ import annotations
 
 import heapq
+import json
 import math
+import pickle
 import sys
-from collections.abc import Iterator
+import time
+import uuid
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field, replace
 from functools import cached_property
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyarrow import fs
+from pyspark import BarrierTaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +50,9 @@ MISSING = 255
 BLOCK_ROWS = 1 << 16
 #: Rows of a node that one task may grow on alone (some 200 bytes each at a dozen features, so 200 MB).
 SMALL = 1 << 20
+#: Rows that a task of ``grown_together`` may hold (some 120 bytes each for four outputs, so 1 GB), and rows for which one more task pays.
+HELD = 1 << 23
+TASK_ROWS = 1 << 12
 #: Rounds after which the margins are written with the rows, so that tasks catch up with few trees.
 REFRESH = 10
 #: Least sum of second derivatives on each side of a split.
@@ -207,9 +220,13 @@ class Growing:
 
     def best_split(self, node: Node) -> tuple | None:
         """The split of the highest gain; of equal ones missing values right before left, then the first feature and cut."""
+        found = self.best_among(node, self.features, node.sums[:, list(self.features)])
+        return found and (found[0], *found[2:])
+
+    def best_among(self, node: Node, features: tuple[int, ...], chosen: np.ndarray) -> tuple | None:
+        """The best split on some features, whose sums are ``chosen``: gain, side that missing values were tried on, and the rest of the split."""
         if node.total[2] < 2 * self.growth.smallest_leaf:
             return None
-        chosen = node.sums[:, list(self.features)]
         total = np.array(node.total, np.int64)
         upto = np.cumsum(chosen[:, :, :MISSING], axis=2)
         sides = np.stack([upto, upto + chosen[:, :, MISSING:]])  # (missing right or left, sum, feature, cut)
@@ -227,7 +244,7 @@ class Growing:
         left = tuple(int(x) for x in sides[side, :, feature, cut])
         no_missing = chosen[2, feature, MISSING] == 0
         missing_left = 2 * left[2] > node.total[2] if no_missing else side == 1
-        return float(gain[side, feature, cut]), self.features[feature], cut, bool(missing_left), left
+        return float(gain[side, feature, cut]), side, features[feature], cut, bool(missing_left), left
 
     def _worth(self, g, h):
         g = np.asarray(g, np.float64) * self.unit[0]
@@ -237,6 +254,11 @@ class Growing:
         """Splits as far as the tree has been opened, parents first."""
         return [(i, *x.split[1:4], x.left, x.right) for i, x in enumerate(self.nodes) if x.left >= 0]
 
+    def value(self, number: int) -> float:
+        """Of a leaf, with the step in it."""
+        g, h = self.nodes[number].total[0] * self.unit[0], self.nodes[number].total[1] * self.unit[1]
+        return -self.growth.step * g / h if h > 0 else 0.0
+
     def finished(self) -> Tree:
         keep, number = set(self.accepted), {0: 0}
         order = [0]
@@ -251,8 +273,7 @@ class Growing:
             if node in keep:
                 row = (x.split[1], x.split[2], x.split[3], number[x.left], number[x.right], 0.0)
             else:
-                g, h = x.total[0] * self.unit[0], x.total[1] * self.unit[1]
-                row = (-1, 0, False, -1, -1, -self.growth.step * g / h if h > 0 else 0.0)
+                row = (-1, 0, False, -1, -1, self.value(node))
             for column, value in zip(columns, row, strict=True):
                 column.append(value)
         kinds = (np.int32, np.int32, bool, np.int32, np.int32, np.float64)
@@ -286,42 +307,38 @@ def bin_numbers(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
 def bin_edges(df: DataFrame, columns: list[str], bins: int) -> list[np.ndarray]:
     """Edges of each column, at most ``bins - 1``: between neighbouring distinct values where these are few, else quantiles.
 
-    Two aggregates; the second counts the distinct values of columns for which a sketch says that they are few.
+    A sketch says which columns have few distinct values; these are brought, and the quantiles of the other columns only are worked out.
     """
     if not 2 <= bins <= MISSING:
         raise ValueError(f"bins must be 2 to {MISSING}")
     value = {c: F.when(~F.isnan(ref(c).cast("double")), ref(c).cast("double")) for c in columns}
     points = F.array(*[F.lit(k / bins) for k in range(1, bins)])
-    told = df.agg(*[
-        x for i, c in enumerate(columns)
-        for x in (F.approx_count_distinct(value[c]).alias(f"n{i}"), F.percentile_approx(value[c], points, 100 * bins).alias(f"q{i}"))
-    ]).first()
-    few = [i for i in range(len(columns)) if told[f"n{i}"] <= 2 * bins]
+    about = df.agg(*[F.approx_count_distinct(value[c]).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    few = [i for i in range(len(columns)) if about[f"n{i}"] <= 2 * bins]
     known: dict[int, list[float]] = {i: [] for i in few}
     if few:
         each = F.array(*[F.struct(F.lit(i).alias("i"), value[columns[i]].alias("v")) for i in few])
         for i, v in df.select(F.explode(each).alias("x")).select("x.i", "x.v").where("v IS NOT NULL").distinct().collect():
             known[i].append(v)
-    out = []
-    for i in range(len(columns)):
-        values = np.unique(np.array(known.get(i, []), np.float64))
-        if i in known and len(values) <= bins:
-            out.append((values[1:] + values[:-1]) / 2)
-        else:
-            out.append(np.unique(np.array(told[f"q{i}"] or [], np.float64)))
-    return out
+    exact = {i: values for i, found in known.items() if len(values := np.unique(np.array(found, np.float64))) <= bins}
+    other = [i for i in range(len(columns)) if i not in exact]
+    told = df.agg(*[F.percentile_approx(value[columns[i]], points, 100 * bins).alias(f"q{i}") for i in other]).first() if other else {}
+    return [
+        (exact[i][1:] + exact[i][:-1]) / 2 if i in exact else np.unique(np.array(told[f"q{i}"] or [], np.float64))
+        for i in range(len(columns))]
 
 
-def packed(df: DataFrame, features: list[str], tasks: list[Task], edges: list[np.ndarray], base: np.ndarray) -> DataFrame:
+def packed(
+    df: DataFrame, features: list[str], tasks: list[Task], edges: list[np.ndarray], base: np.ndarray, rows: int = BLOCK_ROWS
+) -> DataFrame:
     """Blocks of rows: bins (feature by row), targets, margins, each as bytes."""
     targets = [t.target for t in tasks]
-    columns = [ref(f).cast("double").alias(f"f{i}") for i, f in enumerate(features)]
-    source = df.select(*columns, *[ref(t).cast("double").alias(f"t{i}") for i, t in enumerate(targets)])
+    source = plain_rows(df, features, tasks)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, BLOCK_ROWS):
-                part = batch.slice(start, BLOCK_ROWS)
+            for start in range(0, batch.num_rows, rows):
+                part = batch.slice(start, rows)
                 column = lambda name: part.column(name).to_numpy(zero_copy_only=False).astype(np.float64)  # noqa: E731, B023
                 bins = np.stack([bin_numbers(column(f"f{i}"), e) for i, e in enumerate(edges)])
                 goals = np.stack([column(f"t{i}") for i in range(len(targets))])
@@ -443,51 +460,279 @@ class Codes(NamedTuple):
     code: np.ndarray
 
 
-#: Codes that features share, at most; they stay in a core's cache and below 2**15.
+#: Codes that features share, at most; they stay in a core's cache. Below 2**16; the second is for many rows.
 SHARED = 8192
+SHARED_BY_MANY = 1 << 16
 
 
-def fused(bins: np.ndarray) -> list[Codes]:
+def fused(bins: np.ndarray, shared: int = SHARED) -> list[Codes]:
     """All features of ``bins`` (feature by row), those with the fewest bins together."""
     used = [np.flatnonzero(np.bincount(b, minlength=256)) for b in bins]
     groups: list[list[int]] = []
     size = 0
     for f in sorted(range(len(bins)), key=lambda f: len(used[f])):
         size = size * len(used[f])
-        if not groups or size > SHARED:
+        if not groups or size > shared:
             groups.append([])
             size = len(used[f])
         groups[-1].append(f)
     out = []
     for group in groups:
-        code = np.zeros(bins.shape[1], np.int16)
+        code = np.zeros(bins.shape[1], np.uint16)
         for f in group:
-            rank = np.zeros(256, np.int16)
+            rank = np.zeros(256, np.uint16)
             rank[used[f]] = np.arange(len(used[f]))
-            code *= np.int16(len(used[f]))
+            code *= np.uint16(len(used[f]))
             code += rank.take(bins[f])
         out.append(Codes(tuple(group), tuple(used[f] for f in group), code))
     return out
 
 
 def histogram(codes: list[Codes], mine: np.ndarray, g: np.ndarray, h: np.ndarray | None) -> np.ndarray:
-    """(3, features, 256) sums over the rows ``mine``. Whole numbers far below 2**53: the float sums of a block are exact."""
-    out = np.zeros((3, sum(len(c.features) for c in codes), 256), np.int64)
+    """(3, features, 256) sums over the rows ``mine``."""
     weights = [None if x is None else x.take(mine).astype(np.float64) for x in (g, h)]
-    for features, used, code in codes:
-        shape = tuple(map(len, used))
-        at = code.take(mine).astype(np.intp)
+    return tabulated(codes, (c.code.take(mine) for c in codes), weights)
+
+
+def tabulated(codes: list[Codes], held: Iterable[np.ndarray], weights: list[np.ndarray | None]) -> np.ndarray:
+    """(3, features, 256) sums of rows, whose codes are ``held``. Whole numbers far below 2**53: the float sums of a block are exact."""
+    out = np.zeros((3, sum(len(c.features) for c in codes), 256), np.int64)
+    for (features, used, _), at in zip(codes, held, strict=True):
+        shape, at = tuple(map(len, used)), at.astype(np.intp)
         sums = [None if w is None else np.bincount(at, w, math.prod(shape)) for w in weights] + [np.bincount(at, minlength=math.prod(shape))]
         for i, (f, bins) in enumerate(zip(features, used, strict=True)):
             others = tuple(j for j in range(len(shape)) if j != i)
             for k, each in enumerate(sums):
                 if each is not None:
                     out[k, f, bins] = each.reshape(shape).sum(axis=others)
-    if h is None:
+    if weights[1] is None:
         out[1] = out[2]
     return out
 
 
+def loaded(batches: Iterator[pa.RecordBatch], features: int, targets: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(bins by feature and row, targets) of all rows of a partition of blocks."""
+    bins, goals = [np.zeros((features, 0), np.uint8)], [np.zeros((targets, 0))]
+    for batch in batches:
+        for n, x, y in zip(batch.column("n").to_pylist(), batch.column("bins"), batch.column("targets"), strict=True):
+            bins.append(np.frombuffer(x.as_buffer(), np.uint8).reshape(-1, n))
+            goals.append(np.frombuffer(y.as_buffer(), np.float64).reshape(-1, n))
+    return np.concatenate(bins, axis=1), list(np.concatenate(goals, axis=1))
+
+
+class Exchange:
+    """What tasks of a barrier stage tell one another, by files in a shared folder; a task is killed, and its waiting ends, when another one fails.
+
+    (Spark's own barriers look once a second.) ``parts[task][output]`` has the places (feature x 256 + bin) whose sums a task adds up.
+    """
+
+    def __init__(self, here: BarrierTaskContext, path: str, parts: list[list[np.ndarray]]):
+        self.me, self.of, self.parts, self.turn = here.partitionId(), len(parts), parts, 0
+        self.store, root = fs.FileSystem.from_uri(path if "://" in path or path.startswith("/") else path.replace("file:", "", 1))
+        # A stage that starts again takes a folder of its own.
+        self.root = f"{root}/{here.allGather(uuid.uuid4().hex)[0]}"
+        self.store.create_dir(self.root, recursive=True)
+
+    def _name(self, turn: int, task: int) -> str:
+        return f"{self.root}/{turn}-{task}"
+
+    def _shared(self, chunks: list[bytes], start: int = 0, length: int | None = None) -> list[pa.Buffer]:
+        """Write this task's file of the turn, under its name once it is whole; the files of all tasks, or ``length`` bytes of each."""
+        mine = self._name(self.turn, self.me)
+        with self.store.open_output_stream(f"{mine}.part") as out:
+            for chunk in chunks:
+                out.write(chunk)
+        self.store.move(f"{mine}.part", mine)
+        found = []
+        for task in range(self.of):
+            name, pause = self._name(self.turn, task), 0.0005
+            while self.store.get_file_info(name).type == fs.FileType.NotFound:
+                time.sleep(pause)
+                pause = min(2 * pause, 0.02)
+            with self.store.open_input_file(name) as held:
+                found.append(held.read_buffer() if length is None else held.read_at(length, start))
+        if self.turn:  # all tasks are past the turn before
+            self.store.delete_file(self._name(self.turn - 1, self.me))
+        self.turn += 1
+        return found
+
+    def added_up(self, sums: list[tuple[int, np.ndarray]]) -> list[np.ndarray]:
+        """``sums`` has (output, (3, features, 256)) in an order that is the same in all tasks; gives (3, places) of each."""
+        chunks = [each.reshape(3, -1)[:, part[k]].tobytes() for part in self.parts for k, each in sums]
+        sizes = [3 * sum(len(part[k]) for k, _ in sums) for part in self.parts]
+        total = np.zeros(sizes[self.me], np.int64)
+        for held in self._shared(chunks, 8 * sum(sizes[: self.me]), 8 * sizes[self.me]):
+            total += np.frombuffer(held, np.int64)
+        cuts = np.cumsum([3 * len(self.parts[self.me][k]) for k, _ in sums])[:-1]
+        return [x.reshape(3, -1) for x in np.split(total, cuts)]
+
+    def told(self, mine: list) -> list:
+        """What each task says, to all of them."""
+        return [x for said in self._shared([json.dumps(mine).encode()]) for x in json.loads(said.to_pybytes())]
+
+
+class Held(NamedTuple):
+    """The rows of a task: bins by feature, and the codes of ``codes``, four of a row in a word, so that one look brings four."""
+
+    bins: np.ndarray
+    codes: list[Codes]
+    words: list[np.ndarray]
+
+    @staticmethod
+    def of(bins: np.ndarray) -> Held:
+        codes = fused(bins, SHARED_BY_MANY if bins.shape[1] >= 1 << 18 else SHARED)
+        words = []
+        for at in range(0, len(codes), 4):
+            four = np.zeros((bins.shape[1], 4), np.uint16)
+            for j, c in enumerate(codes[at : at + 4]):
+                four[:, j] = c.code
+            words.append(four.view(np.uint64)[:, 0])
+        return Held(bins, [c._replace(code=None) for c in codes], words)
+
+    def histogram(self, mine: np.ndarray, sums: np.ndarray) -> np.ndarray:
+        """(3, features, 256) sums over the rows ``mine``; ``sums`` are as ``whole_gradients`` gives them."""
+        some = lambda x: x if len(mine) == len(x) else x.take(mine)
+        pairs = some(sums).view(np.int32).reshape(len(mine), sums.itemsize // 4)
+        weights = [pairs[:, i].astype(np.float64) if i < pairs.shape[1] else None for i in range(2)]
+        fours = [some(word).view(np.uint16).reshape(-1, 4) for word in self.words]
+        return tabulated(self.codes, (fours[i // 4][:, i % 4] for i in range(len(self.codes))), weights)
+
+
+class Member:
+    """The rows that a task holds, and the trees of a round as far as they have grown; ``rows[output][node]`` are those of each open node."""
+
+    def __init__(self, held: Held, growing: list[Growing], sums: list[np.ndarray]):
+        self.held, self.growing, self.sums = held, growing, sums
+        every = np.arange(held.bins.shape[1])
+        self.rows = [{0: every} for _ in growing]
+
+    def split(self, k: int) -> None:
+        """Deal the rows of nodes that have got children to these."""
+        rows, nodes = self.rows[k], self.growing[k].nodes
+        waiting = [n for n in rows if nodes[n].left >= 0]
+        while waiting:
+            node = nodes[number := waiting.pop()]
+            mine = rows.pop(number)
+            goes = goes_left(self.held.bins[node.split[1]].take(mine), *node.split[2:4])
+            rows[node.left], rows[node.right] = mine[goes], mine[~goes]
+            waiting += [n for n in (node.left, node.right) if nodes[n].left >= 0]
+
+    def histogram(self, k: int, number: int) -> np.ndarray:
+        return self.held.histogram(self.rows[k][number], self.sums[k])
+
+    def add_to(self, margin: np.ndarray) -> None:
+        """Leaf values; a node that was opened but not split in the end is a leaf, whose rows its children have."""
+        for k, tree in enumerate(self.growing):
+            self.split(k)
+            kept = set(tree.accepted)
+            waiting: list[tuple[int, float | None]] = [(0, None)]
+            while waiting:
+                number, value = waiting.pop()
+                if value is None and number not in kept:
+                    value = tree.value(number)
+                if number in self.rows[k]:
+                    margin[k][self.rows[k][number]] += value
+                else:
+                    waiting += [(n, value) for n in (tree.nodes[number].left, tree.nodes[number].right)]
+
+
+def grown_together(tasks: list[Task], edges: list[np.ndarray], base: np.ndarray, units: list, growth: Growth, n: int, path: str):
+    """Function of the tasks of a barrier stage, which hold all rows between them: the first one gives the trees of all rounds."""
+    owner = [t for t in tasks for _ in range(t.outputs)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here = BarrierTaskContext.get()
+        me, of = here.partitionId(), len(here.getTaskInfos())
+        bins, targets = loaded(batches, len(edges), len(tasks))
+        mine = Held.of(bins)
+        # The features of each output are dealt to the tasks.
+        dealt, own = 0, [[[] for _ in owner] for _ in range(of)]
+        for k, t in enumerate(owner):
+            for f in t.features:
+                own[dealt % of][k].append(f)
+                dealt += 1
+        places = [np.append(np.arange(len(e) + 1), MISSING) for e in edges]
+        flat = [[np.concatenate([np.zeros(0, np.int64), *[f * 256 + places[f] for f in some]]) for some in each] for each in own]
+        exchange = Exchange(here, path, flat)
+        margin = np.repeat(base[:, None], bins.shape[1], axis=1)
+        trees: list[list[Tree]] = []
+        for _ in range(growth.rounds):
+            growing = [Growing(t.features, growth, units[k], n, 0) for k, t in enumerate(owner)]
+            member = Member(mine, growing, whole_gradients(tasks, targets, margin, units))
+            held: list[dict[int, np.ndarray]] = [{} for _ in owner]
+            while any(wanted := [g.wanted() for g in growing]):
+                asked = [(k, node) for k, nodes in enumerate(wanted) for node in nodes]
+                for k, nodes in enumerate(wanted):
+                    if nodes:
+                        member.split(k)
+                sums = exchange.added_up([(k, member.histogram(k, node)) for k, node in asked])
+                brought: list[dict[int, np.ndarray]] = [{} for _ in owner]
+                for (k, node), each in zip(asked, sums, strict=True):
+                    part = np.zeros((3, len(bins), 256), np.int64)
+                    part.reshape(3, -1)[:, flat[me][k]] = each
+                    brought[k][node] = part[:, own[me][k]]
+                told = exchange.told([x for k, g in enumerate(growing) for x in judged(k, g, brought[k], held[k], own[me][k])])
+                settled(growing, told)
+            member.add_to(margin)
+            trees.append([g.finished() for g in growing])
+        if me == 0:
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps([[tuple(t) for t in r] for r in trees])], pa.binary())], ["trees"])
+
+    return run
+
+
+def whole_gradients(tasks: list[Task], targets: list[np.ndarray], margin: np.ndarray, units: list, step: int = 1 << 15) -> list[np.ndarray]:
+    """``gradients`` of all rows and outputs: four bytes each, which the units leave room for, and both of a row in one number where there are
+    two; worked out for some rows at a time."""
+    rows = margin.shape[1]
+    out = [np.empty((rows, 2 if t.classes else 1), np.int32) for t in tasks for _ in range(t.outputs)]
+    for at in range(0, rows, step):
+        part = slice(at, at + step)
+        for held, found in zip(out, gradients(tasks, [t[part] for t in targets], margin[:, part], units), strict=True):
+            for i in range(held.shape[1]):
+                held[part, i] = found[i]
+    return [x.view(np.int64)[:, 0] if x.shape[1] == 2 else x[:, 0] for x in out]
+
+
+def judged(k: int, tree: Growing, brought: dict[int, np.ndarray], held: dict[int, np.ndarray], own: list[int]) -> Iterator[list]:
+    """The best split on a task's ``own`` features of each new node of output ``k``, and the root's totals. ``held`` are the sums of nodes without
+    children; siblings follow by subtraction."""
+    if not brought or not own:
+        return
+    if not tree.started:
+        held[0] = brought[0]
+        tree.nodes[0].total = tuple(int(x) for x in brought[0][:, 0].sum(axis=1))
+        yield [k, 0, None, tree.nodes[0].total]
+        new = [0]
+    else:
+        new = []
+        for parent in [p for p in held if tree.nodes[p].left >= 0]:
+            sums, pair = held.pop(parent), (tree.nodes[parent].left, tree.nodes[parent].right)
+            for node, other in (pair, pair[::-1]):
+                if node in brought:
+                    held[node], held[other] = brought[node], sums - brought[node]
+                    new += pair
+    for node in new:
+        if found := tree.best_among(tree.nodes[node], tuple(own), held[node]):
+            yield [k, node, *found]
+
+
+def settled(growing: list[Growing], told: list[list]) -> None:
+    """Give each new node the best of the splits that the tasks found; of equal ones as ``best_split`` would."""
+    best: dict[tuple[int, int], list] = {}
+    for k, node, *found in told:
+        if found[0] is None:
+            growing[k].started, growing[k].nodes[node].total = True, tuple(found[1])
+        elif (k, node) not in best or before(growing[k], found) < before(growing[k], best[k, node]):
+            best[k, node] = found
+    for (k, node), (gain, _, feature, cut, missing_left, left) in best.items():
+        growing[k].nodes[node].split = gain, feature, cut, missing_left, tuple(left)
+
+
+def before(tree: Growing, found: list) -> tuple:
+    return -found[0], found[1], tree.features.index(found[2])
+
+
 SUMS = "output int, node int, bin int, g long, h long, n long"
 
 
@@ -643,17 +888,71 @@ def start_values(df: DataFrame, tasks: list[Task]) -> tuple[np.ndarray, list[tup
     return np.array(base), units, row["n"]
 
 
+def running_at_once(spark: SparkSession) -> int:
+    """Tasks that can run at the same time for as long as the session lasts; 0 where that cannot be told."""
+    if str(spark.conf.get("spark.dynamicAllocation.enabled", "false")).lower() == "true":
+        return 0
+    try:
+        context = spark.sparkContext._jsc.sc()
+        return int(context.maxNumConcurrentTasks(context.resourceProfileManager().defaultResourceProfile()))
+    except Exception:
+        return 0
+
+
 def fit_boosted(
-    df: DataFrame, features: list[str], tasks: list[Task], growth: Growth | None = None, small: int = SMALL
+    df: DataFrame, features: list[str], tasks: list[Task], growth: Growth | None = None, small: int | None = None
 ) -> list[Boosted]:
     """Fit all ``tasks`` side by side over one table. Rows with a missing target must be left out by the caller.
 
-    A null or NaN feature is missing. An empty table, or one too small to split, gives models of the start values alone.
+    A null or NaN feature is missing. An empty table, or one too small to split, gives models of the start values alone. With ``small``, each
+    wave is a job and nodes of at most so many rows are finished in one task; without, that is so only where tasks cannot grow trees together.
     """
     growth = growth or Growth()
     spark = df.sparkSession
     edges = bin_edges(df, features, growth.bins)
     base, units, n = start_values(df, tasks)
+    at_once = running_at_once(spark) if small is None else 0
+    if 0 < n <= at_once * HELD:
+        trees = by_barrier(df, features, tasks, edges, base, units, growth, n, min(at_once, -(-n // TASK_ROWS)))
+    else:
+        trees = by_waves(df, features, tasks, edges, base, units, growth, n, SMALL if small is None else small)
+    out, at = [], 0
+    for t in tasks:
+        mine = slice(at, at + t.outputs)
+        out.append(Boosted(edges, t.features, t.classes, base[mine], [r[mine] for r in trees]))
+        at += t.outputs
+    return out
+
+
+def plain_rows(df: DataFrame, features: list[str], tasks: list[Task]) -> DataFrame:
+    columns = [ref(f).cast("double").alias(f"f{i}") for i, f in enumerate(features)]
+    return df.select(*columns, *[ref(t.target).cast("double").alias(f"t{i}") for i, t in enumerate(tasks)])
+
+
+def by_barrier(
+    df: DataFrame, features: list[str], tasks: list[Task], edges: list[np.ndarray], base: np.ndarray, units: list, growth: Growth, n: int, parts: int
+) -> list[list[Tree]]:
+    """All rounds in one job of ``parts`` tasks that run at the same time."""
+    spark = df.sparkSession
+    path = scratch(spark, "boosting")
+    run = grown_together(tasks, edges, base, units, growth, n, path)
+    # Rows are dealt where they come from few files; else blocks, small enough that all tasks get about as many rows.
+    cores = spark.sparkContext.defaultParallelism
+    dealt = df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    blocks = packed(dealt, features, tasks, edges, base[:0], min(BLOCK_ROWS, 64 + n // (32 * parts))).select("n", "bins", "targets")
+    try:
+        # The shuffle behind it lets the stage start again as a whole when a task is lost, which a last stage may not.
+        found = blocks.repartition(parts).mapInArrow(run, "trees binary", barrier=True).repartition(1).collect()
+    finally:
+        discard(spark, path)
+    return [[Tree(*t) for t in r] for r in pickle.loads(found[0].trees)]
+
+
+def by_waves(
+    df: DataFrame, features: list[str], tasks: list[Task], edges: list[np.ndarray], base: np.ndarray, units: list, growth: Growth, n: int, small: int
+) -> list[list[Tree]]:
+    """A job for each wave."""
+    spark = df.sparkSession
     owner = [t for t in tasks for _ in range(t.outputs)]
     trees: list[list[Tree]] = []
     path = scratch(spark, "boosting")
@@ -695,12 +994,7 @@ def fit_boosted(
     finally:
         held.unpersist()
         discard(spark, path)
-    out, at = [], 0
-    for t in tasks:
-        mine = slice(at, at + t.outputs)
-        out.append(Boosted(edges, t.features, t.classes, base[mine], [r[mine] for r in trees]))
-        at += t.outputs
-    return out
+    return trees
 
 
 def collected(sums: DataFrame, width: int) -> dict[int, dict[int, np.ndarray]]:

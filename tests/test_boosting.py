@@ -237,3 +237,36 @@ def test_features_of_some_sixty_bins_share_a_code():
     for f, sums in enumerate(B.histogram(codes, mine, g, h).transpose(1, 0, 2)):
         for weight, got in zip((g, h, np.ones(5000, np.int64)), sums, strict=True):
             assert got.tolist() == np.bincount(bins[f, mine], weight[mine], 256).astype(np.int64).tolist()
+
+
+def test_all_rounds_are_one_job_and_the_trees_those_of_the_waves(spark, monkeypatch):
+    """Several tasks hold the rows between them; the driver starts no job for a wave."""
+    data, growth = rows(2000, 6), Growth(rounds=6)
+    tasks = [Task("level", 3, (0, 1, 2)), Task("score", 0, (2, 0)), Task("score", 0, (0, 1, 2))]
+    df = frame(spark, data, 8).persist()
+    waves = fit_boosted(df, FEATURES, tasks, growth, small=300)
+    monkeypatch.setattr(B, "TASK_ROWS", 500)
+    tracker, seen = spark.sparkContext.statusTracker(), "boosting-jobs"
+    spark.sparkContext.setJobGroup(seen, seen)
+    together = fit_boosted(df, FEATURES, tasks, growth)
+    jobs = tracker.getJobIdsForGroup(seen)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    df.unpersist()
+    assert len(jobs) < 12
+    for a, b in zip(waves, together, strict=True):
+        assert len(a.trees) == len(b.trees) == growth.rounds
+        for s, t in zip(a.trees, b.trees, strict=True):
+            assert all(np.array_equal(x, y) for p, q in zip(s, t, strict=True) for x, y in zip(p, q, strict=True))
+
+
+def test_rows_of_many_features_in_words():
+    """Sums of rows whose codes stand four in a word are those of the plain codes, with and without second derivatives."""
+    rng = np.random.default_rng(8)
+    bins = rng.integers(0, 200, (9, 3000)).astype(np.uint8)
+    held, mine = B.Held.of(bins), np.flatnonzero(rng.random(3000) < 0.3)
+    assert len(held.words) > 1
+    pairs = rng.integers(-(2**28), 2**28, (3000, 2)).astype(np.int32)
+    plain = [pairs[:, i].astype(np.int64) for i in range(2)]
+    for some in (mine, np.arange(3000)):
+        assert (held.histogram(some, pairs.view(np.int64)[:, 0]) == B.histogram(B.fused(bins), some, *plain)).all()
+        assert (held.histogram(some, np.ascontiguousarray(pairs[:, 0])) == B.histogram(B.fused(bins), some, plain[0], None)).all()
