@@ -1,6 +1,7 @@
 """K-means and silhouettes against plain versions, and the risk model's edges."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -172,3 +173,27 @@ def test_the_silhouette_query_takes_no_sample(spark, monkeypatch):
     monkeypatch.setattr(K, "sampled", None)
     n = spark.read.parquet("/root/testdata/sf0.001/customer.parquet").count()
     assert tuple(load()["a18_euclidean_silhouette"].run(spark, "/root/testdata/sf0.001").first())[1:] == (0.0, n)
+
+
+@pytest.mark.parametrize("rows", [5, 700])
+def test_a_step_holds_few_distances_and_gives_ties_to_the_first_centre(monkeypatch, rows):
+    """Sums of all models, some with equal centres, are those of the nearest centre by itself, in chunks of a fixed number of cells."""
+    monkeypatch.setattr(K, "HELD_CELLS", 64 * 9)
+    draw = np.random.default_rng(rows)
+    x = draw.integers(-2, 3, (rows, 2)).astype(float)
+    stacked, starts = np.array([[0, 0], [1, 1], [0, 0], [1, 0], [-1, 0], [2, 2], [2, 2], [2, 2], [0, 1]], float), np.array([0, 2, 4, 6])
+    members = K.Members(stacked, starts)
+    assert members.runs == [(0, 3, 2), (6, 1, 3)] and members.cells.size == members.apart.cells.size == 64 * 9
+    batch = pa.RecordBatch.from_arrays([pa.array([rows], pa.int32()), pa.array([x.tobytes()], pa.binary())], ["n", "points"])
+    told = {r["centre"]: r for b in K.added_up(stacked, starts)(iter([batch])) for r in b.to_pylist()}
+    for a, b in ((0, 2), (2, 4), (4, 6), (6, 9)):
+        apart = ((x[:, None] - stacked[a:b]) ** 2).sum(axis=2)
+        own = apart.argmin(axis=1)
+        for i in range(b - a):
+            mine = own == i
+            if not mine.any():
+                assert a + i not in told
+                continue
+            row = told[a + i]
+            assert row["n"] == mine.sum() and row["sums"] == x[mine].sum(axis=0).tolist()
+            assert abs(row["cost"] - apart[mine, i].sum()) < 1e-9 and abs(row["squares"] - (x[mine] ** 2).sum()) < 1e-9
