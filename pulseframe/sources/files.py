@@ -90,6 +90,16 @@ def _problem(element: Column, fields: T.StructType, required: list[str]) -> Colu
     return F.when(element.isNull(), F.lit("an element is null")).otherwise(F.coalesce(*no_number, *absent, F.lit(None)))
 
 
+def _worked_out(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """``df`` with ``columns`` in the place of those of the same name, worked out once a row.
+
+    They come from a generator of one element: a filter on them stays above it. Else each filter would hold a copy of whatever they, and the
+    columns they rest on, are made of, and plans of several filters outgrow the driver's memory.
+    """
+    kept = [ref(c) for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*[x.alias(c) for c, x in columns.items()]))))
+
+
 def parse_requests(
     df: DataFrame,
     body: str = "body",
@@ -107,7 +117,7 @@ def parse_requests(
     text = F.trim(ref(body))
     listed = F.when(text.startswith("{"), F.concat(F.lit("["), text, F.lit("]"))).otherwise(text)
     texts = F.from_json(listed, T.ArrayType(T.MapType(T.StringType(), T.StringType())), {"mode": "PERMISSIVE"})
-    parsed = df.withColumns({
+    parsed = _worked_out(df, {
         "__texts": F.when(F.try_parse_json(ref(body)).isNotNull(), texts),
         "__rows": F.from_json(ref(body), T.ArrayType(fields), {"mode": "PERMISSIVE"}),
     })
@@ -120,7 +130,7 @@ def parse_requests(
     if content_type is not None:
         known = F.coalesce(ref(content_type) == JSON_TYPE, F.lit(False))
         reason = F.when(~known, F.concat(F.lit("unsupported content type: "), F.coalesce(ref(content_type), F.lit("")))).otherwise(reason)
-    parsed = parsed.withColumn("reason", reason)
+    parsed = _worked_out(parsed, {"reason": reason})
     kept = [c for c in df.columns if c not in (body, content_type)]
     good = parsed.filter(F.col("reason").isNull()).select(*map(ref, kept), F.inline("__rows"))
     bad = parsed.filter(F.col("reason").isNotNull()).select(*map(ref, df.columns), "reason")

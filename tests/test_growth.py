@@ -71,3 +71,20 @@ def test_a_model_query_makes_silver_once_and_over_all_cores(spark, monkeypatch):
     rest, test = models.held_out(spark, SMALL)
     assert len(made) == 1 and rest.count() + test.count() == made[0].count()
     assert len(made[0].inputFiles()) == spark.sparkContext.defaultParallelism
+
+
+def test_filters_on_requests_do_not_copy_what_bodies_are_made_of(spark):
+    """Known, unknown and bad requests each rest on the parsed body; their plans stay small, whatever the body is made of."""
+    from pulseframe.operators.risk import RiskModel, Settings
+    from pulseframe.schema import CATEGORY_FEATURES
+    from pulseframe.sources.files import parse_requests
+
+    body = F.concat(F.lit('{"Age": '), F.col("id"), *[F.lit(f', "{c}": "x"') for c in CATEGORY_FEATURES], F.lit("}"))
+    for k in range(6):
+        body = F.when(F.col("id") % 11 == k, F.lit(f"[{k}")).otherwise(F.upper(F.lower(body)) if k == 0 else body)
+    df = spark.range(22).select("id", body.alias("body"))
+    good, bad = parse_requests(df.withColumn("body", F.regexp_replace("body", "X", "x")))
+    known, unknown = RiskModel([], [["x"]] * len(CATEGORY_FEATURES), Settings()).scorable(good)
+    for part in (known, unknown, bad):
+        assert part._jdf.queryExecution().optimizedPlan().toString().count("CASE WHEN") <= 60
+    assert bad.count() == 22 and known.count() + unknown.count() == 0
